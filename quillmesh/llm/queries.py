@@ -8,16 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import minhash, packing, quality, rules
+from quillmesh.llm import decontam, minhash, packing, quality, rules, suffix_dedup
 from quillmesh.llm.common import bucket, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.apply(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
@@ -35,7 +43,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_minhash_near_dedup, op7_quality_rules, op9_best_fit_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op3_suffix_array_dedup, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_quality_rules, op9_best_fit_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
