@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import decontam, minhash, packing, quality, rules, suffix_dedup
+from quillmesh.llm import decontam, langid, minhash, packing, pii, quality, rules, suffix_dedup
 from quillmesh.llm.common import bucket, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,12 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = bucket("doc_id", 4) == 2
+    return langid.predict(docs, langid.fit(docs, ~held_out)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -31,6 +37,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -43,7 +54,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_suffix_array_dedup, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_quality_rules, op9_best_fit_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op3_suffix_array_dedup, op4_language_id, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_pii_weak_supervision, op9_best_fit_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
