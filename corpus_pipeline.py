@@ -1,12 +1,79 @@
-"""From raw documents to packed training sequences, in stages that each apply one operator."""
+"""From raw documents to packed training sequences, in stages that each apply one operator to all that the one before kept.
+
+Rejected by the quality classifier: documents with score < 0.5. Of each group of near-duplicates
+(five words, similarity 0.8) the least id stays. Documents with a ten-word window of a benchmark item go. Personal
+data are replaced by their kind in the texts that stay. The last stage packs the texts. n_chars
+follows the text where a stage changes it. Repeated rows of one id count as copies of it: one stays.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quillmesh.llm import decontam, minhash, packing, pii, quality
+from quillmesh.llm.common import bucket, shared_dir, table, written
+from quillmesh.llm.queries import TOKENIZER
+from quillmesh.plans.runtime import ship
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), bucket("doc_id", 3) != 1)
+    return quality.score(docs, model).where("score >= 0.5").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = minhash.near_duplicates(docs, words=5, percent=80)
+    flags = written(found.groupBy("doc_id").agg(F.min("kept").alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1"))
+    rest = docs.join(flags, "doc_id", "left").where("stays is null or stays")
+    once = rest.where("rows is null").select(*docs.columns)
+    if flags.where("stays and rows > 1").isEmpty():
+        return once
+    first = Window.partitionBy("doc_id").orderBy("text")
+    return once.union(rest.where("rows > 1").withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    hit = decontam.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
+    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    out = pii.redact(docs, pii.fit(docs))
+    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", reject_low_quality),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("pii", redact_personal_data),
+    ("best_fit_packing", pack_sequences),
+]
 
-STAGES: list = []
+#: The classifier, the signatures and the tokenizer have no SQL form: tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The packed pieces of all documents; each stage's result is a Parquet table in the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import decontam, langid, lm, minhash, packing, pii, quality, rules, suffix_dedup
+from quillmesh.llm import decontam, langid, licenses, lm, minhash, packing, pii, quality, rules, suffix_dedup
 from quillmesh.llm.common import bucket, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = bucket("doc_id", 7) == 2
     scored = lm.score(table(spark, sf_dir, "documents"), ~held_out, TOKENIZER)
@@ -60,7 +64,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lm_scoring, op3_suffix_array_dedup, op4_language_id, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_pii_weak_supervision, op9_best_fit_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_license_scan, op2_lm_scoring, op3_suffix_array_dedup, op4_language_id, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_pii_weak_supervision, op9_best_fit_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
