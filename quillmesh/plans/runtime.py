@@ -1,13 +1,14 @@
-"""Getting the package to the executors."""
+"""Getting the package to the executors, and the folder they share."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
 
@@ -23,3 +24,18 @@ def ship(spark: SparkSession) -> SparkSession:
         sc.addPyFile(at)
         sc._quillmesh = at
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share; a temporary one, set in the session, only where none is named."""
+    if not (at := spark.conf.get("spark.checkpoint.dir", None)):
+        at = tempfile.mkdtemp(prefix="quillmesh-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: what follows reads them and repeats nothing that led to them."""
+    path = f"{shared_folder(df.sparkSession)}/quillmesh-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
