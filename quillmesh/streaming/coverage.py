@@ -17,6 +17,7 @@ def counts(stream: DataFrame, *keys: str) -> DataFrame:
 
 def windowed(stream: DataFrame, time: str, late: str, width: str, *keys: str) -> DataFrame:
     """Counts in windows of event time; the watermark bounds the state."""
+    stream = stream.withColumn(time, F.col(time).cast("timestamp"))
     return stream.withWatermark(time, late).groupBy(F.window(time, width), *keys).agg(F.count("*").alias("n"))
 
 

@@ -188,3 +188,40 @@ def test_memory_and_stream(spark, tmp_path, data):
     q = coverage.windowed(stream, "ts", "1 hour", "1 day", "event_type").writeStream.format("memory").queryName("w").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("w").agg(F.sum("n")).first()[0] == 1000
+
+
+def test_paged_source(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from urllib.parse import parse_qs, urlparse
+
+    from quillmesh.sources import paged
+
+    apis = [json.dumps({"name": f"hotel_search{i}", "category": "Travel"}) if i % 5 else "{bad" for i in range(23)]
+    refused = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            q = parse_qs(urlparse(self.path).query)
+            a, n = int(q["offset"][0]), int(q["length"][0])
+            if a == 10 and not refused:
+                refused.append(1)
+                self.send_response(403)
+                self.send_header("Retry-After", "0")
+                self.end_headers()
+                return
+            body = json.dumps({"rows": [{"row": {"text": x}} for x in apis[a : a + n]], "num_rows_total": len(apis)}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    rows = paged.paged_rows(spark, f"http://127.0.0.1:{server.server_port}/rows?dataset=x", length=5).cache()
+    assert rows.count() == 23 and rows.rdd.getNumPartitions() == 5 and refused
+    tools = paged.tool_rows(rows).collect()
+    assert len(tools) == 18 and {(t.tool_name, t.category) for t in tools} == {("hotel", "Travel")}
+    server.shutdown()
