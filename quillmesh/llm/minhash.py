@@ -7,13 +7,12 @@ filled at step j, later steps can't lower any and are skipped. Here one step run
 elements of a batch of texts at once.
 
 Texts with the same set form a class; only its least id takes part in what follows. Representatives
-that share a band meet its least member first (a star, not all pairs); links that hold on the full
-sets are united. Where a band still has members of different components, all pairs across
-components are compared by their short signatures, in blocks of at most ``block`` members, and the
-passing ones verified in the same way. So no link that banding finds is lost, and no group is
-held whole in one task. At similarity 0.85 the chance that no band of 24 x 4 agrees is below 3e-8; at
-0.8, below 2e-6. A pair is verified unless its signatures agree in under ``threshold - 0.2`` of the places, which
-lies over five standard deviations below the threshold.
+that share a band are tied to its least member, and what is so tied, directly or not, is one
+candidate group, by union-find. A group's full sets then meet in blocks of bounded size, where intersections
+of all its pairs come from products of 0/1 matrices; a task emits only a forest of the links that
+hold, at most one a text. So no link that banding finds is lost, no pairs are listed, and no group
+is held whole in one task. At similarity 0.85 the chance that no band of 24 x 4 agrees is below 3e-8; at 0.8,
+below 5e-6.
 
 Null texts and texts without words have an empty set: linked with nothing, a component of their own.
 Null ids are dropped from links and keep a null component. Repeated rows of one id share its class;
@@ -86,7 +85,7 @@ def superminhash(h: np.ndarray, row: np.ndarray, n: int, m: int = PLACES) -> np.
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, fp1 and fp2 (of the set), bands, sig (a byte a place); one row for each row of docs."""
+    """doc_id, n_shingles, fp1 and fp2 (of the set), bands; one row for each row of docs."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,10 +104,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     band = tk.mix(band + parts[:, :, k])
                 band = tk.mix(band + np.arange(BANDS, dtype=tk.U)[None, :])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(p.n + 1) * BANDS, pa.int32()), pa.array(band.ravel().view(np.int64)))
-                short = (sig & tk.U(255)).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([batch.slice(a, b - a).column("doc_id"), pa.array(size), pa.array(fp[0]), pa.array(fp[1]), lists, pa.array([x.tobytes() for x in short], pa.binary())], names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.slice(a, b - a).column("doc_id"), pa.array(size), pa.array(fp[0]), pa.array(fp[1]), lists], names=["doc_id", "n_shingles", "fp1", "fp2", "bands"])
 
-    return only(docs, "doc_id", "text").mapInArrow(apply, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary")
+    return only(docs, "doc_id", "text").mapInArrow(apply, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>")
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
@@ -124,87 +122,93 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(apply, "doc_id long, elements binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the distinct pairs (u, v) whose full sets have 100 * intersection >= percent * union."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    # A class has one representative, but an id may have several rows: each of its texts may link.
-    full = written(sets(only(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi"), words).distinct())
+def linked(elements: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of n sets (of distinct hashes) have 100 * intersection >= percent * union, as an n x n matrix.
+
+    Intersections are products of 0/1 matrices over the hashes that two sets or more share, in bounded parts.
+    """
+    n = len(elements)
+    size = np.array([len(x) for x in elements])
+    owner = np.repeat(np.arange(n), size)
+    _, code, times = np.unique(np.concatenate(elements), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    keep = times[code] > 1
+    owner, code = owner[keep], column[code[keep]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    same = np.zeros((n, n), np.float32)
+    columns = int(code[-1]) + 1 if len(code) else 0
+    width = min(columns, max(256, (8 << 20) // n))
+    for at in range(0, columns, width or 1):
+        a, b = np.searchsorted(code, (at, at + width))
+        m = np.zeros((n, width), np.float32)
+        m[owner[a:b], code[a:b] - at] = 1
+        same += m @ m.T
+    same = same.astype(np.int64)
+    return 100 * same >= percent * (size[:, None] + size[None, :] - same)
+
+
+def forest(ids: np.ndarray, link: np.ndarray) -> Iterator[tuple[int, int]]:
+    """At most n - 1 links that join what the matrix joins."""
+    free = np.ones(len(ids), bool)
+    for i in range(len(ids)):
+        if free[i]:
+            free[i], stack = False, [i]
+            while stack:
+                near = np.flatnonzero(link[stack.pop()] & free)
+                free[near] = False
+                stack += near.tolist()
+                yield from ((int(ids[i]), int(ids[k])) for k in near)
+
+
+def _links(percent: int):
+    """Of rows (grp, i, j, doc_id, elements) sorted by the first three: a forest of each block's links."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-                x, y = np.frombuffer(a, tk.U), np.frombuffer(b, tk.U)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(both) - same))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(full.select(F.col("doc_id").alias("v"), F.col("elements").alias("b")), "v").join(full.select(F.col("doc_id").alias("u"), F.col("elements").alias("a")), "u")
-    return joined.select("u", "v", "a", "b").mapInArrow(apply, "u long, v long").distinct()
+        now, ids, elements, out = None, [], [], []
 
+        def close():
+            if len(ids) > 1:
+                out.extend(forest(np.array(ids, np.int64), linked(elements, percent)))
 
-def _alike(least: float):
-    """Drops pairs whose short signatures agree in fewer than ``least`` of the places."""
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PLACES) for c in ("x", "y"))
-                yield batch.select(["u", "v"]).filter(pa.array((x == y).mean(1) >= least))
+            for *key, doc, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != now:
+                    close()
+                    now, ids, elements = key, [], []
+                ids.append(doc)
+                elements.append(np.frombuffer(raw, tk.U))
+        close()
+        u, v = zip(*out, strict=True) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return apply
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 4096, block_elements: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable, itself included), kept; a row for each row of docs."""
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     sig = written(signatures(docs, words))
     some = sig.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
-    member = written(some.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["n_shingles", "fp1", "fp2"]).select("doc_id", "rep").distinct())
+    member = written(some.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["n_shingles", "fp1", "fp2"]).select("doc_id", "rep", "n_shingles").distinct())
     reps = some.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
+    # Candidate groups: what shares a band, or a chain of bands, with its least member.
     shared = reps.select("doc_id", F.explode("bands").alias("band"))
-    meet = shared.groupBy("band").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("last")).where("center != last")
-    bands = written(shared.join(meet.select("band", "center"), "band").select("band", "center", "doc_id"))
-    short = reps.select("doc_id", "sig").dropDuplicates(["doc_id", "sig"])
-    least = percent / 100 - 0.2
-
-    def close(pairs: DataFrame) -> DataFrame:
-        rated = pairs.join(short.select(F.col("doc_id").alias("u"), F.col("sig").alias("x")), "u").join(short.select(F.col("doc_id").alias("v"), F.col("sig").alias("y")), "v")
-        return written(rated.select("u", "v", "x", "y").mapInArrow(_alike(least), "u long, v long").distinct())
-
-    stars = close(bands.where("doc_id != center").select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct())
-    links = written(verified(stars, docs, words, percent).union(member.where("doc_id != rep").select("rep", "doc_id")))
-    first = connected_components(links)
-    # Bands that still hold several components: all pairs across them, in blocks.
-    labelled = bands.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("label"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("z"), F.count("*").alias("n")).where("a != z")
-    parts = F.ceil(F.col("n") / block).cast("int")
-    rows = labelled.join(mixed.select("band", parts.alias("parts")), "band").join(short, "doc_id")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    rows = rows.select("*", other.alias("q")).select("band", F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"), "part", "doc_id", "label", "sig")
-
-    def across(key, t):
-        import pandas as pd
-
-        x = np.frombuffer(b"".join(t["sig"]), np.uint8).reshape(-1, PLACES)
-        ids, label, part = t["doc_id"].to_numpy(), t["label"].to_numpy(), t["part"].to_numpy()
-        u, v = [], []
-        for k in range(len(ids)):
-            near = ((x == x[k]).mean(1) >= least) & (label != label[k]) & (ids > ids[k]) & ((key[1] == key[2]) | (part != part[k]))
-            v.append(ids[near])
-            u.append(np.full(int(near.sum()), ids[k]))
-        return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
-
-    more = written(rows.groupBy("band", "i", "j").applyInPandas(across, "u long, v long").distinct())
-    more = more.join(stars, ["u", "v"], "left_anti")
-    final = connected_components(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(verified(more, docs, words, percent)))
+    meet = shared.groupBy("band").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).where("u != last").select("band", "u")
+    near = shared.join(meet, "band").where("doc_id != u").select("u", F.col("doc_id").alias("v")).distinct()
+    group = connected_components(near)
+    group = written(group.select(F.col("component").alias("doc_id"), F.col("component").alias("grp")).distinct().union(group.select("node", "component")))
+    # Blocks bound what a task holds; every two blocks of a group meet in one task.
+    size = group.join(member.where("doc_id = rep").select("doc_id", "n_shingles"), "doc_id").groupBy("grp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
+    parts = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("elements") / block_elements)).cast("int")
+    rows = group.join(size.select("grp", parts.alias("parts")), "grp").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    other = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: q != F.col("part")))
+    rows = rows.select("grp", "doc_id", "part", F.explode(other).alias("q")).select("grp", F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"), "doc_id")
+    full = sets(only(docs, "doc_id", "text").join(group.select("doc_id"), "doc_id", "left_semi"), words)
+    placed = rows.join(full, "doc_id").select("grp", "i", "j", "doc_id", "elements").repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+    links = placed.mapInArrow(_links(percent), "u long, v long")
+    final = connected_components(links.union(member.where("doc_id != rep").select("rep", "doc_id")))
     return (
         sig.select("doc_id", "n_shingles")
         .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
