@@ -45,7 +45,7 @@ class Encoder:
 
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str, kept: int = 700_000):
+    def __init__(self, path: str, kept: int = 400_000):
         import tiktoken
 
         ranks, self.added = byte_ranks(path)

@@ -99,6 +99,13 @@ def packs(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int, Pac
         a = b
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows, for steps that hold several copies of what they work on."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ngrams(word: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of n consecutive words of one row, and the index of each one's first word."""
     if len(word) < n:
