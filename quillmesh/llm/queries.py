@@ -25,7 +25,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,5 +67,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_license_scan, op2_lm_scoring, op3_suffix_array_dedup, op4_language_id, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_pii_weak_supervision, op9_best_fit_packing, op10_quality_classifier)}
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP5 = rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + least(len(w), 3) - 1], ' ') AS shingle FROM d, range(1, greatest(len(w) - 1, least(len(w), 1) + 1)) t(k)),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ both_ AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+ link AS (SELECT u, v FROM both_ JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ edge AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
+ reach AS (SELECT u AS doc_id, v AS other FROM edge UNION SELECT r.doc_id, e.v FROM reach r JOIN edge e ON r.other = e.u)
+ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least_, d.doc_id)) AS component_id, least(d.doc_id, coalesce(m.least_, d.doc_id)) = d.doc_id AS kept
+ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS least_ FROM reach GROUP BY doc_id) m USING (doc_id)"""
+
+_RUNS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+OP6 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_RUNS}) AS w FROM documents), b AS (SELECT item_id, regexp_extract_all({_LOWER}, {_RUNS}) AS w FROM benchmark),
+ items AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+ win AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS phrase FROM items, range(1, len(w) - n + 2) t(k)),
+ lengths AS (SELECT DISTINCT n FROM win),
+ dw AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS phrase FROM d, lengths, range(1, len(w) - n + 2) t(k)),
+ hit AS (SELECT DISTINCT doc_id, k, dw.n, item_id FROM dw JOIN win ON dw.phrase = win.phrase AND dw.n = win.n),
+ pos AS (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS p FROM hit), words AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
+ named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS list FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
+ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_minhash_near_dedup": OP5, "op6_benchmark_decontamination": OP6}

@@ -278,3 +278,31 @@ def test_lm_windows_score_each_token_once_and_sum_to_one():
     changed = later.copy()
     changed[:, lm.WINDOW + 6 :] = 7
     assert np.allclose(lm.log_probs(m, later)[:, :6], lm.log_probs(m, changed)[:, :6])  # causal
+
+
+def test_suffix_dedup_with_text(spark, docs, corpus):
+    got = {r["doc_id"]: r for r in rows(suffix_dedup.remove_repeats(docs, with_text=True))}
+    assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] and len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in got.values())
+    assert {i: r["n_removed"] for i, r in got.items()} == {r["doc_id"]: r["n_removed"] for r in rows(suffix_dedup.remove_repeats(docs))}
+
+
+def test_key_bitmap_has_all_keys(spark):
+    from quillmesh.llm.common import in_bitmap, key_bitmap
+
+    keys = np.random.default_rng(4).integers(-(2**63), 2**63 - 1, 3000)
+    bitmap = key_bitmap(spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long"), "key")
+    assert in_bitmap(bitmap, keys[:1000]).all() and in_bitmap(bitmap, keys[1000:]).mean() < 0.01
+
+
+def test_oracle_sql(spark, data):
+    import duckdb
+
+    import __spark_entry__ as e
+
+    c = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        c.sql(f"create view {t} as select * from '{data}/{t}.parquet'")
+    for name in ("op5_minhash_near_dedup", "op6_benchmark_decontamination"):
+        want = c.sql(e.oracle_sql()[name]).df()
+        got = e.queries()[name](spark, data).toPandas()[list(want.columns)]
+        assert sorted(map(tuple, got.astype(str).to_numpy())) == sorted(map(tuple, want.astype(str).to_numpy())), name
