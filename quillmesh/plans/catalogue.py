@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmesh.functions import classify, jsonpath, text
@@ -114,7 +114,7 @@ def experiment_comparison(spark, d):
 
 # Registry ------------------------------------------------------------------
 
-@query(sql("SELECT *, list_aggregate(required, 'string_agg', ',') AS required_names, list_aggregate(params, 'string_agg', ',') AS param_names FROM endpoints", "endpoints").replace("SELECT *, list_aggregate(required, 'string_agg', ',') AS required_names, list_aggregate(params, 'string_agg', ',') AS param_names", "SELECT endpoint_id, tool_name, endpoint_name, category, description, coalesce(array_to_string(required, ','), '') AS required_names, coalesce(array_to_string(params, ','), '') AS param_names"))
+@query(sql("SELECT endpoint_id, tool_name, endpoint_name, category, description, coalesce(array_to_string(required, ','), '') AS required_names, coalesce(array_to_string(params, ','), '') AS param_names FROM endpoints", "endpoints"))
 def registry_endpoints(spark, d):
     return adapters.endpoints(spark, d).select("endpoint_id", "tool_name", "endpoint_name", "category", "description", F.array_join("required", ",").alias("required_names"), F.array_join("params", ",").alias("param_names"))
 
@@ -225,12 +225,7 @@ def graph_stats(spark, d):
     return graph.degree_statistics(*_edges(spark, d))
 
 
-@query(
-    sql(
-        """, RECURSIVE_PLACEHOLDER""",
-        "endpoints",
-    ).replace(", RECURSIVE_PLACEHOLDER", " SELECT category AS component_category, min(endpoint_id) AS component, count(*) AS members FROM endpoints GROUP BY category")
-)
+@query(sql("SELECT category AS component_category, min(endpoint_id) AS component, count(*) AS members FROM endpoints GROUP BY category", "endpoints"))
 def graph_components(spark, d):
     """Tools lie in one category and categories are meshed, so components are categories: the oracle's shortcut."""
     e, edge = _edges(spark, d)
@@ -240,13 +235,11 @@ def graph_components(spark, d):
 
 @query(
     sql(
-        _GRAPH + "SELECT category, endpoint_id, rank FROM (SELECT category, endpoint_id, row_number() OVER (ORDER BY category, tool_name, endpoint_name) AS rank FROM endpoints) WHERE rank <= 80",
+        "SELECT category, endpoint_id, rank FROM (SELECT category, endpoint_id, row_number() OVER (ORDER BY category, tool_name, endpoint_name) AS rank FROM endpoints) WHERE rank <= 80",
         "endpoints",
     )
 )
 def endpoint_diagram(spark, d):
-    from pyspark.sql import Window
-
     top = adapters.endpoints(spark, d).orderBy("category", "tool_name", "endpoint_name").limit(80)
     return top.select("category", "endpoint_id", F.row_number().over(Window.orderBy("category", "tool_name", "endpoint_name")).cast("long").alias("rank"))
 
@@ -346,8 +339,6 @@ _JUDGED = """, results AS (SELECT conv_id, step, CASE WHEN k % 2 = 0 THEN k::VAR
 
 def _scored(spark, d):
     """Users' calls judged with the conversation of the same number; calls show the even ids, nine of ten have a result."""
-    from pyspark.sql import Window
-
     c = adapters.calls(spark, d).withColumn("user", F.split("conv_id", "-").getItem(0))
     step = F.row_number().over(Window.partitionBy("user").orderBy("conv_id", "step"))
     c = c.select(F.col("user").alias("conv_id"), step.alias("step"), F.col("k").alias("n"))
