@@ -11,11 +11,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
+#: Rows of an Arrow batch, unless the session asks for fewer: rows hold whole texts, and a Python worker holds a batch.
+BATCH = 2000
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends the package to all executors, once a context; Spark's own file server carries it."""
+    """Sends the package to all executors, once a context (Spark's own file server carries it), and bounds Arrow batches."""
     sc = spark.sparkContext
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
     if getattr(sc, "_quillmesh", None) is None:
         at = os.path.join(tempfile.mkdtemp(prefix="quillmesh-"), f"{ROOT.name}.zip")
         with zipfile.ZipFile(at, "w") as z:
