@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +29,40 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder, which cuts the lineage; a lost executor takes none of it along."""
+    return written_at(df)[0]
+
+
+def written_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same, and where the table is."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillmesh-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``written_at`` once nothing that is still to be computed reads it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: 64-bit words of the bitmap below: 1 MB, whatever the number of keys.
+WORDS = 1 << 17
+
+
+def key_bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of evenly spread 64-bit keys, made by grouped ORs. It only spares moving rows that can't match; a join must follow."""
+    key = F.col(column)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{column}`, 17) & 63 AS int))")
+    out = np.zeros(WORDS, np.int64)
+    for r in keys.groupBy(key.bitwiseAND(WORDS - 1).alias("w")).agg(F.bit_or(bit).alias("b")).collect():
+        out[r.w] = r.b
+    return out.view(np.uint64)
+
+
+def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    k = keys.view(np.uint64)
+    return (bitmap[(k & np.uint64(WORDS - 1)).astype(np.int64)] >> ((k >> np.uint64(17)) & np.uint64(63))) & np.uint64(1) == 1
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:

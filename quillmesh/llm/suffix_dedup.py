@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm import textkernels as tk
-from quillmesh.llm.common import only, shared_dir, written
+from quillmesh.llm.common import discard, in_bitmap, key_bitmap, only, shared_dir, written, written_at
 
 GRAM = 24
 
@@ -158,13 +158,24 @@ def _covered(size: int):
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, key and key2 (128 bits of the text's sha256), n_bytes, body (compressed)."""
-    pack = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
+    """doc_id, sha (of the text), key (its first 64 bits), n_bytes, body (compressed)."""
+    pack = zstandard.ZstdCompressor(level=5)
+    for batch in tk.slices(batches):
         texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
         sha = [hashlib.sha256(x).digest() for x in texts]
-        keys = np.frombuffer(b"".join(sha), "<i8").reshape(-1, 4)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([len(x) for x in texts], pa.int64()), pa.array([pack.compress(x) for x in texts], pa.binary())], names=["doc_id", "key", "key2", "n_bytes", "body"])
+        keys = np.frombuffer(b"".join(sha), "<i8").reshape(-1, 4)[:, 0]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sha, pa.binary()), pa.array(keys), pa.array([len(x) for x in texts], pa.int64()), pa.array([pack.compress(x) for x in texts], pa.binary())], names=["doc_id", "sha", "key", "n_bytes", "body"])
+
+
+def _only_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key may be among ``keys``."""
+    handle = rows.sparkSession.sparkContext.broadcast(key_bitmap(keys, "key"))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(handle.value, batch.column("key").to_numpy())))
+
+    return rows.mapInArrow(apply, rows.schema)
 
 
 def _bodies(column: pa.Array) -> list[bytes]:
@@ -180,36 +191,39 @@ class Corpus:
         shared_dir(spark)
         self.size = size
         kind = docs.schema["doc_id"].dataType.simpleString()
-        rows = only(docs, "doc_id", "text").mapInArrow(_stored, f"doc_id {kind}, key long, key2 long, n_bytes long, body binary")
+        rows = only(docs, "doc_id", "text").mapInArrow(_stored, f"doc_id {kind}, sha binary, key long, n_bytes long, body binary")
         self.texts = written(rows)
-        same = self.texts.groupBy("key", "key2", "n_bytes").agg(F.min(F.struct("doc_id")).alias("rep"), F.count("*").alias("copies"))
-        self.copies = written(same.select("key", "key2", "n_bytes", F.col("rep.doc_id").alias("rep"), "copies"))
+        same = self.texts.groupBy("sha", "key", "n_bytes").agg(F.min(F.struct("doc_id")).alias("rep"), F.count("*").alias("copies"))
+        self.copies = written(same.select("sha", "key", "n_bytes", F.col("rep.doc_id").alias("rep"), "copies"))
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in tk.slices(batches):
                 text = pa.array(_bodies(batch.column("body")), pa.large_binary()).view(pa.large_string())
                 key = batch.column("key").to_numpy()
-                for a, _, p in tk.packs(text):
+                for a, _, p in tk.packs(text, 1 << 20):
                     row, h, first, at, last = anchors(p, size)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key[a:][row]), pa.array(first.astype(np.int32)), pa.array((at - first).astype(np.int16)), pa.array((last - first).astype(np.int16))], names=["anchor", "key", "first", "cut", "more"])
 
         # Copies of a text add no places: only the key matters, and repeated rows fall together in the scan.
-        spots = written(self.texts.where(F.col("n_bytes") >= size).select("key", "body").mapInArrow(place, "anchor long, key long, first int, cut smallint, more smallint"))
+        spots, at = written_at(self.texts.where(F.col("n_bytes") >= size).select("key", "body").mapInArrow(place, "anchor long, key long, first int, cut smallint, more smallint"))
         often = spots.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
         self.spots = written(spots.join(often, "anchor").groupBy("key").agg(F.collect_set(F.struct("anchor", "first", "cut", "more", (F.col("n") > hot).alias("hot"))).alias("spots")))
+        discard(spark, at)
         self.hot = not self.spots.where(F.exists("spots", lambda x: x.hot)).isEmpty()
 
     def marked(self) -> DataFrame:
         """key, body, spots: one row for each text with repeated anchors."""
-        one = self.texts.join(self.copies.select("key", "key2", "n_bytes", "rep"), ["key", "key2", "n_bytes"]).where(F.col("doc_id").eqNullSafe(F.col("rep")))
-        return one.select("key", "body").join(self.spots, "key")
+        wanted = self.copies.join(self.spots, "key").select("sha", F.col("rep").alias("doc_id"), "spots")
+        bodies = _only_keys(self.texts.select("doc_id", "sha", "key", "body"), self.spots)
+        same = (bodies.sha == wanted.sha) & bodies.doc_id.eqNullSafe(wanted.doc_id)
+        return bodies.join(wanted, same).select(bodies.key, bodies.body, wanted.spots)
 
     def passages(self) -> DataFrame:
         """anchor, key, first, cut, passage: dealt out and sorted by anchor."""
         size = self.size
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in tk.slices(batches):
                 rows = [(s["anchor"], key, s["first"], s["cut"], body[s["first"] : s["first"] + s["more"] + size]) for key, body, spots in zip(batch.column("key").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True) for s in spots if not s["hot"]]
                 cols = list(zip(*rows, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()), strict=True)], names=["anchor", "key", "first", "cut", "passage"])
@@ -227,7 +241,7 @@ class Corpus:
         size = self.size
 
         def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in tk.slices(batches):
                 for key, body, spots in zip(batch.column("key").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
                     at = [i for s in spots if s["hot"] for i in range(s["first"], s["first"] + s["more"] + 1)]
                     h = np.frombuffer(b"".join(hashlib.blake2b(body[i : i + size], digest_size=16).digest() for i in at), "<i8").reshape(-1, 2)
@@ -238,17 +252,18 @@ class Corpus:
         return rows.join(twice, ["a", "b"]).select("key", "start", (F.col("start") + size).alias("stop"))
 
 
-def remove_repeats(docs: DataFrame, size: int = 200, hot: int = 20_000) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes); a row for each row of docs."""
+def remove_repeats(docs: DataFrame, size: int = 200, hot: int = 20_000, with_text: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_text also kept (the remaining bytes); a row for each row of docs."""
     c = Corpus(docs, size, hot)
     spans = c.covered().groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    rows = c.texts.join(c.copies.select("key", "key2", "n_bytes", "copies"), ["key", "key2", "n_bytes"]).join(spans, "key", "left")
+    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= size)
+    state = written(c.copies.join(spans, "key", "left").select("sha", "key", "n_bytes", gone.alias("gone"), F.when(~gone, F.col("spans")).alias("spans")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tk.slices(batches):
             removed, runs, sha, kept = [], [], [], []
-            for body, copies, spans in zip(_bodies(batch.column("body")), batch.column("copies").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                ranges = [(0, len(body))] if copies > 1 and len(body) >= size else sorted((s["start"], s["stop"]) for s in spans or ())
+            for body, gone, spans in zip(_bodies(batch.column("body")), batch.column("gone").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                ranges = [(0, len(body))] if gone else sorted((s["start"], s["stop"]) for s in spans or ())
                 parts, at, n = [], 0, 0
                 for a, b in ranges:
                     if a > at or not n:
@@ -260,11 +275,22 @@ def remove_repeats(docs: DataFrame, size: int = 200, hot: int = 20_000) -> DataF
                 removed.append(len(body) - len(rest))
                 runs.append(n)
                 sha.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
+                kept.append(rest if with_text else b"")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "n_bytes", "body", "copies", "spans").mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    if with_text:
+        rows = c.texts.select("doc_id", "sha", "n_bytes", "body").join(state.drop("key", "n_bytes"), "sha")
+        return rows.select("doc_id", "n_bytes", "body", "gone", "spans").mapInArrow(cut, schema)
+    # Only texts that lose a part need their bytes again.
+    partly = state.where("spans is not null")
+    bodies = _only_keys(c.texts.select("doc_id", "sha", "key", "n_bytes", "body"), partly)
+    changed = bodies.drop("key").join(partly.drop("key", "n_bytes"), "sha").select("doc_id", "n_bytes", "body", "gone", "spans").mapInArrow(cut, schema).drop("kept")
+    others = c.texts.select("doc_id", "sha", "n_bytes").join(state.where("spans is null").select("sha", "gone"), "sha")
+    zero = lambda x: F.when(F.col("gone"), x).otherwise(F.lit(0)).cast("long")
+    left = F.when(F.col("gone"), F.sha2(F.lit(""), 256)).otherwise(F.lower(F.hex("sha")))
+    return changed.union(others.select("doc_id", "n_bytes", zero(F.col("n_bytes")), zero(F.lit(1)), left))
 
 
 def maximal_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
