@@ -76,7 +76,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, alpha: floa
     bias = 1 << bits
     for _ in range(epochs if len({y for *_, y in rows}) > 1 else 0):
         for f, v, y in rows:
-            f, v = np.append(f, bias), np.append(v, 1.0)
+            f, v = np.append(f.astype(np.int64), bias), np.append(v.astype(float), 1.0)
             zi, ni = z[f], n[f]
             wi = np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2))
             g = (1 / (1 + np.exp(-np.clip(wi @ v, -35, 35))) - y) * v
@@ -104,9 +104,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column(label).cast(pa.int32()), pa.array([x.astype("<i4").tobytes() for x in np.split(f, cut[1:-1])], pa.binary()), pa.array([x.astype("<f4").tobytes() for x in np.split(v, cut[1:-1])], pa.binary())], names=["doc_id", "y", "f", "v"])
 
-    rows = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(sparse, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, f binary, v binary").collect()
-    rows.sort(key=lambda r: (str(r.doc_id)[::-1], r.y, bytes(r.f)))
-    return train([(np.frombuffer(r.f, "<i4").astype(np.int64), np.frombuffer(r.v, "<f4").astype(float), r.y) for r in rows], bits)
+    def learn_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(np.frombuffer(f, "<i4"), np.frombuffer(v, "<f4"), y) for batch in tk.slices(batches, 500) for y, f, v in zip(*(batch.column(c).to_pylist() for c in ("y", "f", "v")), strict=True)]
+        m = train(rows, bits)
+        del rows
+        tk.trim()
+        yield pa.RecordBatch.from_arrays([pa.array([m.weights.tobytes()], pa.binary()), pa.array([m.bias])], names=["weights", "bias"])
+
+    # One task has the sample, which is bounded, and the driver only gets the weights.
+    rows = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(sparse, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, f binary, v binary")
+    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(8)), "doc_id", "y")
+    found = rows.mapInArrow(learn_all, "weights binary, bias double").collect()
+    return Model(np.frombuffer(found[0].weights, np.float32), found[0].bias, bits) if found else train([], bits)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
