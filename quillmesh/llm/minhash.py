@@ -89,7 +89,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, p in tk.packs(batch.column("text"), 2 << 20):
+            for a, b, p in tk.packs(batch.column("text")):
                 row, h = shingles(p, words)
                 size = tk.counts(row, p.n)
                 cut = np.searchsorted(row, np.arange(p.n + 1))
@@ -114,7 +114,7 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, p in tk.packs(batch.column("text"), 2 << 20):
+            for a, b, p in tk.packs(batch.column("text")):
                 row, h = shingles(p, words)
                 cut = np.searchsorted(row, np.arange(1, p.n))
                 yield pa.RecordBatch.from_arrays([batch.slice(a, b - a).column("doc_id"), pa.array([x.tobytes() for x in np.split(h, cut)], pa.binary())], names=["doc_id", "elements"])
@@ -138,14 +138,18 @@ def linked(elements: list[np.ndarray], percent: int) -> np.ndarray:
     owner, code = owner[order], code[order]
     same = np.zeros((n, n), np.float32)
     columns = int(code[-1]) + 1 if len(code) else 0
-    width = min(columns, max(256, (8 << 20) // n))
+    width = min(columns, max(256, (4 << 20) // n))
     for at in range(0, columns, width or 1):
         a, b = np.searchsorted(code, (at, at + width))
         m = np.zeros((n, width), np.float32)
         m[owner[a:b], code[a:b] - at] = 1
-        same += m @ m.T
-    same = same.astype(np.int64)
-    return 100 * same >= percent * (size[:, None] + size[None, :] - same)
+        for r in range(0, n, 256):
+            same[r : r + 256] += m[r : r + 256] @ m.T
+    out = np.empty((n, n), bool)
+    for r in range(0, n, 256):
+        both = same[r : r + 256].astype(np.int64)
+        out[r : r + 256] = 100 * both >= percent * (size[r : r + 256, None] + size[None, :] - both)
+    return out
 
 
 def forest(ids: np.ndarray, link: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -171,7 +175,7 @@ def _links(percent: int):
             if len(ids) > 1:
                 out.extend(forest(np.array(ids, np.int64), linked(elements, percent)))
 
-        for batch in batches:
+        for batch in tk.slices(batches, 500):
             for *key, doc, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != now:
                     close()
@@ -185,7 +189,7 @@ def _links(percent: int):
     return apply
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 4096, block_elements: int = 2_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 2048, block_elements: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable, itself included), kept; a row for each row of docs."""
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     sig = written(signatures(docs, words))

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh.llm import textkernels as tk
 from quillmesh.llm.common import only, written
 
 
@@ -45,7 +46,7 @@ class Encoder:
 
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str, kept: int = 300_000):
         import tiktoken
 
         ranks, self.added = byte_ranks(path)
@@ -56,13 +57,18 @@ class Encoder:
     def fresh(self, text: str) -> bytes:
         return np.array(self.core.encode(text, allowed_special="all"), "<u4").tobytes()
 
+    def forget(self) -> None:
+        """Gives the table's memory back; a worker process outlives its task."""
+        self.memo.clear()
+        tk.trim()
+
     def __call__(self, text: str) -> bytes:
         head, *rest = text.split(" ")
         for x in rest:
             if not x or x[0].isspace() or x[0] in "\x1c\x1d\x1e\x1f":
                 return self.fresh(text)
         if len(self.memo) > self.kept:
-            self.memo.clear()
+            self.forget()
         memo = self.memo
         return (self.fresh(head) if head else b"") + b"".join([memo[x] for x in rest])
 
@@ -106,6 +112,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -
                     length.append(cuts[k + 1] - cuts[k])
                     crc.append(zlib.crc32(ids[4 * cuts[k] : 4 * cuts[k + 1]]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        encode.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return only(docs, "doc_id", "text").mapInArrow(apply, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -2,12 +2,14 @@
 
 A column of texts is packed into one byte buffer in which every text is followed by a line feed.
 Words, lines and n-grams are then ranges of that buffer, and their 64-bit hashes come from one
-prefix sum, so no Python object is made for a word. Buffers are cut to a few megabytes, whatever
+prefix sum, so no Python object is made for a word. Buffers are cut to a megabyte or one text, whatever
 the size of the Arrow batch; a text is never cut.
 """
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,7 +83,7 @@ def strings(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string())
 
 
-def packs(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int, Packed]]:
+def packs(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, Packed]]:
     """(first row, row after the last, Packed) of parts of a text column; null counts as empty."""
     empty, feed = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
     text = pc.binary_join_element_wise(strings(column), empty, feed, null_handling="replace", null_replacement="")
@@ -99,6 +101,12 @@ def packs(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int, Pac
         a = b
 
 
+def trim() -> None:
+    """Hands freed memory back to the system, where the C library can."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in parts of a few rows, for steps that hold several copies of what they work on."""
     for batch in batches:
