@@ -111,13 +111,13 @@ def scan(passages: list[tuple[bytes, bytes]], size: int, found: Callable[[int, i
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, int]]:
     """(rows, anchor) of each anchor of a sorted partition; rows: (text key, first, cut, passage)."""
     now, rows = None, []
-    for batch in batches:
-        for a, key, first, cut, seg in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    for batch in tk.slices(batches):
+        for a, cut, seg, keys, firsts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if a != now:
                 if len(rows) > 1:
                     yield rows, now
                 now, rows = a, []
-            rows.append((key, first, cut, seg))
+            rows += [(key, first, cut, seg) for key, first in zip(keys, firsts, strict=True)]
     if len(rows) > 1:
         yield rows, now
 
@@ -211,24 +211,29 @@ class Corpus:
         discard(spark, at)
         self.hot = not self.spots.where(F.exists("spots", lambda x: x.hot)).isEmpty()
 
-    def marked(self) -> DataFrame:
-        """key, body, spots: one row for each text with repeated anchors."""
-        wanted = self.copies.join(self.spots, "key").select("sha", F.col("rep").alias("doc_id"), "spots")
-        bodies = _only_keys(self.texts.select("doc_id", "sha", "key", "body"), self.spots)
+    def marked(self, hot: bool) -> DataFrame:
+        """key, body, spots: one row for each text with repeated anchors that are, or aren't, hot; other texts don't move."""
+        spots = self.spots.select("key", F.filter("spots", lambda x: x.hot == F.lit(hot)).alias("spots")).where(F.size("spots") > 0)
+        wanted = self.copies.join(spots, "key").select("sha", F.col("rep").alias("doc_id"), "spots")
+        bodies = _only_keys(self.texts.select("doc_id", "sha", "key", "body"), spots)
         same = (bodies.sha == wanted.sha) & bodies.doc_id.eqNullSafe(wanted.doc_id)
         return bodies.join(wanted, same).select(bodies.key, bodies.body, wanted.spots)
 
     def passages(self) -> DataFrame:
-        """anchor, key, first, cut, passage: dealt out and sorted by anchor."""
+        """anchor, cut, passage, keys, firsts: dealt out and sorted by anchor; a task sends a passage once, with all its places."""
         size = self.size
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in tk.slices(batches):
-                rows = [(s["anchor"], key, s["first"], s["cut"], body[s["first"] : s["first"] + s["more"] + size]) for key, body, spots in zip(batch.column("key").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True) for s in spots if not s["hot"]]
-                cols = list(zip(*rows, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()), strict=True)], names=["anchor", "key", "first", "cut", "passage"])
+            for batch in tk.slices(batches, 2000):
+                same: dict[tuple[int, int, bytes], list[tuple[int, int]]] = {}
+                for key, body, spots in zip(batch.column("key").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
+                    for s in spots:
+                        same.setdefault((s["anchor"], s["cut"], body[s["first"] : s["first"] + s["more"] + size]), []).append((key, s["first"]))
+                anchor, at, seg = zip(*same, strict=True) if same else ((), (), ())
+                places = list(same.values())
+                yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(at, pa.int16()), pa.array(seg, pa.binary()), pa.array([[k for k, _ in x] for x in places], pa.list_(pa.int64())), pa.array([[f for _, f in x] for x in places], pa.list_(pa.int32()))], names=["anchor", "cut", "passage", "keys", "firsts"])
 
-        rows = self.marked().mapInArrow(cut, "anchor long, key long, first int, cut smallint, passage binary")
+        rows = self.marked(False).mapInArrow(cut, "anchor long, cut smallint, passage binary, keys array<long>, firsts array<int>")
         return rows.repartition("anchor").sortWithinPartitions("anchor")
 
     def covered(self) -> DataFrame:
@@ -243,11 +248,11 @@ class Corpus:
         def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in tk.slices(batches):
                 for key, body, spots in zip(batch.column("key").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
-                    at = [i for s in spots if s["hot"] for i in range(s["first"], s["first"] + s["more"] + 1)]
+                    at = [i for s in spots for i in range(s["first"], s["first"] + s["more"] + 1)]
                     h = np.frombuffer(b"".join(hashlib.blake2b(body[i : i + size], digest_size=16).digest() for i in at), "<i8").reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key, np.int64)), pa.array(at, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], names=["key", "start", "a", "b"])
 
-        rows = written(self.marked().mapInArrow(windows, "key long, start int, a long, b long").distinct())
+        rows = written(self.marked(True).mapInArrow(windows, "key long, start int, a long, b long").distinct())
         twice = rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
         return rows.join(twice, ["a", "b"]).select("key", "start", (F.col("start") + size).alias("stop"))
 
