@@ -37,11 +37,12 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Where an ip, card or phone can lie: all their characters, from the first to the last that can begin or end one.
 ZONE = re.compile(r"[0-9+](?:[0-9\x20.()+-]*[0-9])?")
 MAIL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-@")
-#: Words that go before a secret, and its form.
-SECRET_WORDS = ("token", "Token", "TOKEN", "secret", "Secret", "password", "Password", "passwd", "api_key", "apikey", "API_KEY", "api-key")
+#: Words that go before a secret, and its form. Each match of the form has one of the first, once case-folded as IGNORECASE folds
+#: (long s and the Kelvin sign too; "api" alone would miss the dotless i, which folds to itself).
+SECRET_WORDS = ("token", "secret", "passw", "key")
 SECRET = re.compile(r"(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_-]{12,})", re.IGNORECASE)
 #: Forms of address and common given names, after which a name may follow.
-TITLES = ("Mr. ", "Mrs. ", "Ms. ", "Dr. ", "Prof. ", "Herr ", "Frau ", "Monsieur ", "Madame ", "Señor ", "Señora ")
+TITLES = ("Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "Herr", "Frau", "Monsieur", "Madame", "Señor")
 GIVEN = frozenset("James Mary John Patricia Robert Jennifer Michael Linda William Elizabeth David Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen Anna Peter Hans Klaus Ursula Pierre Jean Marie Sophie Carlos Maria Juan Carmen".split())
 NAME = re.compile(r"(?:(?:Mr\.|Mrs\.|Ms\.|Dr\.|Prof\.|Herr|Frau|Monsieur|Madame|Señora?)\s([A-Z][\w'-]+(?:\s[A-Z][\w'-]+)?))|\b((?:" + "|".join(sorted(GIVEN)) + r")\s[A-Z][\w'-]+)")
 HANDLE = re.compile(r"[A-Za-z0-9._-]+\s?[\[(](?:at|AT)[\])]\s?[A-Za-z0-9-]+(?:\s?(?:\.|[\[(](?:dot|DOT)[\])])\s?[A-Za-z0-9-]+)+")
@@ -110,11 +111,13 @@ def candidates(text: str) -> list[Candidate]:
     found: list[tuple[str, int, int, bool, int]] = []  # the last: the check labeler's vote
     for kind, a, b, ok in (*emails(text), *number_kinds(text)):
         found.append((kind if ok else "number", a, b, ok, 1 if ok else -1))
-    if any(w in text for w in SECRET_WORDS):
+    # Each gate holds wherever its pattern can match, whatever stands beside the match.
+    folded = text.casefold()
+    if any(w in folded for w in SECRET_WORDS):
         found += [("secret", *m.span(1), False, 1 if any(c.isdigit() for c in m[1]) else -1) for m in SECRET.finditer(text)]
-    if any(t in text for t in TITLES) or not GIVEN.isdisjoint(text.split()):
+    if any(t in text for t in TITLES) or any(g in text for g in GIVEN):
         found += [("name", *m.span(1 if m[1] else 2), False, 0) for m in NAME.finditer(text)]
-    if "(at)" in text or "[at]" in text or "(AT)" in text or "[AT]" in text:
+    if any(x in text for x in ("(at", "[at", "(AT", "[AT")):
         found += [("handle", *m.span(), False, 1) for m in HANDLE.finditer(text)]
     out = []
     for kind, a, b, base, check in sorted(set(found), key=lambda s: (s[1], ORDER[s[0]], s[2])):

@@ -198,6 +198,21 @@ def test_pii_base_spans_stay(spark):
     assert clean[0] is None and "4111 1111 1111 1111" not in clean[4] and "24be" not in clean[7]
 
 
+def test_pii_every_match_is_a_candidate():
+    """Each pattern's match, alone in its text, in each case and beside each mark, gets a candidate: no gate is narrower than its pattern."""
+    value = "abcDEF123456ghi"
+    secrets = [f(w) + sep + value for w in ("token", "secret", "password", "passwd", "api_key", "apikey", "api-key", "to\u212aen", "\u017fecret", "ap\u0131_key") for f in (str, str.upper, str.title, lambda x: "DB_" + x.upper(), lambda x: x[:3] + x[3:].capitalize()) for sep in ("=", ": ", '" = "')]
+    people = [*(t + gap + "Smith" for t in ("Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora") for gap in (" ", "\n", "\t", "\u00a0")), *(g + gap + "Lopez" for g in pii.GIVEN for gap in (" ", "\n"))]
+    handles = [f"joe {a}{w}{b} mail.org" for a in "[(" for b in "])" for w in ("at", "AT")]
+    for kind, pattern, texts in (("secret", pii.SECRET, secrets), ("name", pii.NAME, people), ("handle", pii.HANDLE, handles)):
+        for x in texts:
+            for a, b in (("", ""), ("(", ")"), ('"', '"'), ("x ", ","), ("-", "."), ("\n", "\n")):
+                if m := pattern.search(a + x + b):
+                    at = next(m.span(k) for k in range(m.re.groups, -1, -1) if m[k] is not None)
+                    assert (kind, *at) in [(c.kind, c.start, c.end) for c in pii.candidates(a + x + b)], a + x + b
+    assert sum(pii.SECRET.search(x) is not None for x in secrets) > 130 and all(map(pii.NAME.search, people)) and all(map(pii.HANDLE.search, handles))
+
+
 def test_em_learns_reliable_labelers():
     rng = np.random.default_rng(1)
     truth = rng.random(4000) < 0.3
