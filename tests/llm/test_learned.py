@@ -93,6 +93,26 @@ def test_language_model_beats_unigrams(spark, real):
     assert np.where(ok, lm.log_probs(m, grid), 0).sum() / ok.sum() > np.log((counts + 0.5) / (counts + 0.5).sum())[held].mean() + 0.3
 
 
+def test_language_model_learns_from_rows_outside_the_sample(spark):
+    """Documents that the first weights have not seen raise the probability of texts like them."""
+    rng = np.random.default_rng(3)
+    size, end = 400, 2
+    # Two kinds of texts: each id is followed by its own next one, which differs between the kinds.
+    follow = np.stack([rng.permutation(np.arange(10, 200)), rng.permutation(np.arange(200, 390))])
+    make = lambda kind: np.array([*follow[kind][(np.arange(60) + rng.integers(190)) % 190], end])
+    texts = [make(i % 2) for i in range(300)]
+    rows = spark.createDataFrame([(i, i % 2 == 1 or i < 20, t.astype("<u2").tobytes()) for i, t in enumerate(texts)], "doc_id long, learn boolean, ids binary").repartition(4).cache()
+    learnt = [t for i, t in enumerate(texts) if i % 2 == 1 or i < 20]
+    counts = np.bincount(np.concatenate(learnt), minlength=size)
+    grid, ok = lm.windows(*lm.unpacked(lm.pa.array([make(1).astype("<u2").tobytes() for _ in range(40)], lm.pa.binary()), size), end)
+    chosen = [r.doc_id for r in rows.where("learn").orderBy(lm.F.xxhash64("doc_id", lm.F.lit(11)), "doc_id").limit(5).collect()]
+    first = lm.train(sorted((texts[i] for i in chosen), key=lambda t: t.astype("<u2").tobytes()), counts, end)
+    mean = lambda m: np.where(ok, lm.log_probs(m, grid), 0).sum() / ok.sum()
+    m = lm.fit(rows, counts, sample=5, end_id=end)
+    assert np.allclose(m.tables.sum(0), 1, atol=1e-4)
+    assert mean(m) > mean(first) + 0.3, (mean(m), mean(first))
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["MIT"][1]
     texts = {0: None, 1: "", 2: "word", 3: "plain text of no licence at all", 4: "intro\n" + mit.upper().replace(",", " ;") + "\noutro", 5: "See. Licensed under the Apache License, Version 2.0.", 6: mit.replace("without restriction", "with no limits"), 7: "the software is provided and the license of the work", 8: mit * 2}
