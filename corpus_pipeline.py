@@ -40,8 +40,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    hit = decontam.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    hit = decontam.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_hit"))
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

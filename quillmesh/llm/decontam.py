@@ -10,7 +10,7 @@ Words are runs of letters, digits and non-ASCII characters, with A to Z in lower
 terms and phrases are broadcast in blocks of at most ``block`` rows: a larger test set takes more
 passes, not a larger broadcast. Null texts have no words. An item without words matches nothing; items
 of fewer words than a window are one window. Repeated items count once for each id; hits of repeated rows of one document
-id are united. Extra columns are ignored.
+id are united; rows whose id is null count as rows of one id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,7 +91,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
     empty = lambda k: (F.element_at("w", k) == "").cast("long")
     w = w.select("doc_id", F.when((F.size("w") == 1) & (F.element_at("w", 1) == ""), F.lit(0)).otherwise(F.size("w") - empty(1) - empty(-1)).cast("long").alias("n_words"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return w.join(words, "doc_id", "left").join(named, "doc_id", "left").select("doc_id", "n_words", zero("n_hit"), zero("n_items"), F.sha2(F.coalesce("list", F.lit("")), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+    # Null ids are one id, as in the groups above.
+    words, named = words.withColumnRenamed("doc_id", "_hit"), named.withColumnRenamed("doc_id", "_named")
+    both = w.join(words, F.col("doc_id").eqNullSafe(F.col("_hit")), "left").join(named, F.col("doc_id").eqNullSafe(F.col("_named")), "left")
+    return both.select("doc_id", "n_words", zero("n_hit"), zero("n_items"), F.sha2(F.coalesce("list", F.lit("")), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
 
 
 def index(docs: DataFrame) -> DataFrame:

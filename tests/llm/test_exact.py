@@ -141,6 +141,19 @@ def test_decontamination(spark, docs, corpus):
     assert got == brute_hits(corpus.items(), items)
 
 
+def test_decontamination_of_null_ids(spark, monkeypatch):
+    """A benchmark passage in a row without an id is found, and the pipeline's stage drops that row."""
+    import corpus_pipeline
+
+    passage = "one two three four five six seven eight nine ten eleven"
+    d = frame(spark, [(None, f"so {passage} then"), (1, passage), (2, "nothing of it here")])
+    items = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontam.contamination(d, items).collect()}
+    assert got == {None: (11, 1, True), 1: (11, 1, True), 2: (0, 0, False)}
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: items)
+    assert [r.doc_id for r in corpus_pipeline.drop_contaminated(spark, d, "").collect()] == [2]
+
+
 def test_proximity(spark):
     d = frame(spark, {1: "red fox ran past a blue hen", 2: "red " + "x " * 30 + "blue", 3: None})
     q = spark.createDataFrame([(1, "red"), (1, "blue"), (2, "green"), (2, "red")], "query_id int, term string")
