@@ -6,8 +6,8 @@ whether a learned lexicon of a language has it. Transitions between languages ar
 switch between texts of different languages. Forward-backward gives each word's probabilities; a
 text's language is the one with the largest mean over its words, the mean its score.
 
-Training texts are a bounded sample: at most ``per_lang`` a language, chosen by a hash of the id, and
-languages are the ``most`` commonest values of lang. Null texts, and texts without a letter, get
+Training texts are a bounded sample: at most ``per_lang`` a language, chosen by a hash of the id, of
+every value of lang. Null texts, and texts without a letter, get
 ``und`` and 0. Ties go to the first language by name. With nothing to learn from, all is ``und``.
 Repeated rows get the same result; extra columns are ignored.
 """
@@ -16,11 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.llm import textkernels as tk
@@ -177,14 +176,12 @@ def word_probabilities(p: tk.Packed, m: Model) -> tuple[np.ndarray, np.ndarray,
     return s, e, forward_backward(emission[code], first, m.transitions)
 
 
-def fit(docs: DataFrame, learn: Column, per_lang: int = 800, most: int = 64) -> Model:
+def fit(docs: DataFrame, learn: Column, per_lang: int = 800) -> Model:
     rows = only(docs, "doc_id", "text", "lang").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = [r.lang for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()]
-    if not langs:
-        return train([], [])
-    # Ids first: the ordering moves no texts.
-    ids = reduce(DataFrame.union, [rows.where(F.col("lang") == x).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(per_lang) for x in langs])
-    sample = sorted((r.lang, r.text) for r in rows.join(F.broadcast(ids.distinct()), "doc_id").select("lang", "text").collect())
+    # Ids first: the ordering moves no texts. A rank filter of a window is cut before the shuffle.
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
+    ids = rows.select("lang", "doc_id").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select("doc_id").distinct()
+    sample = sorted((r.lang, r.text) for r in rows.join(F.broadcast(ids), "doc_id").select("lang", "text").collect())
     return train([t for _, t in sample], [x for x, _ in sample])
 
 

@@ -63,6 +63,17 @@ def test_language_id(spark, real, docs):
     assert sum(w.lang == "en" for w in words[: half - 5]) > 0.85 * (half - 5) and sum(w.lang == "de" for w in words[half + 5 :]) > 0.85 * (half - 5)
 
 
+def test_language_id_learns_every_language(spark):
+    """Seventy languages with words of their own: none is left out, the rarest included."""
+    text = lambda i, k: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}q{chr(97 + (j * 7 + k) % 20)}{chr(97 + i % 26)}" for j in range(12))
+    rows = [(100 * i + k, text(i, k), f"l{i:02d}") for i in range(70) for k in range(4 if i < 69 else 3)]
+    d = frame(spark, [r[:2] for r in rows], lang={r[0]: r[2] for r in rows})
+    m = langid.fit(d, lm.F.lit(True))
+    assert m.langs == [f"l{i:02d}" for i in range(70)]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(d, m).collect()}
+    assert sum(got[i] == x for i, _, x in rows) > 0.9 * len(rows) and got[6900] == "l69"
+
+
 def test_forward_backward_matches_enumeration():
     import itertools
 
