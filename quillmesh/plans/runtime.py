@@ -31,15 +31,26 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one, set in the session, only where none is named."""
+    """The folder all executors share. Where none is named, a temporary one on a single machine; on a cluster that is an error."""
     if not (at := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="quillmesh-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: what follows reads them and repeats nothing that led to them."""
+def written_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as a Parquet table in the shared folder, and where it is: what follows reads them and repeats nothing that led to them."""
     path = f"{shared_folder(df.sparkSession)}/quillmesh-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame) -> DataFrame:
+    return written_at(df)[0]
+
+
+def discard(table: DataFrame, path: str) -> None:
+    """Empties a table of ``written_at`` once nothing that is still to be computed reads it."""
+    table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
