@@ -1,17 +1,15 @@
-"""What the operators share: where shared files go, and held-out splits."""
+"""What the operators share: held-out splits, joins of skewed keys, bitmaps of keys."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh.plans.adapters import table
+from quillmesh.plans.runtime import discard, shared_folder, written, written_at
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["bucket", "discard", "in_bitmap", "key_bitmap", "only", "shared_folder", "spread_join", "table", "written", "written_at"]
 
 
 def bucket(column: str, modulus: int) -> Column:
@@ -19,31 +17,19 @@ def bucket(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
-    if not (at := spark.conf.get("spark.checkpoint.dir", None)):
-        at = tempfile.mkdtemp(prefix="quillmesh-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared folder, which cuts the lineage; a lost executor takes none of it along."""
-    return written_at(df)[0]
-
-
-def written_at(df: DataFrame) -> tuple[DataFrame, str]:
-    """The same, and where the table is."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quillmesh-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
+def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], total: int, count: str = "n", least: int = 10_000) -> DataFrame:
+    """``rows`` with the columns of ``keys``, which has one row a key and how many rows have it (``count``).
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Deletes a table of ``written_at`` once nothing that is still to be computed reads it."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    Keys with more than ``least`` rows, and more than 1 in 100,000 of the ``total``, are at most 100,000: they are
+    broadcast, so their rows stay where they are. All others are joined by shuffles, none of them large.
+    """
+    limit = max(least, total // 100_000)
+    if total <= limit:  # no key can have more
+        return rows.join(keys, on)
+    hot = F.broadcast(keys.where(F.col(count) > limit))
+    cold = rows.join(hot.select(*on), on, "left_anti").join(keys.where(F.col(count) <= limit), on)
+    near = rows.join(hot, on)
+    return near.select(*cold.columns).union(cold)
 
 
 #: 64-bit words of the bitmap below: 1 MB, whatever the number of keys.

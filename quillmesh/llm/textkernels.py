@@ -1,8 +1,9 @@
 """Numpy kernels over UTF-8 text that arrives in Arrow batches.
 
 A column of texts is packed into one byte buffer in which every text is followed by a line feed.
-Words, lines and n-grams are then ranges of that buffer, and their 64-bit hashes come from one
-prefix sum, so no Python object is made for a word. Buffers are cut to a megabyte or one text, whatever
+Words, lines and n-grams are then ranges of that buffer, and their 64-bit hashes come from two
+prefix sums, one modulo 2^64 and one modulo the prime 2^31 - 1, so no Python object is made for a word.
+The prime keeps apart strings that any polynomial modulo a power of two confuses (long Thue-Morse words). Buffers are cut to a megabyte or one text, whatever
 the size of the Arrow batch; a text is never cut.
 """
 
@@ -19,7 +20,10 @@ import pyarrow.compute as pc
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
-_POWERS: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
+_PRIME, _BASE31 = (1 << 31) - 1, 0x5DEECE66
+_INVERSE31 = pow(_BASE31, -1, _PRIME)
+#: Powers of the base and of its inverse, modulo 2^64 and modulo the prime.
+_POWERS: list[np.ndarray] = [np.ones(1, U) for _ in range(4)]
 
 #: ASCII white space: \x20 and \x09 to \x0D.
 SPACE = np.zeros(256, bool)
@@ -41,12 +45,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def folded(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^63 to the same below 2^33, modulo the prime."""
+    high = x >> U(31)
+    high += x & U(_PRIME)
+    return high
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^63 modulo the prime."""
+    x = folded(folded(x))
+    x[x >= U(_PRIME)] -= U(_PRIME)
+    return x
+
+
 def _powers(n: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < n:
+        n += n >> 2
         for k, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(n + (n >> 2), base, U)
+            p = np.full(n, base, U)
             p[0] = 1
             _POWERS[k] = np.multiply.accumulate(p)
+        for k, base in enumerate((_BASE31, _INVERSE31), 2):
+            p = np.ones(1, U)
+            while len(p) < n:
+                p = np.concatenate([p, reduced(p * U(pow(base, len(p), _PRIME)))])
+            _POWERS[k] = p
     return _POWERS
 
 
@@ -55,7 +79,7 @@ class Packed:
 
     def __init__(self, buf: np.ndarray, off: np.ndarray):
         self.buf, self.off, self.n = buf, off, len(off) - 1
-        self._sum: dict[int, np.ndarray] = {}
+        self._sum: dict[tuple[int, bool], np.ndarray] = {}
 
     def runs(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the maximal runs of bytes for which ``table`` holds; it must not hold for \\n."""
@@ -68,15 +92,25 @@ class Packed:
         """The row that holds each of the sorted positions."""
         return np.repeat(np.arange(self.n), np.diff(np.searchsorted(starts, self.off)))
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
-        """64-bit hashes of buf[start:end] after ``fold``, the same for the same bytes anywhere."""
-        power, inverse = _powers(len(self.buf) + 1)
-        if (key := id(fold)) not in self._sum:
+    def _sums(self, fold: np.ndarray, prime: bool) -> np.ndarray:
+        if (key := (id(fold), prime)) not in self._sum:
+            x = fold[self.buf].astype(U) + U(1)
+            x *= _powers(len(self.buf) + 1)[2 * prime][: len(self.buf)]
             c = np.zeros(len(self.buf) + 1, U)
-            np.cumsum((fold[self.buf].astype(U) + U(1)) * power[: len(self.buf)], out=c[1:])
+            np.cumsum(folded(x) if prime else x, out=c[1:])
             self._sum[key] = c
-        c = self._sum[key]
-        return mix((c[ends] - c[starts]) * inverse[starts])
+        return self._sum[key]
+
+    def rolling(self, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
+        """64-bit hashes of buf[start:end] modulo 2^64 alone: for sampling and for features, where a rare collision does no harm."""
+        c = self._sums(fold, False)
+        return mix((c[ends] - c[starts]) * _powers(len(self.buf) + 1)[1][starts])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
+        """64-bit hashes of buf[start:end] after ``fold``, the same for the same bytes anywhere."""
+        c = self._sums(fold, True)
+        h = reduced(reduced(c[ends] - c[starts]) * _powers(len(self.buf) + 1)[3][starts])
+        return mix(self.rolling(starts, ends, fold) ^ mix(h + U(1)))
 
 
 def strings(column: pa.Array) -> pa.Array:
