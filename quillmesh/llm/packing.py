@@ -1,26 +1,35 @@
 """Best-fit packing by bin completion with branch and bound, over the histogram of piece lengths.
 
 Lengths lie between 1 and the sequence size, so the packing problem of any number of documents is a
-histogram of at most ``size`` counts: all that the driver sees. Bin completion takes the longest
-length left and enumerates the undominated fillings of the rest of its sequence, best fit first,
-under a bound on the waste; the best filling found so far is the incumbent that prunes the others.
-The filling is then used for as many sequences at once as the counts allow. Tasks give each
-piece its place: its rank among the pieces of its length (counted per part, so that one frequent
-length is no single task's work) falls into one slot of the plan.
-
-Null text is empty: one end id. Repeated rows are packed as rows of their own. An empty table gives
-an empty result. Further columns are ignored.
+histogram of at most ``size`` counts: all that the driver sees. Best-fit decreasing gives the first
+incumbent, the volume and the count of long pieces a lower bound; where they meet, the packing is proved best.
+Otherwise bin completion takes the longest length left, enumerates the undominated fillings of the rest of
+its sequence, least waste first, and branches over them and over how many sequences get each. Waste
+beyond what a packing with one sequence less could have prunes fillings and nodes alike. Every better packing
+becomes the incumbent. Bin packing is NP-hard: the search ends after ``steps`` (a bound of work, stated in
+``plan``), and the incumbent, which holds every piece, stands then.
+
+Tasks give each piece its place: its rank among the pieces of its length falls into one slot of the
+plan. Ranks are counted within each input partition; a window over the partitions' counts gives where each partition
+begins, so no length is one task's work and no number of tasks is fixed.
+
+Null text is empty: one end id. Repeated rows are packed as rows of their own; rows with a null id keep
+it. Very long texts are cut into pieces. Equal lengths are placed in the order of input partition and row. An empty
+table gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.llm import textkernels as tk
@@ -37,51 +46,75 @@ def byte_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return {bytes(char[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}, added
 
 
+#: First bytes of characters that are surely no white space in any library's eyes; a space before another character parts nothing.
+SURE = np.zeros(256, bool)
+SURE[[*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xF5)]] = True
+
+
 class Encoder:
-    """Ids of whole texts by a byte-level BPE, as little-endian 32-bit numbers.
+    """Ids of whole texts by a byte-level BPE.
 
-    A text falls apart before every space that a non-space follows, and no token spans such a place;
-    the ids of a part depend on it alone, so they are kept in a table of bounded size.
+    A text falls apart before every space that a non-space follows, and no token spans such a place; the ids of
+    a part depend on it alone. So the distinct parts of a pack of texts are encoded once, in one call with a
+    special token between them, and each text's ids are gathered from theirs.
     """
 
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str, kept: int = 300_000):
+    def __init__(self, path: str):
         import tiktoken
 
         ranks, self.added = byte_ranks(path)
         self.size = max([*ranks.values(), *self.added.values()], default=-1) + 1
         self.core = tiktoken.Encoding("byte_bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
-        self.kept, self.memo = kept, _Memo(self)
-
-    def fresh(self, text: str) -> bytes:
-        return np.array(self.core.encode(text, allowed_special="all"), "<u4").tobytes()
-
-    def forget(self) -> None:
-        """Gives the table's memory back; a worker process outlives its task."""
-        self.memo.clear()
-        tk.trim()
-
-    def __call__(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        for x in rest:
-            if not x or x[0].isspace() or x[0] in "\x1c\x1d\x1e\x1f":
-                return self.fresh(text)
-        if len(self.memo) > self.kept:
-            self.forget()
-        memo = self.memo
-        return (self.fresh(head) if head else b"") + b"".join([memo[x] for x in rest])
-
-
-class _Memo(dict):
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.encoder.fresh(" " + part)
-        if len(part) < 64:
-            self[part] = ids
-        return ids
+        #: What parts are joined by; texts that hold it are encoded whole and alone.
+        self.mark, self.mark_id = next(iter(self.added.items()))
+
+    def __call__(self, text: str) -> np.ndarray:
+        return np.array(self.core.encode_to_numpy(text, allowed_special="all"), np.uint32)
+
+    def many(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts without the mark, one after another, and where each part's begin (one more than parts)."""
+        ids = self(self.mark.encode().join(parts).decode("utf-8", "replace"))
+        cut = np.flatnonzero(ids == self.mark_id)
+        return np.delete(ids, cut), np.concatenate([[0], cut - np.arange(len(cut)), [len(ids) - len(cut)]])
+
+    def pack(self, p: tk.Packed, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a pack, each with the end id, one after another, and where each begins (one more than texts)."""
+        first, last = p.off[:-1], p.off[1:] - 1
+        start = np.zeros(len(p.buf), bool)
+        start[:-1] = (p.buf[:-1] == 32) & SURE[p.buf[1:]]
+        raw, mark = p.buf.tobytes(), self.mark.encode()
+        odd = np.flatnonzero([mark in raw[a:b] for a, b in zip(first, last, strict=True)] if mark in raw else [])
+        for i in odd:
+            start[first[i] : last[i]] = False
+        start[first] = start[last] = True
+        begin = np.flatnonzero(start)
+        stop = np.append(begin[1:], len(p.buf))
+        # The line feed that ends a text in the pack stands for the end id.
+        close = np.searchsorted(begin, last)
+        key = p.hashes(begin, stop)
+        key[close] = 0
+        _, one, code = np.unique(key, return_index=True, return_inverse=True)
+        whole = np.zeros(len(begin), bool)
+        whole[np.searchsorted(begin, first[odd])] = True
+        plain = np.flatnonzero((key[one] != 0) & ~whole[one])
+        ids, at = self.many([raw[begin[k] : stop[k]] for k in one[plain]]) if len(plain) else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        offset, size = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64)
+        offset[plain], size[plain] = at[:-1], np.diff(at)
+        held = [ids, np.array([end_id], np.uint32)]
+        ended = np.flatnonzero(key[one] == 0)
+        offset[ended], size[ended] = len(ids), 1
+        total = len(ids) + 1
+        for k in np.flatnonzero(whole[one]):
+            own = self(raw[begin[one[k]] : stop[one[k]]].decode("utf-8", "replace"))
+            offset[k], size[k] = total, len(own)
+            held.append(own)
+            total += len(own)
+        n = size[code]
+        done = np.cumsum(n)
+        where = np.repeat(offset[code] - done + n, n) + np.arange(done[-1] if len(done) else 0)
+        return np.concatenate(held)[where], np.concatenate([[0], done[close]])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -95,127 +128,264 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: the token ids of each text and the end id, cut where longer than a sequence; the first piece is the short one."""
+    """doc_id, piece, start, length, ids_crc32: the token ids of each text and the end id, cut where longer than a sequence; the first piece is the short one.
+
+    part, nth: the input partition, and how many pieces of the same length came before in it.
+    """
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), [0] * (size + 1)
         for batch in batches:
-            at, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = encode(text or "") + end
-                n = len(ids) // 4
-                cuts = [0, *range(n % size or size, n + 1, size)]
-                for k in range(len(cuts) - 1):
-                    at.append(i)
-                    piece.append(k)
-                    start.append(cuts[k])
-                    length.append(cuts[k + 1] - cuts[k])
-                    crc.append(zlib.crc32(ids[4 * cuts[k] : 4 * cuts[k + 1]]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
-        encode.forget()
+            for a, b, p in tk.packs(batch.column("text"), 2 << 20):
+                ids, begin = encode.pack(p, end_id)
+                raw = memoryview(ids.astype("<u4").tobytes())
+                at, piece, start, length, crc, nth = [], [], [], [], [], []
+                for i, (low, high) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
+                    cuts = [0, *range((high - low) % size or size, high - low + 1, size)]
+                    for k in range(len(cuts) - 1):
+                        at.append(i)
+                        piece.append(k)
+                        start.append(cuts[k])
+                        length.append(wide := cuts[k + 1] - cuts[k])
+                        nth.append(seen[wide])
+                        seen[wide] += 1
+                        crc.append(zlib.crc32(raw[4 * (low + cuts[k]) : 4 * (low + cuts[k + 1])]))
+                numbers = [pa.array(x, pa.int64()) for x in (start, length, crc, [part] * len(at), nth)]
+                yield pa.RecordBatch.from_arrays([batch.slice(a, b - a).column("doc_id").take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *numbers], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
+        tk.trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return only(docs, "doc_id", "text").mapInArrow(apply, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
-
-
-def completion(first: int, count: np.ndarray, size: int, tries: int = 400) -> list[int]:
-    """The undominated filling around ``first`` that wastes least: lengths in falling order, first included.
-
-    A filling is dominated if another item fits in its waste or in place of a shorter one; taking at each
-    branch the longest that fits first, and nothing that leaves room for an unused one, keeps to the others.
-    ``count``: items left by length, without ``first``. ``tries`` bounds the search; the incumbent stands then.
+    return only(docs, "doc_id", "text").mapInArrow(apply, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part long, nth long")
+
+
+Filling = tuple[tuple[int, int], ...]
+
+
+def best_fit(count: np.ndarray, size: int) -> list[tuple[Filling, int]]:
+    """Best-fit decreasing over a histogram: (filling, number of sequences that have it)."""
+    open_: dict[int, dict[Filling, int]] = {}  # room: fillings with that room
+    rooms: list[int] = []
+
+    def put(room: int, filling: Filling, n: int) -> None:
+        if room not in open_:
+            open_[room] = {}
+            bisect.insort(rooms, room)
+        open_[room][filling] = open_[room].get(filling, 0) + n
+
+    for x in range(size, 0, -1):
+        left = int(count[x])
+        while left:
+            k = bisect.bisect_left(rooms, x)
+            if k == len(rooms):
+                each = size // x
+                full, rest = divmod(left, each)
+                if full:
+                    put(size - each * x, ((x, each),), full)
+                if rest:
+                    put(size - rest * x, ((x, rest),), 1)
+                break
+            room = rooms[k]
+            filling, n = open_[room].popitem()
+            if not open_[room]:
+                del open_[room], rooms[k]
+            # The tightest sequence takes as many as it can before the next one is touched.
+            each = room // x
+            full = min(n, left // each)
+            if full:
+                put(room - each * x, (*filling, (x, each)), full)
+                left -= full * each
+                n -= full
+            elif left:
+                put(room - left * x, (*filling, (x, left)), 1)
+                left, n = 0, n - 1
+            if n:
+                put(room, filling, n)
+    return [(f, n) for group in open_.values() for f, n in group.items()]
+
+
+def lower_bound(count: np.ndarray, size: int) -> int:
+    """Sequences that any packing needs: by volume, and by pieces too long to share one, for every least length that counts (Martello and Toth)."""
+    length = np.arange(size + 1)
+    n, mass = np.cumsum(count), np.cumsum(count * length)
+    best = -(-int(mass[-1]) // size)
+    for a in range(size // 2 + 1):
+        alone = int(n[size] - n[size - a])  # longer than size - a
+        half = int(n[size - a] - n[size // 2])
+        room = half * size - int(mass[size - a] - mass[size // 2])
+        small = int(mass[size // 2] - (mass[a - 1] if a else 0))
+        best = max(best, alone + half + max(0, -(-(small - room) // size)))
+    return best
+
+
+@dataclass
+class Search:
+    """What is left of the work that the search may do."""
+
+    steps: int
+
+
+def fillings(first: int, count: np.ndarray, size: int, slack: int, search: Search) -> Iterator[tuple[int, Filling]]:
+    """(waste, filling) of the undominated fillings around a piece of length ``first`` that waste at most ``slack``.
+
+    ``count``: pieces left by length, without that piece. Lengths are tried in falling order, as many pieces of
+    each as fit, then fewer; a branch is left when all that follows could not bring the waste under ``slack``.
+    A filling is dominated, and dropped, if a piece left fits in its waste, or a longer one fits in place of one or
+    two of its pieces.
+    """
+    room = size - first
+    left = [int(x) for x in np.flatnonzero(count[: room + 1])[::-1] if x]
+    have = [int(count[x]) for x in left]
+    down = [-x for x in left]
+    mass = [*np.cumsum([x * n for x, n in zip(left[::-1], have[::-1], strict=True)])[::-1].tolist(), 0]
+    chosen: list[list[int]] = []  # (place in ``left``, pieces)
+    at = 0
+
+    def dominated() -> bool:
+        used = {left[k]: n for k, n in chosen}
+        spare = lambda low, high: any(have[k] > used.get(left[k], 0) for k in range(bisect.bisect_left(down, -high), bisect.bisect_right(down, -low)))
+        if room and spare(1, room):
+            return True
+        kinds = list(used)
+        if any(spare(x + 1, x + room) for x in kinds if room):
+            return True
+        pairs = [(x, y) for i, x in enumerate(kinds) for y in kinds[i:] if x != y or used[x] > 1]
+        return any(spare(x + y, x + y + room) for x, y in pairs)
+
+    while True:
+        at = max(at, bisect.bisect_left(down, -room))
+        while room and at < len(left) and mass[at] >= room - slack:
+            n = min(have[at], room // left[at])
+            chosen.append([at, n])
+            room -= n * left[at]
+            search.steps -= 1
+            at = max(at + 1, bisect.bisect_left(down, -room))
+        if room <= slack and not dominated():
+            yield room, ((first, 1), *((left[k], n) for k, n in chosen))
+        search.steps -= 1
+        if search.steps <= 0:
+            return
+        while chosen:
+            last = chosen[-1]
+            room += left[last[0]]
+            last[1] -= 1
+            at = last[0] + 1
+            if not last[1]:
+                chosen.pop()
+            if mass[at] >= room - slack:
+                break
+        else:
+            return
+
+
+def _options(count: np.ndarray, size: int, slack: int, search: Search, some: int = 64) -> Iterator[tuple[int, Filling, int]]:
+    """(waste, filling, sequences) to branch on: fillings in parts of ``some``, each part by least waste; many sequences at once before few."""
+    first = int(np.flatnonzero(count)[-1])
+    count = count.copy()
+    count[first] -= 1
+    source = fillings(first, count, size, slack, search)
+    count_all = count.copy()
+    count_all[first] += 1
+    while True:
+        part: list[tuple[int, Filling]] = []
+        for x in source:
+            part.append(x)
+            if not x[0] or len(part) == some:
+                break
+        if not part:
+            return
+        for waste, filling in sorted(part, key=lambda f: f[0]):
+            need: dict[int, int] = {}
+            for x, n in filling:
+                need[x] = need.get(x, 0) + n
+            joined = tuple(need.items())
+            times = min(int(count_all[x]) // n for x, n in joined)
+            while times:
+                if waste * times <= slack:
+                    yield waste, joined, times
+                times //= 2
+
+
+def completed(count: np.ndarray, size: int, steps: int) -> list[tuple[Filling, int]]:
+    """The best packing found: (filling, sequences)."""
+    best = best_fit(count, size)
+    used, bound, total = sum(n for _, n in best), lower_bound(count, size), int((count * np.arange(size + 1)).sum())
+    if used == bound:
+        return best
+    search = Search(steps)
+    slack = (used - 1) * size - total  # the waste of a packing with one sequence less
+    count, path = count.copy(), []
+    levels = [_options(count, size, slack, search)]
+    while levels and search.steps > 0:
+        option = next(levels[-1], None)
+        search.steps -= 10  # a node costs about as much
+        if option is None:
+            levels.pop()
+            if path:
+                waste, filling, times = path.pop()
+                slack += waste * times
+                for x, n in filling:
+                    count[x] += n * times
+            continue
+        waste, filling, times = option
+        if waste * times > slack:  # the incumbent has become better since
+            continue
+        path.append(option)
+        slack -= waste * times
+        for x, n in filling:
+            count[x] -= n * times
+        if count.any():
+            levels.append(_options(count, size, slack, search))
+            continue
+        best = [(f, n) for _, f, n in path]
+        fewer = sum(n for _, n in best)
+        slack -= size * (used - fewer)
+        used = fewer
+        if used == bound:
+            break
+        levels.append(iter(()))
+    return best
+
+
+def plan(histogram: dict[int, int], size: int = 1024, steps: int = 300_000) -> list[tuple[int, int, int, int, int]]:
+    """Slots (length, first rank, ranks, first sequence, offset): rank r of a length lies in sequence first + r - first rank, at offset.
+
+    ``steps`` bounds the search beyond best-fit decreasing: pieces placed while fillings are enumerated.
     """
-    best: list[int] = []
-    waste = size - first + 1
-    left = np.flatnonzero(count[: size - first + 1])[::-1].tolist()
-    left = [x for x in left if x]
-    used: dict[int, int] = {}
-    stack: list[int] = []
-
-    def fill(room: int, start: int) -> bool:
-        nonlocal best, waste, tries
-        tries -= 1
-        took = False
-        for k in range(start, len(left)):
-            x = left[k]
-            if x > room:
-                continue
-            if used.get(x, 0) >= count[x]:
-                continue
-            took = True
-            if tries <= 0 and best:
-                return False
-            used[x] = used.get(x, 0) + 1
-            stack.append(x)
-            done = fill(room - x, k)
-            stack.pop()
-            used[x] -= 1
-            if done:
-                return True
-        if not took and room < waste:
-            waste, best = room, list(stack)
-        return waste == 0
-
-    fill(size - first, 0)
-    return [first, *best]
-
-
-def plan(histogram: dict[int, int], size: int = 1024) -> list[tuple[int, int, int, int, int]]:
-    """Slots (length, first rank, ranks, first sequence, offset): rank r of a length lies in sequence first + r - first rank, at offset."""
     count = np.zeros(size + 1, np.int64)
     for length, n in histogram.items():
         count[length] = n
     taken = np.zeros(size + 1, np.int64)
     slots, sequence = [], 0
-    for first in range(size, 0, -1):
-        while count[first] > 0:
-            count[first] -= 1
-            filling = completion(first, count, size)
-            count[first] += 1
-            need = {x: filling.count(x) for x in filling}
-            times = int(min(count[x] // k for x, k in need.items()))
-            offset = 0
-            for x in filling:
+    for filling, times in completed(count, size, steps):
+        offset = 0
+        for x, n in filling:
+            for _ in range(n):
                 slots.append((x, int(taken[x]), times, sequence, offset))
                 taken[x] += times
-                count[x] -= times
                 offset += x
-            sequence += times
+        sequence += times
     return slots
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, parts: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, steps: int = 300_000) -> DataFrame:
     """The pieces with sequence_id and offset (gapless from 0 in each sequence of at most ``size`` ids)."""
-    cut = written(pieces(docs, tokenizer, size, end_id).withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int")))
-    tally = cut.groupBy("length", "part").agg(F.count("*").alias("n")).collect()  # at most size x parts rows
-    histogram: dict[int, int] = {}
-    base: dict[tuple[int, int], int] = {}
-    for r in sorted(tally, key=lambda r: (r.length, r.part)):
-        base[r.length, r.part] = histogram.get(r.length, 0)
-        histogram[r.length] = histogram.get(r.length, 0) + r.n
-    slots = np.array(sorted(plan(histogram, size)), np.int64).reshape(-1, 5)
-    offsets = np.zeros((size + 1, parts), np.int64)
-    for (length, part), n in base.items():
-        offsets[length, part] = n
-    handle = docs.sparkSession.sparkContext.broadcast((slots, offsets))
+    cut = written(pieces(docs, tokenizer, size, end_id))
+    tally = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
+    histogram = {r.length: r.n for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``size`` rows
+    slots = np.array(sorted(plan(histogram, size, steps)), np.int64).reshape(-1, 5)
+    handle = docs.sparkSession.sparkContext.broadcast(slots)  # bounded by the lengths' ways to share a sequence, not by the pieces
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begin = tally.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, offsets = handle.value
+        slots = handle.value
         wide = int(slots[:, 1:3].sum(1).max()) + 1 if len(slots) else 1
         key = slots[:, 0] * wide + slots[:, 1]
-        seen = np.zeros_like(offsets)  # pieces of a length and part that came before; one task has the whole part
         for batch in batches:
-            length, part = batch.column("length").to_numpy(), batch.column("part").to_numpy()
-            code = length * parts + part
-            order = np.argsort(code, kind="stable")
-            new = np.flatnonzero(np.diff(code[order], prepend=-1))
-            within = np.arange(len(code)) - np.repeat(new, np.diff(np.append(new, len(code))))
-            rank = np.zeros(len(code), np.int64)
-            rank[order] = within
-            rank += (offsets + seen)[length, part]
-            np.add.at(seen, (length, part), 1)
-            at = np.searchsorted(key, length * wide + rank, "right") - 1
+            rank = batch.column("rank").to_numpy()
+            at = np.searchsorted(key, batch.column("length").to_numpy() * wide + rank, "right") - 1
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(slots[at, 3] + rank - slots[at, 1]), pa.array(slots[at, 4])], names=[*batch.schema.names[:-1], "sequence_id", "offset"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return cut.repartition("part").sortWithinPartitions("part", "length", "doc_id", "piece").mapInArrow(place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    ranked = cut.join(begin, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("begin") + F.col("nth")).alias("rank"))
+    return ranked.mapInArrow(place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
