@@ -4,16 +4,19 @@ Four base kinds (email, ip, card, phone) are exact patterns with checks; what th
 The method adds spans of the kinds secret, name, handle and number from wider candidates. On each candidate five
 labelers (pattern, check, gazetteer, context, shape) vote for, against, or not at all. The counts of
 the vote patterns over the whole corpus (a small bounded table) give each labeler's reliability by
-EM; the posteriors of at most ``sample`` candidates (a documented bound, chosen by hash) train a
-logistic span classifier, which scores every candidate from its own shape and surroundings. An added span never overlaps a base one.
-
-Places are code points, ends exclusive. Null text is empty and has no spans. An empty corpus, or one
-without candidates, gives a classifier that adds nothing. Repeated rows get the same result;
-extra columns are ignored.
+EM; the posteriors of all candidates, counted by votes and features, train a logistic span classifier by
+Newton steps whose sums are made in the tasks. It scores every candidate from its own shape and surroundings. An
+added span never overlaps a base one, nor another added one (the first stays).
+
+Places are code points, ends exclusive. Null text is empty and has no spans. Very long texts, and long runs of
+digits or letters in them, take time in proportion to their length. An empty corpus, or one
+without candidates, gives a classifier that adds nothing. Repeated rows get the same result, as do rows
+with a null id; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -30,25 +33,32 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "name", "handle", "number")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: What follows the at sign of an email.
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+#: A match ends with its digits, so none but the first of a run of digits can begin one: the others need not be tried.
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Where an ip, card or phone can lie: all their characters, from the first to the last that can begin or end one.
-ZONE = re.compile(r"[0-9+](?:[0-9\x20.()+-]*[0-9])?")
-MAIL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-@")
+#: Where an ip, card or phone can lie: runs of all their characters that begin with one that can begin one of them.
+ZONE = re.compile(r"[0-9+][0-9\x20.()+-]*")
 #: Words that go before a secret, and its form. Each match of the form has one of the first, once case-folded as IGNORECASE folds
 #: (long s and the Kelvin sign too; "api" alone would miss the dotless i, which folds to itself).
 SECRET_WORDS = ("token", "secret", "passw", "key")
 SECRET = re.compile(r"(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_-]{12,})", re.IGNORECASE)
 #: Forms of address and common given names, after which a name may follow.
 TITLES = ("Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "Herr", "Frau", "Monsieur", "Madame", "Señor")
-GIVEN = frozenset("James Mary John Patricia Robert Jennifer Michael Linda William Elizabeth David Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen Anna Peter Hans Klaus Ursula Pierre Jean Marie Sophie Carlos Maria Juan Carmen".split())
+GIVEN = frozenset(
+    "James Mary John Patricia Robert Jennifer Michael Linda William Elizabeth David Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen "
+    "Daniel Nancy Matthew Lisa Anthony Margaret Mark Sandra Steven Ashley Paul Emily Andrew Donna Kevin Michelle Brian Laura George Amanda Edward Melissa "
+    "Anna Peter Hans Klaus Ursula Wolfgang Jürgen Monika Sabine Stefan Heike Dieter Pierre Jean Marie Sophie Claude François Isabelle Nicolas Camille Luc "
+    "Carlos Maria Juan Carmen José Luis Ana Pedro Lucía Miguel Sofía Javier Elena Giulia Marco Francesca Giovanni Ahmed Fatima Mohammed Aisha Wei Li Yuki Hiroshi Priya Raj Olga Ivan".split()
+)
 NAME = re.compile(r"(?:(?:Mr\.|Mrs\.|Ms\.|Dr\.|Prof\.|Herr|Frau|Monsieur|Madame|Señora?)\s([A-Z][\w'-]+(?:\s[A-Z][\w'-]+)?))|\b((?:" + "|".join(sorted(GIVEN)) + r")\s[A-Z][\w'-]+)")
-HANDLE = re.compile(r"[A-Za-z0-9._-]+\s?[\[(](?:at|AT)[\])]\s?[A-Za-z0-9-]+(?:\s?(?:\.|[\[(](?:dot|DOT)[\])])\s?[A-Za-z0-9-]+)+")
+HANDLE = re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++\s?[\[(](?:at|AT)[\])]\s?[A-Za-z0-9-]+(?:\s?(?:\.|[\[(](?:dot|DOT)[\])])\s?[A-Za-z0-9-]+)+")
 CONTEXT_FOR = re.compile(r"(?i)e-?mail|contact|phone|\btel\b|call|mobile|\bip\b|address|card|visa|token|secret|password|key|name|account|ssn|iban")
 CONTEXT_AGAINST = re.compile(r"(?i)version|isbn|figure|page|chapter|price|total|example|invoice|order|revision|build|\bno\.")
-TLDS = frozenset("com org net edu gov io de fr es uk eu info co".split())
+TLDS = frozenset("com org net edu gov mil int io ai app dev info biz name de fr es it uk eu co us ca mx br ar cl pt nl be ch at se no dk fi pl cz ru ua tr in cn jp kr au nz za".split())
 
 
 def luhn(digits: str) -> bool:
@@ -76,19 +86,17 @@ def number_kinds(text: str) -> Iterator[tuple[str, int, int, bool]]:
 
 
 def emails(text: str) -> Iterator[tuple[str, int, int, bool]]:
-    """Matches lie in runs of their own characters round an at sign; only such runs are searched."""
+    """From each at sign its local part backwards, to the last match or at sign at most, and its domain forwards."""
     done, at = 0, text.find("@")
     while at >= 0:
-        if at >= done:
-            a, b = at, at + 1
-            while a > done and text[a - 1] in MAIL_CHARS:
-                a -= 1
-            while b < len(text) and text[b] in MAIL_CHARS:
-                b += 1
-            for m in EMAIL.finditer(text, a, b):
-                yield "email", m.start(), m.end(), True
-            done = b
-        at = text.find("@", max(at + 1, done))
+        a = at
+        while a > done and text[a - 1] in LOCAL:
+            a -= 1
+        done = at + 1
+        if a < at and (m := DOMAIN.match(text, at + 1)):
+            yield "email", a, m.end(), True
+            done = m.end()
+        at = text.find("@", done)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -130,7 +138,8 @@ def candidates(text: str) -> list[Candidate]:
         mixed = len(set(span)) / max(1, len(span))
         shape = -1 if uniform else {"secret": 1 if digits >= 4 and len(span) >= 20 else 0, "number": -1 if digits < 9 else 0, "card": 1, "phone": 1, "email": 1, "ip": 1}.get(kind, 0)
         inside = lambda i: 0 <= i < len(text) and text[i].isalnum()
-        features = (1.0, *(float(kind == k) for k in KINDS), min(len(span), 60) / 60, digits / max(1, len(span)), sum(c.isupper() for c in span) / max(1, len(span)), mixed, float(inside(a - 1)), float(inside(b)), float(yes), float(no), float(uniform), float(check > 0), float(check < 0))
+        part = lambda x: round(10 * x) / 10  # noqa: E731  # few values, so that candidates can be counted by their features
+        features = (1.0, *(float(kind == k) for k in KINDS), part(min(len(span), 60) / 60), part(digits / max(1, len(span))), part(sum(c.isupper() for c in span) / max(1, len(span))), part(mixed), float(inside(a - 1)), float(inside(b)), float(yes), float(no), float(uniform), float(check > 0), float(check < 0))
         out.append(Candidate(kind, a, b, base, (pattern, check, known, int(yes) - int(no), shape), features))
     return out
 
@@ -158,43 +167,81 @@ def reliabilities(patterns: dict[tuple[int, ...], int], rounds: int = 50) -> tup
     return prior, table, dict(zip(keys, post.tolist(), strict=True))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights for soft labels y by Newton's method."""
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + l2 * np.eye(len(w))
-        w += np.clip(np.linalg.solve(h, x.T @ (y - p) - l2 * w), -5, 5)
-    return w
+WIDTH = 1 + len(KINDS) + 11
 
 
-WIDTH = 1 + len(KINDS) + 11
+def newton_sums(x: np.ndarray, y: np.ndarray, n: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Gradient and curvature of the log likelihood of soft labels y, each counted n times, in one row of numbers."""
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return np.concatenate([x.T @ (n * (y - p)), ((x * (n * (p * (1 - p) + 1e-6))[:, None]).T @ x).ravel()])
+
+
+def newton_step(sums: np.ndarray, w: np.ndarray, l2: float) -> np.ndarray:
+    k = len(w)
+    return np.clip(np.linalg.solve(sums[k:].reshape(k, k) + l2 * np.eye(k), sums[:k] - l2 * w), -5, 5)
+
+
+def logistic(counted: DataFrame, posterior: dict[tuple[int, ...], float], l2: float = 1.0, rounds: int = 12) -> np.ndarray:
+    """Weights from all rows of ``counted`` (votes, features, n); a round sends one row of sums from each task."""
+    w = np.zeros(WIDTH)
+    for _ in range(rounds):
+
+        def sums(batches: Iterator[pa.RecordBatch], w: np.ndarray = w) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(WIDTH + WIDTH**2)
+            for batch in batches:
+                if batch.num_rows:
+                    x = np.array(batch.column("features").to_pylist())
+                    y = np.array([posterior[tuple(v)] for v in batch.column("votes").to_pylist()])
+                    total += newton_sums(x, y, batch.column("n").to_numpy().astype(float), w)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], names=["k", "v"])
+
+        found = {r.k: r.v for r in counted.mapInArrow(sums, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()}  # WIDTH + WIDTH ** 2 rows
+        step = newton_step(np.array([found.get(k, 0.0) for k in range(WIDTH + WIDTH**2)]), w, l2)
+        w += step
+        if np.abs(step).max() < 1e-4:
+            break
+    return w
 
 
-def fit(docs: DataFrame, sample: int = 20_000) -> np.ndarray:
-    """Weights of the span classifier. Votes are counted over all rows; ``sample`` bounds the spans that it is trained on."""
+def fit(docs: DataFrame) -> np.ndarray:
+    """Weights of the span classifier, from all rows. Votes and features have few values each, so tasks count candidates before anything moves."""
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [c for text in batch.column("text").to_pylist() for c in candidates(text or "")]
-            yield pa.RecordBatch.from_arrays([pa.array([list(c.votes) for c in found], pa.list_(pa.int32())), pa.array([list(c.features) for c in found], pa.list_(pa.float64()))], names=["votes", "features"])
-
-    found = written(only(docs, "text").mapInArrow(label, "votes array<int>, features array<double>"))
-    patterns = {tuple(r.votes): r.n for r in found.groupBy("votes").agg(F.count("*").alias("n")).collect()}  # at most 3 ** 5
-    _, _, posterior = reliabilities(patterns)
-    rows = found.groupBy("votes", "features").agg(F.count("*").alias("n")).orderBy(F.xxhash64("votes", "features"), "votes", "features").limit(sample).collect()
-    if not rows:
+            same: dict[tuple, int] = {}
+            for text in batch.column("text").to_pylist():
+                for c in candidates(text or ""):
+                    same[c.votes, c.features] = same.get((c.votes, c.features), 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([list(v) for v, _ in same], pa.list_(pa.int32())), pa.array([list(f) for _, f in same], pa.list_(pa.float64())), pa.array(list(same.values()), pa.int64())], names=["votes", "features", "n"])
+
+    found = only(docs, "text").mapInArrow(label, "votes array<int>, features array<double>, n long")
+    counted = written(found.groupBy("votes", "features").agg(F.sum("n").alias("n")))
+    patterns = {tuple(r.votes): r.n for r in counted.groupBy("votes").agg(F.sum("n").alias("n")).collect()}  # at most 3 ** 5
+    if not patterns:
         return np.eye(1, WIDTH, 0)[0] * -10.0
-    return logistic(np.array([r.features for r in rows]), np.array([posterior[tuple(r.votes)] for r in rows]))
+    return logistic(counted, reliabilities(patterns)[2])
 
 
 def spans(text: str, weights: np.ndarray, threshold: float = 0.5) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) in order; added spans don't overlap any other."""
     found = candidates(text)
     out = [(c.kind, c.start, c.end, True) for c in found if c.base]
+    # Base spans as disjoint stretches, by start.
+    begin: list[int] = []
+    stop: list[int] = []
+    for _, a, b, _ in out:
+        if begin and a < stop[-1]:
+            stop[-1] = max(stop[-1], b)
+        else:
+            begin.append(a)
+            stop.append(b)
+    last, least = 0, float(np.log(threshold / (1 - threshold)))
     for c in found:
-        if not c.base and float(np.dot(c.features, weights)) >= np.log(threshold / (1 - threshold)) and not any(c.start < b and a < c.end for _, a, b, _ in out):
-            out.append((c.kind, c.start, c.end, False))
+        if not c.base and c.start >= last and float(np.dot(c.features, weights)) >= least:
+            k = bisect.bisect_left(begin, c.end) - 1
+            if k < 0 or stop[k] <= c.start:
+                out.append((c.kind, c.start, c.end, False))
+                last = c.end
     return sorted(out, key=lambda s: (s[1], ORDER[s[0]], s[2]))
 
 
