@@ -4,14 +4,19 @@ A text is lowered and stripped to words; bigrams are pairs of neighbours, counte
 stretch of words that begins and ends with bigrams of the template; its Dice coefficient with a
 template of t bigrams is 2 * shared / (own + t). At threshold d a passage must have between
 t * d / (2 - d) and t * (2 - d) / d bigrams, which bounds the stretches, and share at least t * d / (2 - d)
-of the template's, which drops most templates before any stretch is measured.
+of the template's, which drops most templates before any stretch is measured. The best stretch of a
+template is found, then the best ones before and after it, and so on: all passages come out, of every licence.
+Further templates, whole licence texts among them, are given as ``known``.
 
-Null and empty texts match nothing. Ties go to the longer template, then the first name, then the
-first place. A text of one word has no bigram. Repeated rows get the same result; extra columns are ignored.
+Null and empty texts match nothing. Of a text's passages the best comes first; ties go to the longer template, then the
+first name, then the first place. A text of one word has no bigram. Texts of any length are scanned whole. Repeated rows get the
+same result, and rows with a null id are scanned like others; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +36,7 @@ TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     ],
     "BSD-2-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
@@ -38,6 +44,24 @@ TEMPLATES = {
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ],
+    "BSL-1.0": [
+        'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:',
+    ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ],
@@ -89,32 +113,79 @@ def templates(texts: dict[str, list[str]] = TEMPLATES) -> Templates:
     return Templates(names, np.bincount(key.t, minlength=len(names)), key.b.copy(), key.t.copy())
 
 
-def best_passage(pair: np.ndarray, of: np.ndarray, size: int, threshold: float) -> tuple[float, int, int]:
-    """(Dice, first, last) of the best stretch of bigrams; ``of`` marks those that the template has."""
-    hits = np.flatnonzero(of)
-    most, need = int(size * (2 - threshold) / threshold), size * threshold / (2 - threshold)
-    best = (0.0, 0, 0)
-    for i, a in enumerate(hits):
-        inside = hits[i : np.searchsorted(hits, a + 3 * most)]
-        if len(inside) < need:
+def neighbours(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the same bigram before and after each place: -1 and the end where there is none."""
+    order = np.argsort(pair, kind="stable")
+    same = pair[order][1:] == pair[order][:-1]
+    before, after = np.full(len(pair), -1), np.full(len(pair), len(pair))
+    before[order[1:][same]] = order[:-1][same]
+    after[order[:-1][same]] = order[1:][same]
+    return before, after
+
+
+def best_stretch(a: int, end: int, of: np.ndarray, before: np.ndarray, size: int, most: int) -> tuple[float, int]:
+    """(Dice, last) of the best stretch of bigrams from ``a`` that ends before ``end``; ``of`` marks those that the template has."""
+    wide = 2 * most + 2
+    while True:  # a bigram is new in the stretch if it last stood before a
+        b = min(a + wide, end)
+        new = before[a:b] < a
+        own = np.cumsum(new)
+        if b == end or own[-1] > most:
+            break
+        wide *= 4
+    n = int(np.searchsorted(own, most, "right"))
+    has = of[a : a + n]
+    dice = np.where(has, 2 * np.cumsum(new[:n] & has) / (own[:n] + size), 0)
+    k = int(np.argmax(dice))
+    return float(dice[k]), a + k
+
+
+def all_passages(pair: np.ndarray, of: np.ndarray, size: int, threshold: float) -> list[tuple[float, int, int]]:
+    """(Dice, first, last) of the best passage, then of the best one beside it, and so on, of Dice ``threshold`` at least.
+
+    A stretch need not go on to where its first bigram stands again: without the first place it would be as good.
+    """
+    before, after = neighbours(pair)
+    most = int(size * (2 - threshold) / threshold + 1e-9)
+    heap = []
+    for a in np.flatnonzero(of).tolist():
+        dice, b = best_stretch(a, int(after[a]), of, before, size, most)
+        if dice >= threshold:
+            heap.append((-dice, a, b))
+    heapq.heapify(heap)
+    begins: list[int] = []
+    taken: dict[int, int] = {}
+    while heap:
+        dice, a, b = heapq.heappop(heap)
+        k = bisect.bisect_right(begins, a)
+        if k and taken[begins[k - 1]] >= a:
             continue
-        seen: set[int] = set()
-        own: set[int] = set()
-        at = a
-        for b in inside.tolist():
-            own.update(pair[at : b + 1].tolist())
-            at = b + 1
-            seen.add(int(pair[b]))
-            if len(own) > most:
-                break
-            dice = 2 * len(seen) / (len(own) + size)
-            if dice > best[0]:
-                best = (dice, int(a), b)
-    return best
+        if k < len(begins) and begins[k] <= b:  # cut short by a better passage
+            again, b = best_stretch(a, begins[k], of, before, size, most)
+            if again >= threshold:
+                heapq.heappush(heap, (-again, a, b))
+            continue
+        begins.insert(k, a)
+        taken[a] = b
+    return sorted(((2 * len(set(pair[a : b + 1][of[a : b + 1]].tolist())) / (len(set(pair[a : b + 1].tolist())) + size), a, b) for a, b in taken.items()), key=lambda x: (-x[0], x[1]))
+
+
+def distinct_names(found: list[tuple[float, int, str, int, int]]) -> list[tuple[str, float, int, int]]:
+    """(name, dice, start, end), best first; of passages of one licence's templates that overlap, the first."""
+    out: list[tuple[str, float, int, int]] = []
+    taken: dict[str, list[tuple[int, int]]] = {}
+    for d, _, name, x, y in sorted(found):
+        if all(y <= a or b <= x for a, b in taken.get(name, ())):
+            taken.setdefault(name, []).append((x, y))
+            out.append((name, -d, x, y))
+    return out
+
+
+PASSAGE = pa.struct([("license", pa.string()), ("dice", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
 def scan(docs: DataFrame, threshold: float = 0.8, known: dict[str, list[str]] = TEMPLATES) -> DataFrame:
-    """doc_id, license (null if none reaches the threshold), dice, start, end (bytes of the passage), n_licenses; a row for each row of docs."""
+    """doc_id, license (null if none reaches the threshold), dice, start, end (bytes of the best passage), n_licenses, passages (all, best first); a row for each row of docs."""
     t = templates(known)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,21 +201,19 @@ def scan(docs: DataFrame, threshold: float = 0.8, known: dict[str, list[str]] =
                 shared = np.zeros((p.n, len(t.names)), np.int32)
                 np.add.at(shared, (key.r, key.t), 1)
                 cut = np.searchsorted(row, np.arange(p.n + 1))
-                out = [(None, 0.0, None, None, 0)] * p.n
-                enough = shared >= t.sizes * threshold / (2 - threshold)
+                best, passages = [(None, 0.0, None, None, 0)] * p.n, [[]] * p.n
+                enough = (shared > 0) & (shared >= t.sizes * threshold / (2 - threshold) - 1e-9)
                 for i in np.flatnonzero(enough.any(1)):
-                    found = []
-                    mine = pair[cut[i] : cut[i + 1]]
+                    at, mine, found = cut[i], pair[cut[i] : cut[i + 1]], []
                     for k in np.flatnonzero(enough[i]):
                         has = np.isin(mine, t.bigram[t.owner == k])
-                        dice, x, y = best_passage(mine, has, int(t.sizes[k]), threshold)
-                        if dice >= threshold:
-                            found.append((-dice, -int(t.sizes[k]), t.names[k], int(start[cut[i] + x] - p.off[i]), int(end[cut[i] + y] - p.off[i])))
-                    if found:
-                        d, _, name, x, y = min(found)
-                        out[i] = (name, -d, x, y, len({f[2] for f in found}))
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([batch.slice(a, b - a).column("doc_id"), *(pa.array(c, kind) for c, kind in zip(cols, (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()), strict=True))], names=["doc_id", "license", "dice", "start", "end", "n_licenses"])
+                        found += [(-dice, -int(t.sizes[k]), t.names[k], int(start[at + x] - p.off[i]), int(end[at + y] - p.off[i])) for dice, x, y in all_passages(mine, has, int(t.sizes[k]), threshold)]
+                    if found := distinct_names(found):
+                        best[i] = (*found[0], len({f[0] for f in found}))
+                        passages[i] = [dict(zip(("license", "dice", "start", "end"), f, strict=True)) for f in found]
+                cols = list(zip(*best, strict=True))
+                kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.slice(a, b - a).column("doc_id"), *(pa.array(c, kind) for c, kind in zip(cols, kinds, strict=True)), pa.array(passages, pa.list_(PASSAGE))], names=["doc_id", "license", "dice", "start", "end", "n_licenses", "passages"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return only(docs, "doc_id", "text").mapInArrow(apply, f"doc_id {kind}, license string, dice double, start long, end long, n_licenses long")
+    return only(docs, "doc_id", "text").mapInArrow(apply, f"doc_id {kind}, license string, dice double, start long, end long, n_licenses long, passages array<struct<license string, dice double, start long, end long>>")

@@ -15,7 +15,9 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    places = F.transform("passages", lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["end"].cast("string")))
+    return found.withColumn("passages", F.array_join(places, ","))
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
