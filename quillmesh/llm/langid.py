@@ -1,19 +1,21 @@
 """Language of every word and text by a linear-chain conditional random field.
 
-A chain is a line's words that hold a letter, in parts of at most ``CHAIN`` words. A word's emission
+A chain is a line's words that hold a letter. A word's emission
 sums learned weights of its features: the word, its prefixes and suffixes, its byte trigrams, and
 whether a learned lexicon of a language has it. Transitions between languages are learned too, from chains that
 switch between texts of different languages. Forward-backward gives each word's probabilities; a
-text's language is the one with the largest mean over its words, the mean its score.
+text's language is the one with the largest mean over its words, the mean its score. A long line is worked on in parts
+of ``CHAIN`` words at a time, which the products of their transfer matrices join: the probabilities are those of the whole line.
 
 Training texts are a bounded sample: at most ``per_lang`` a language, chosen by a hash of the id, of
-every value of lang. Null texts, and texts without a letter, get
+every value of lang, and of each at most four stretches of 60 words, cut in the tasks. Null texts, and texts without a letter, get
 ``und`` and 0. Ties go to the first language by name. With nothing to learn from, all is ``und``.
-Repeated rows get the same result; extra columns are ignored.
+Very long texts and lines are read whole. Repeated rows get the same result, rows with a null id are predicted (and learned from) like others; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,12 +49,12 @@ def word_features(p: tk.Packed, s: np.ndarray, e: np.ndarray, m: Model) -> tuple
     for kind, k in (("p", 1), ("p", 2), ("p", 3), ("s", 1), ("s", 2), ("s", 3), ("s", 4)):
         fit = n[e - s >= k]
         a, b = (s[fit], s[fit] + k) if kind == "p" else (e[fit] - k, e[fit])
-        ids.append(tk.mix(p.hashes(a, b, tk.LOWER) + tk.U(k + 10 * (kind == "s") + 1)))
+        ids.append(tk.mix(p.rolling(a, b, tk.LOWER) + tk.U(k + 10 * (kind == "s") + 1)))
         words.append(fit)
     size = np.maximum(e - s - 2, 0)
     owner = np.repeat(n, size)
     at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + s[owner]
-    ids.append(p.hashes(at, at + 3, tk.LOWER))
+    ids.append(p.rolling(at, at + 3, tk.LOWER))
     words.append(owner)
     feature = (np.concatenate(ids) & tk.U((1 << BITS) - 1)).astype(np.int64)
     if len(m.lexicon):
@@ -63,48 +65,87 @@ def word_features(p: tk.Packed, s: np.ndarray, e: np.ndarray, m: Model) -> tuple
     return np.concatenate(words), feature
 
 
-def chains(p: tk.Packed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words with a letter, without marks at their sides, and the first word of each chain."""
+def chains(p: tk.Packed) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words with a letter, without marks at their sides, the first word of each part of a line, and whether the part goes on the one before."""
     s, e = p.runs(LETTER)  # apostrophes and hyphens part words; harmless here
     line = np.searchsorted(np.flatnonzero(p.buf == 10), s)
     new = np.flatnonzero(np.diff(line, prepend=-1))
     size = np.diff(np.append(new, len(s)))
     parts = -(-size // CHAIN)
-    first = np.repeat(new, parts) + CHAIN * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
-    return s, e, first
+    within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    return s, e, np.repeat(new, parts) + CHAIN * within, within > 0
 
 
-def forward_backward(emission: np.ndarray, first: np.ndarray, transitions: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
-    """Probabilities (word x language) of chains that begin at ``first`` and lie one after another; adds expected transitions to ``pairs``."""
-    n, k = emission.shape
-    out = np.empty((n, k), np.float32)
+def _blocks(first: np.ndarray, n: int, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+    """Parts in blocks of like length: (parts, their first words, for each step how many of them reach it; those come first)."""
     length = np.diff(np.append(first, n))
     order = np.argsort(-length, kind="stable")
-    step = np.exp(transitions - transitions.max()).astype(np.float32)
-    local = np.exp(emission - emission.max(1, keepdims=True)) + np.float32(1e-12)
     at = 0
     while at < len(order):
-        block = order[at : at + max(1, 400_000 // max(1, int(length[order[at]])))]
+        block = order[at : at + max(1, width // max(1, int(length[order[at]])))]
         at += len(block)
-        size, start = length[block], first[block]
-        steps = int(size[0])
-        live = [int(np.searchsorted(-size, -t, "left")) for t in range(steps)]  # chains longer than t come first
+        size = length[block]
+        yield block, first[block], [int(np.searchsorted(-size, -t, "left")) for t in range(int(size[0]))]
+
+
+def borders(local: np.ndarray, first: np.ndarray, goes_on: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What comes into each part from the words before it in its line, and from those after it."""
+    parts, k = len(first), local.shape[1]
+    into, back = np.ones((parts, k), np.float32), np.ones((parts, k), np.float32)
+    some = np.flatnonzero(goes_on | np.append(goes_on[1:], False))  # parts of lines with more than one
+    if not len(some):
+        return into, back
+    moved = np.empty((parts, k, k), np.float32)
+    stop = np.append(first, len(local))
+    for block, start, live in _blocks(np.arange(len(some)) * CHAIN, len(some) * CHAIN, 100_000 // k):
+        del start
+        own = some[block]
+        size = stop[own + 1] - stop[own]
+        m = np.where(goes_on[own][:, None, None], step[None], np.eye(k, dtype=np.float32)[None]) * local[first[own]][:, None, :]
+        for t in range(1, len(live)):
+            go = np.flatnonzero(size > t)
+            x = (m[go] @ step) * local[first[own[go]] + t][:, None, :]
+            m[go] = x / x.max((1, 2), keepdims=True)
+        moved[own] = m
+    out = np.ones(k, np.float32)
+    for j in some.tolist():
+        if goes_on[j]:
+            into[j] = out @ step
+            into[j] /= into[j].sum()
+        out = (out if goes_on[j] else np.ones(k, np.float32)) @ moved[j]
+        out /= out.sum()
+    for j in some[::-1].tolist():
+        if goes_on[j]:
+            b = moved[j] @ back[j]
+            back[j - 1] = b / b.sum()
+    return into, back
+
+
+def forward_backward(emission: np.ndarray, first: np.ndarray, transitions: np.ndarray, pairs: np.ndarray | None = None, goes_on: np.ndarray | None = None) -> np.ndarray:
+    """Probabilities (word x language) of parts of chains that begin at ``first`` and lie one after another; adds expected transitions to ``pairs``."""
+    n, k = emission.shape
+    out = np.empty((n, k), np.float32)
+    step = np.exp(transitions - transitions.max()).astype(np.float32)
+    local = np.exp(emission - emission.max(1, keepdims=True)) + np.float32(1e-12)
+    into, back = borders(local, first, np.zeros(len(first), bool) if goes_on is None else goes_on, step)
+    for block, start, live in _blocks(first, n, 400_000):
         alpha = []
-        for t in range(steps):
-            e = local[start[: live[t]] + t]
-            a = e if t == 0 else (alpha[-1][: live[t]] @ step) * e
+        for t, on in enumerate(live):
+            e = local[start[:on] + t]
+            a = e * into[block] if t == 0 else (alpha[-1][:on] @ step) * e
             alpha.append(a / a.sum(1, keepdims=True))
-        beta = np.ones((len(block), k), np.float32)
-        for t in range(steps - 1, -1, -1):
-            g = alpha[t] * beta[: live[t]]
-            out[start[: live[t]] + t] = g / g.sum(1, keepdims=True)
+        beta = back[block]
+        for t in range(len(live) - 1, -1, -1):
+            on = live[t]
+            g = alpha[t] * beta[:on]
+            out[start[:on] + t] = g / g.sum(1, keepdims=True)
             if t:
-                right = local[start[: live[t]] + t] * beta[: live[t]]
+                right = local[start[:on] + t] * beta[:on]
                 if pairs is not None:
-                    joint = alpha[t - 1][: live[t], :, None] * step[None] * right[:, None, :]
+                    joint = alpha[t - 1][:on, :, None] * step[None] * right[:, None, :]
                     pairs += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
                 b = right @ step.T
-                beta[: live[t]] = b / b.sum(1, keepdims=True)
+                beta[:on] = b / b.sum(1, keepdims=True)
     return out
 
 
@@ -169,19 +210,37 @@ def train(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.3
 
 def word_probabilities(p: tk.Packed, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of a pack, and each one's probability of each language."""
-    s, e, first = chains(p)
+    s, e, first, goes_on = chains(p)
     kinds, one, code = np.unique(p.hashes(s, e, tk.LOWER), return_index=True, return_inverse=True)
     w, f = word_features(p, s[one], e[one], m)
     emission = np.column_stack([np.bincount(w, m.weights[f, j], len(kinds)) for j in range(len(m.langs))]).astype(np.float32)
-    return s, e, forward_backward(emission[code], first, m.transitions)
+    return s, e, forward_backward(emission[code], first, m.transitions, goes_on=goes_on)
+
+
+def stretches(text: str, seed: int, parts: int = 4, words: int = 60) -> str:
+    """At most ``parts`` stretches of at most ``words`` words with a letter, a line each."""
+    p = next(tk.packs(pa.array([text], pa.string())))[2]
+    s, e = p.runs(LETTER)
+    if len(s) <= parts * words:
+        return text
+    at = np.random.default_rng(seed).integers(0, len(s) - words + 1, parts)
+    return "\n".join(p.buf[s[k] : e[k + words - 1]].tobytes().decode("utf-8", "replace").replace("\n", " ") for k in at.tolist())
 
 
 def fit(docs: DataFrame, learn: Column, per_lang: int = 800) -> Model:
     rows = only(docs, "doc_id", "text", "lang").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # Ids first: the ordering moves no texts. A rank filter of a window is cut before the shuffle.
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    ids = rows.select("lang", "doc_id").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select("doc_id").distinct()
-    sample = sorted((r.lang, r.text) for r in rows.join(F.broadcast(ids), "doc_id").select("lang", "text").collect())
+    ids = rows.select("lang", "doc_id").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select(F.col("doc_id").alias("chosen")).distinct()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [stretches(t, zlib.crc32(str(i).encode())) for t, i in zip(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(texts, pa.string())], names=["lang", "text"])
+
+    # Equal ids are met null-safe: rows without an id are learned from too.
+    met = rows.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("chosen"))).select("doc_id", "lang", "text")
+    sample = sorted((r.lang, r.text) for r in met.mapInArrow(cut, "lang string, text string").collect())
     return train([t for _, t in sample], [x for x, _ in sample])
 
 
