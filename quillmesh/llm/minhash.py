@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm import textkernels as tk
-from quillmesh.llm.common import only, written
+from quillmesh.llm.common import only, spread_join, written
 from quillmesh.llm.components import connected_components
 
 PLACES, BANDS = 96, 24
@@ -191,31 +191,36 @@ def _links(percent: int):
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 2048, block_elements: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable, itself included), kept; a row for each row of docs."""
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     sig = written(signatures(docs, words))
     some = sig.where("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
-    member = written(some.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["n_shingles", "fp1", "fp2"]).select("doc_id", "rep", "n_shingles").distinct())
-    reps = some.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
+    same = ["n_shingles", "fp1", "fp2"]
+    classes = written(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
+    total = sig.count()
+    # A row of each class, with its bands: copies take no part in what follows.
+    reps = classes.select(F.col("rep").alias("doc_id"), *same).join(sig, ["doc_id", *same]).select("doc_id", "n_shingles", "bands").dropDuplicates(["doc_id", "n_shingles", "bands"])
+    reps = written(reps)
     # Candidate groups: what shares a band, or a chain of bands, with its least member.
     shared = reps.select("doc_id", F.explode("bands").alias("band"))
-    meet = shared.groupBy("band").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).where("u != last").select("band", "u")
-    near = shared.join(meet, "band").where("doc_id != u").select("u", F.col("doc_id").alias("v")).distinct()
+    meet = shared.groupBy("band").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("u != last").select("band", "u", "n")
+    near = spread_join(shared, meet, ["band"], total * BANDS).where("doc_id != u").select("u", F.col("doc_id").alias("v"))
     group = connected_components(near)
     group = written(group.select(F.col("component").alias("doc_id"), F.col("component").alias("grp")).distinct().union(group.select("node", "component")))
     # Blocks bound what a task holds; every two blocks of a group meet in one task.
-    size = group.join(member.where("doc_id = rep").select("doc_id", "n_shingles"), "doc_id").groupBy("grp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
+    size = group.join(reps.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles")), "doc_id").groupBy("grp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
     parts = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("elements") / block_elements)).cast("int")
-    rows = group.join(size.select("grp", parts.alias("parts")), "grp").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    rows = spread_join(group, size.select("grp", "n", parts.alias("parts")), ["grp"], total).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     other = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: q != F.col("part")))
     rows = rows.select("grp", "doc_id", "part", F.explode(other).alias("q")).select("grp", F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"), "doc_id")
-    full = sets(only(docs, "doc_id", "text").join(group.select("doc_id"), "doc_id", "left_semi"), words)
+    full = sets(docs.join(group.select("doc_id"), "doc_id", "left_semi"), words)
     placed = rows.join(full, "doc_id").select("grp", "i", "j", "doc_id", "elements").repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
     links = placed.mapInArrow(_links(percent), "u long, v long")
-    final = connected_components(links.union(member.where("doc_id != rep").select("rep", "doc_id")))
-    return (
-        sig.select("doc_id", "n_shingles")
-        .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    # Rows of one id that are not copies of one another tie their classes together.
+    ids = some.groupBy("doc_id").agg(F.min(F.struct(*same)).alias("a"), F.max(F.struct(*same)).alias("b")).where("a != b").select("doc_id")
+    mixed = some.select("doc_id", *same).join(ids, "doc_id").distinct().join(classes, same).select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
+    final = written(connected_components(links.union(mixed)))
+    # A class has its least member's component; ids of several classes are nodes themselves.
+    node = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(*same, "n", F.coalesce("component", "rep").alias("component_id"))
+    linked_rows = spread_join(some.select("doc_id", *same), node, same, total).select("doc_id", "n_shingles", "component_id")
+    rest = sig.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked_rows.union(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
