@@ -7,32 +7,36 @@ follows the anchor), finds neighbours' common prefixes, and scans them with a st
 common-prefix intervals. In each interval the left contexts are sorted and scanned alike: members
 that extend to the left by enough to reach ``size`` with the interval's length are occurrences of one
 repeat, which is maximal if what precedes and what follows differ among them. Intervals of any depth
-are scanned, so all occurrences come out, not just neighbours'. A passage reaches as far as the
-windows of its anchor do; a longer repeat shows as overlapping pieces whose union it is.
+are scanned, so all occurrences come out, not just neighbours'. What is removed is the union of the maximal repeats'
+occurrences. A passage reaches as far as the windows of its anchor do; a longer repeat shows as overlapping pieces, which
+``maximal_repeats`` joins where they have the same occurrences.
 
-Exact copies of a text meet in one representative (their bytes all repeat). Anchors that occur once are
-dropped before any text moves. Anchors with more than ``hot`` distinct places are not gathered: their
-windows are counted by 128-bit hashes with partial sums. Both ways are exact.
+Exact copies of a text meet in one representative (their bytes all repeat). Anchors that occur in one place are
+dropped before any text moves. An anchor with more than ``most`` places is split by content: its windows fall into
+shorter runs, and what all windows of a run have in common becomes part of the key. Runs are split again while their keys
+have too many places; a run of one window is its key. So a task never has more than ``most`` places of a key.
 
-Null text is empty. Texts shorter than ``size`` lose nothing. Rows repeated in the table are copies of
-one another. Extra columns are ignored.
+Null text is empty. Texts shorter than ``size`` lose nothing; very long ones are read whole. Rows repeated in the table are copies of
+one another, whatever their ids; rows with a null id are texts like others. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.llm import textkernels as tk
-from quillmesh.llm.common import discard, in_bitmap, key_bitmap, only, shared_dir, written, written_at
+from quillmesh.llm.common import discard, in_bitmap, key_bitmap, only, spread_join, written, written_at
 
-GRAM = 24
+#: Bytes of an anchor; bits of a place in a pack; how many windows a run has at most, from one splitting of hot anchors to the next.
+GRAM, PLACE, RUNS = 24, 32, (16, 4, 1)
 
 
 def anchors(p: tk.Packed, size: int) -> tuple[np.ndarray, ...]:
@@ -43,8 +47,8 @@ def anchors(p: tk.Packed, size: int) -> tuple[np.ndarray, ...]:
     if not go.any():
         return tuple(np.zeros(0, t) for t in (np.int64, tk.U, np.int64, np.int64, np.int64))
     at = np.arange(n - k + 1)
-    g = p.hashes(at, at + k)
-    bits = tk.U(max(20, n.bit_length()))
+    g = p.rolling(at, at + k)
+    bits = tk.U(PLACE)
     key = (g >> bits << bits) | at.astype(tk.U)
     w = size - k + 1
     pad = np.concatenate([key, np.full(-len(key) % w, np.uint64(0xFFFFFFFFFFFFFFFF))]).reshape(-1, w)
@@ -83,51 +87,43 @@ def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((x, first))
 
 
-def scan(passages: list[tuple[bytes, bytes]], size: int, found: Callable[[int, int, list[int]], None] | None = None) -> list[tuple[int, int]]:
-    """For each distinct (reversed left context, right context) the bytes to the left and right of the anchor that other ones share in runs of ``size`` or more; (0, 0) where none.
-
-    ``found`` gets (left, right, members) of every maximal repeat.
-    """
-    n = len(passages)
-    left, right = [0] * n, [0] * n
-    order = sorted(range(n), key=lambda i: passages[i][1])
-    lcp = [common(passages[a][1], passages[b][1]) for a, b in zip(order, order[1:], strict=False)]
+def repeats(passages: list[tuple[bytes, bytes]], size: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(left, right, members) of the maximal repeats of ``size`` bytes or more among distinct (reversed left context, right context) round one anchor."""
+    order = sorted(range(len(passages)), key=lambda i: passages[i][1])
+    lcp = [common(passages[a][1], passages[b][1]) for a, b in itertools.pairwise(order)]
     most = max(len(x) for x, _ in passages)
-    for first, last, r in intervals(lcp, size - most):
+    for first, last, right in intervals(lcp, size - most):
         members = sorted(range(first, last + 1), key=lambda i: passages[order[i]][0])
-        sides = [common(passages[order[a]][0], passages[order[b]][0]) for a, b in zip(members, members[1:], strict=False)]
-        for i, x in enumerate(sides):
-            if x + r >= size:
-                for j in (order[members[i]], order[members[i + 1]]):
-                    left[j], right[j] = max(left[j], x), max(right[j], r)
-        if found:
-            for a, b, x in intervals(sides, size - r):
-                ranks = sorted(members[a : b + 1])
-                if min(lcp[ranks[0] : ranks[-1]]) == r:  # what follows differs among them
-                    found(x, r, [order[i] for i in ranks])
+        sides = [common(passages[order[a]][0], passages[order[b]][0]) for a, b in itertools.pairwise(members)]
+        for a, b, left in intervals(sides, size - right):
+            ranks = sorted(members[a : b + 1])
+            # Left extensions differ beyond the interval; right ones must differ within it, or a deeper interval has these members.
+            if min(lcp[ranks[0] : ranks[-1]]) == right:
+                yield left, right, [order[i] for i in ranks]
+
+
+def scan(passages: list[tuple[bytes, bytes]], size: int) -> list[tuple[int, int]]:
+    """For each passage the bytes to the left and right of the anchor that its maximal repeats cover; (0, 0) where it has none."""
+    left, right = [0] * len(passages), [0] * len(passages)
+    for a, b, members in repeats(passages, size):
+        for j in members:
+            left[j], right[j] = max(left[j], a), max(right[j], b)
     return list(zip(left, right, strict=True))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, int]]:
-    """(rows, anchor) of each anchor of a sorted partition; rows: (text key, first, cut, passage)."""
-    now, rows = None, []
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[tuple[int, bytes], list[tuple[int, int]]]]:
+    """Of each key of a sorted partition with two places or more: places (text, first) by passage (bytes before the anchor, passage)."""
+    now, same, n = None, {}, 0
     for batch in tk.slices(batches):
-        for a, cut, seg, keys, firsts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if a != now:
-                if len(rows) > 1:
-                    yield rows, now
-                now, rows = a, []
-            rows += [(key, first, cut, seg) for key, first in zip(keys, firsts, strict=True)]
-    if len(rows) > 1:
-        yield rows, now
-
-
-def _classes(rows: list) -> dict[tuple[int, bytes], list[tuple[int, int]]]:
-    """Places (text key, first) by passage; a place is counted once."""
-    same: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
-    for key, first, cut, seg in dict.fromkeys(rows):
-        same.setdefault((cut, seg), []).append((key, first))
-    return same
+        for *key, cut, seg, texts, firsts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != now:
+                if n > 1:
+                    yield same
+                now, same, n = key, {}, 0
+            same.setdefault((cut, seg), []).extend(zip(texts, firsts, strict=True))
+            n += len(texts)
+    if n > 1:
+        yield same
 
 
 def _covered(size: int):
@@ -138,18 +134,17 @@ def _covered(size: int):
             nonlocal out
             cols = list(zip(*out, strict=True)) or [(), (), ()]
             out = []
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32())], names=["key", "start", "stop"])
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32())], names=["text", "start", "stop"])
 
-        for rows, _ in _groups(batches):
-            same = _classes(rows)
+        for same in _groups(batches):
             kinds = list(same)
             spans = scan([(seg[:cut][::-1], seg[cut:]) for cut, seg in kinds], size) if len(kinds) > 1 else [(0, 0)]
             for (cut, seg), (a, b) in zip(kinds, spans, strict=True):
                 places = same[cut, seg]
-                if len(places) > 1:
+                if len(places) > 1:  # equal passages: the whole of them is a repeat
                     a, b = cut, len(seg) - cut
                 if a + b:
-                    out.extend((key, first + cut - a, first + cut + b) for key, first in places)
+                    out.extend((text, first + cut - a, first + cut + b) for text, first in places)
             if len(out) > 50_000:
                 yield flush()
         yield flush()
@@ -158,24 +153,24 @@ def _covered(size: int):
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, sha (of the text), key (its first 64 bits), n_bytes, body (compressed)."""
+    """doc_id, sha (of the text), n_bytes, body (compressed)."""
     pack = zstandard.ZstdCompressor(level=5)
     for batch in tk.slices(batches):
         texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
-        sha = [hashlib.sha256(x).digest() for x in texts]
-        keys = np.frombuffer(b"".join(sha), "<i8").reshape(-1, 4)[:, 0]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sha, pa.binary()), pa.array(keys), pa.array([len(x) for x in texts], pa.int64()), pa.array([pack.compress(x) for x in texts], pa.binary())], names=["doc_id", "sha", "key", "n_bytes", "body"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([hashlib.sha256(x).digest() for x in texts], pa.binary()), pa.array([len(x) for x in texts], pa.int64()), pa.array([pack.compress(x) for x in texts], pa.binary())], names=["doc_id", "sha", "n_bytes", "body"])
 
 
-def _only_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose key may be among ``keys``."""
-    handle = rows.sparkSession.sparkContext.broadcast(key_bitmap(keys, "key"))
+def _only_rows(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose number may be among those of ``keys``: what follows is a join, of less."""
+    mixed = F.xxhash64("row").alias("mixed")
+    handle = rows.sparkSession.sparkContext.broadcast(key_bitmap(keys.select(mixed), "mixed"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(in_bitmap(handle.value, batch.column("key").to_numpy())))
+            part = batch.filter(pa.array(in_bitmap(handle.value, batch.column("mixed").to_numpy())))
+            yield part.select(part.schema.names[:-1])
 
-    return rows.mapInArrow(apply, rows.schema)
+    return rows.select("*", mixed).mapInArrow(apply, rows.schema)
 
 
 def _bodies(column: pa.Array) -> list[bytes]:
@@ -183,94 +178,129 @@ def _bodies(column: pa.Array) -> list[bytes]:
     return [unpack.decompress(x) for x in column.to_pylist()]
 
 
+SPOTS = "anchor long, tag long, row long, first int, cut smallint, more smallint"
+SPOT = ("anchor", "tag", "first", "cut", "more")
+
+
+def _spots_batch(columns: list[list]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "tag", "row", "first", "cut", "more"])
+
+
 class Corpus:
-    """The texts dealt out by their content, in the shared folder, and the places of their repeated anchors."""
+    """The texts in the shared folder, each row with a number, and the places of their repeated anchors.
+
+    A spot is a run of windows with the same key (anchor, tag) in a text: ``first`` window, anchor ``cut`` bytes after
+    it, ``more`` windows after the first. A key repeats if two spots of it differ in text or place.
+    """
 
-    def __init__(self, docs: DataFrame, size: int, hot: int):
-        spark = docs.sparkSession
-        shared_dir(spark)
-        self.size = size
+    def __init__(self, docs: DataFrame, size: int, most: int):
+        self.size, self.most = size, most
         kind = docs.schema["doc_id"].dataType.simpleString()
-        rows = only(docs, "doc_id", "text").mapInArrow(_stored, f"doc_id {kind}, sha binary, key long, n_bytes long, body binary")
-        self.texts = written(rows)
-        same = self.texts.groupBy("sha", "key", "n_bytes").agg(F.min(F.struct("doc_id")).alias("rep"), F.count("*").alias("copies"))
-        self.copies = written(same.select("sha", "key", "n_bytes", F.col("rep.doc_id").alias("rep"), "copies"))
+        rows = only(docs, "doc_id", "text").mapInArrow(_stored, f"doc_id {kind}, sha binary, n_bytes long, body binary")
+        self.texts = written(rows.select(F.monotonically_increasing_id().alias("row"), "*"))
+        self.total = self.texts.count()
+        same = self.texts.groupBy("sha").agg(F.min("row").alias("row"), F.count("*").alias("n"), F.min("n_bytes").alias("n_bytes"))
+        self.copies = written(same)
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in tk.slices(batches):
                 text = pa.array(_bodies(batch.column("body")), pa.large_binary()).view(pa.large_string())
-                key = batch.column("key").to_numpy()
+                number = batch.column("row").to_numpy()
                 for a, _, p in tk.packs(text, 1 << 20):
                     row, h, first, at, last = anchors(p, size)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key[a:][row]), pa.array(first.astype(np.int32)), pa.array((at - first).astype(np.int16)), pa.array((last - first).astype(np.int16))], names=["anchor", "key", "first", "cut", "more"])
-
-        # Copies of a text add no places: only the key matters, and repeated rows fall together in the scan.
-        spots, at = written_at(self.texts.where(F.col("n_bytes") >= size).select("key", "body").mapInArrow(place, "anchor long, key long, first int, cut smallint, more smallint"))
-        often = spots.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-        self.spots = written(spots.join(often, "anchor").groupBy("key").agg(F.collect_set(F.struct("anchor", "first", "cut", "more", (F.col("n") > hot).alias("hot"))).alias("spots")))
-        discard(spark, at)
-        self.hot = not self.spots.where(F.exists("spots", lambda x: x.hot)).isEmpty()
-
-    def marked(self, hot: bool) -> DataFrame:
-        """key, body, spots: one row for each text with repeated anchors that are, or aren't, hot; other texts don't move."""
-        spots = self.spots.select("key", F.filter("spots", lambda x: x.hot == F.lit(hot)).alias("spots")).where(F.size("spots") > 0)
-        wanted = self.copies.join(spots, "key").select("sha", F.col("rep").alias("doc_id"), "spots")
-        bodies = _only_keys(self.texts.select("doc_id", "sha", "key", "body"), spots)
-        same = (bodies.sha == wanted.sha) & bodies.doc_id.eqNullSafe(wanted.doc_id)
-        return bodies.join(wanted, same).select(bodies.key, bodies.body, wanted.spots)
+                    yield _spots_batch([h.view(np.int64), np.zeros(len(h), np.int64), number[a:][row], first, at - first, last - first])
+
+        # Copies of a text are no new places: one row of each takes part.
+        spots = self.texts.where(F.col("n_bytes") >= size).select("row", "body").mapInArrow(place, SPOTS).join(self.copies.select("row"), "row", "left_semi").select("anchor", "tag", "row", "first", "cut", "more")
+        #: For each splitting: row, spots. Windows that stand alone for a key with many places: piece, row, start.
+        self.found: list[DataFrame] = []
+        self.single: DataFrame | None = None
+        for width in (None, *RUNS):
+            spots, at = written_at(spots if width is None else spots.mapInArrow(self._split(width), SPOTS))
+            n = spots.count()
+            places = F.struct("row", "first")
+            keys = written(spots.groupBy("anchor", "tag").agg(F.count("*").alias("n"), F.min(places).alias("a"), F.max(places).alias("b")).where("a != b").select("anchor", "tag", "n"))
+            limit = max(most, n // 100_000)  # at most 100,000 keys have more
+            hot = written(keys.where(F.col("n") > limit).select("anchor", "tag"))
+            some = not hot.isEmpty()
+            cold = spots.join(F.broadcast(hot), ["anchor", "tag"], "left_anti") if some else spots
+            self.found.append(written(cold.join(keys.where(F.col("n") <= limit).select("anchor", "tag"), ["anchor", "tag"]).groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots"))))
+            if not some:
+                discard(spots, at)
+                break
+            left = spots.join(F.broadcast(hot), ["anchor", "tag"])
+            if width == 1:  # one window a run: its key says that it repeats
+                self.single = written(left.select(F.xxhash64("anchor", "tag").alias("piece"), "row", F.col("first").cast("long").alias("start")))
+                break
+            spots = self._with_bodies(left.groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots")))
+
+    def _with_bodies(self, spots: DataFrame) -> DataFrame:
+        """row, body, spots: other texts don't move."""
+        return _only_rows(self.texts.select("row", "body"), spots).join(spots, "row").select("row", "body", "spots")
+
+    def _split(self, width: int):
+        """Runs of at most ``width`` windows, aligned at the anchor; the key gains what all windows of a run have in common."""
+        size = self.size
+
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in tk.slices(batches):
+                out = []
+                for row, body, spots in zip(batch.column("row").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
+                    for s in spots:
+                        high, low = s["cut"], s["cut"] - s["more"]  # bytes before the anchor in the first and in the last window
+                        for k in range(low // width, high // width + 1):
+                            a, b = max(low, k * width), min(high, k * width + width - 1)
+                            # The core of the aligned run, cut short by the spot's own ends only where the text's windows end.
+                            at = s["first"] + s["cut"]
+                            core = body[at - k * width : at - (k * width + width - 1) + size]
+                            name = hashlib.blake2b(core, digest_size=16, key=k.to_bytes(4, "big", signed=True)).digest()
+                            out.append((int.from_bytes(name[:8], "big", signed=True), int.from_bytes(name[8:], "big", signed=True), row, at - b, b, b - a))
+                yield _spots_batch(list(zip(*out, strict=True)) or [()] * 6)
+
+        return apply
 
     def passages(self) -> DataFrame:
-        """anchor, cut, passage, keys, firsts: dealt out and sorted by anchor; a task sends a passage once, with all its places."""
+        """anchor, tag, cut, passage, texts, firsts: dealt out and sorted by key; a task sends a passage once, with all its places."""
         size = self.size
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in tk.slices(batches, 2000):
-                same: dict[tuple[int, int, bytes], list[tuple[int, int]]] = {}
-                for key, body, spots in zip(batch.column("key").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
+                same: dict[tuple[int, int, int, bytes], list[tuple[int, int]]] = {}
+                for row, body, spots in zip(batch.column("row").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
                     for s in spots:
-                        same.setdefault((s["anchor"], s["cut"], body[s["first"] : s["first"] + s["more"] + size]), []).append((key, s["first"]))
-                anchor, at, seg = zip(*same, strict=True) if same else ((), (), ())
+                        same.setdefault((s["anchor"], s["tag"], s["cut"], body[s["first"] : s["first"] + s["more"] + size]), []).append((row, s["first"]))
+                anchor, tag, at, seg = zip(*same, strict=True) if same else ((), (), (), ())
                 places = list(same.values())
-                yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(at, pa.int16()), pa.array(seg, pa.binary()), pa.array([[k for k, _ in x] for x in places], pa.list_(pa.int64())), pa.array([[f for _, f in x] for x in places], pa.list_(pa.int32()))], names=["anchor", "cut", "passage", "keys", "firsts"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(tag, pa.int64()), pa.array(at, pa.int16()), pa.array(seg, pa.binary()), pa.array([[k for k, _ in x] for x in places], pa.list_(pa.int64())), pa.array([[f for _, f in x] for x in places], pa.list_(pa.int32()))], names=["anchor", "tag", "cut", "passage", "texts", "firsts"])
 
-        rows = self.marked(False).mapInArrow(cut, "anchor long, cut smallint, passage binary, keys array<long>, firsts array<int>")
-        return rows.repartition("anchor").sortWithinPartitions("anchor")
+        parts = [self._with_bodies(x).mapInArrow(cut, "anchor long, tag long, cut smallint, passage binary, texts array<long>, firsts array<int>") for x in self.found]
+        rows = parts[0]
+        for x in parts[1:]:
+            rows = rows.union(x)
+        return rows.repartition("anchor", "tag").sortWithinPartitions("anchor", "tag")
 
     def covered(self) -> DataFrame:
-        """key, start, stop: bytes of texts that lie in a string of ``size`` that also starts elsewhere."""
-        out = self.passages().mapInArrow(_covered(self.size), "key long, start int, stop int")
-        return out.union(self.counted()) if self.hot else out
-
-    def counted(self) -> DataFrame:
-        """The same for hot anchors: windows counted by hash."""
-        size = self.size
+        """text (its row), start, stop: bytes of texts that lie in a string of ``size`` that also starts elsewhere."""
+        out = self.passages().mapInArrow(_covered(self.size), "text long, start int, stop int")
+        if self.single is None:
+            return out
+        return out.union(self.single.select("row", F.col("start").cast("int").alias("start"), (F.col("start") + self.size).cast("int").alias("stop")))
 
-        def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in tk.slices(batches):
-                for key, body, spots in zip(batch.column("key").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
-                    at = [i for s in spots for i in range(s["first"], s["first"] + s["more"] + 1)]
-                    h = np.frombuffer(b"".join(hashlib.blake2b(body[i : i + size], digest_size=16).digest() for i in at), "<i8").reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key, np.int64)), pa.array(at, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], names=["key", "start", "a", "b"])
 
-        rows = written(self.marked(True).mapInArrow(windows, "key long, start int, a long, b long").distinct())
-        twice = rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
-        return rows.join(twice, ["a", "b"]).select("key", "start", (F.col("start") + size).alias("stop"))
-
-
-def remove_repeats(docs: DataFrame, size: int = 200, hot: int = 20_000, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 200, most: int = 10_000, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_text also kept (the remaining bytes); a row for each row of docs."""
-    c = Corpus(docs, size, hot)
-    spans = c.covered().groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= size)
-    state = written(c.copies.join(spans, "key", "left").select("sha", "key", "n_bytes", gone.alias("gone"), F.when(~gone, F.col("spans")).alias("spans")))
+    c = Corpus(docs, size, most)
+    spans = c.covered().groupBy("text").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumnRenamed("text", "row")
+    # Of a text with copies all bytes repeat, if it is long enough: only single texts need their spans.
+    state = written(c.copies.where("n = 1").select("row").join(spans, "row"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.slices(batches):
             removed, runs, sha, kept = [], [], [], []
-            for body, gone, spans in zip(_bodies(batch.column("body")), batch.column("gone").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                ranges = [(0, len(body))] if gone else sorted((s["start"], s["stop"]) for s in spans or ())
+            for body, spans in zip(_bodies(batch.column("body")), batch.column("spans").to_pylist(), strict=True):
                 parts, at, n = [], 0, 0
-                for a, b in ranges:
+                for a, b in sorted((s["start"], s["stop"]) for s in spans):
                     if a > at or not n:
                         n += 1
                         parts.append(body[at:a])
@@ -280,46 +310,75 @@ def remove_repeats(docs: DataFrame, size: int = 200, hot: int = 20_000, with_tex
                 removed.append(len(body) - len(rest))
                 runs.append(n)
                 sha.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest if with_text else b"")
+                kept.append(rest if with_text else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tk.slices(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array([b"" if gone else x for gone, x in zip(batch.column("gone").to_pylist(), _bodies(batch.column("body")), strict=True)], pa.binary())], names=[*batch.schema.names[:-2], "kept"])
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    if with_text:
-        rows = c.texts.select("doc_id", "sha", "n_bytes", "body").join(state.drop("key", "n_bytes"), "sha")
-        return rows.select("doc_id", "n_bytes", "body", "gone", "spans").mapInArrow(cut, schema)
     # Only texts that lose a part need their bytes again.
-    partly = state.where("spans is not null")
-    bodies = _only_keys(c.texts.select("doc_id", "sha", "key", "n_bytes", "body"), partly)
-    changed = bodies.drop("key").join(partly.drop("key", "n_bytes"), "sha").select("doc_id", "n_bytes", "body", "gone", "spans").mapInArrow(cut, schema).drop("kept")
-    others = c.texts.select("doc_id", "sha", "n_bytes").join(state.where("spans is null").select("sha", "gone"), "sha")
+    changed = _only_rows(c.texts.select("row", "doc_id", "n_bytes", "body"), state).join(state, "row").select("doc_id", "n_bytes", "body", "spans").mapInArrow(cut, schema)
+    rows = c.texts.select("row", "doc_id", "sha", "n_bytes", *(["body"] if with_text else []))
+    copied = spread_join(rows, c.copies.where("n > 1").select("sha", "n"), ["sha"], c.total).withColumn("gone", F.col("n_bytes") >= size)
+    alone = c.copies.where("n = 1").select("row").join(state.select("row"), "row", "left_anti")
+    others = rows.join(alone, "row").withColumn("gone", F.lit(False))
     zero = lambda x: F.when(F.col("gone"), x).otherwise(F.lit(0)).cast("long")
     left = F.when(F.col("gone"), F.sha2(F.lit(""), 256)).otherwise(F.lower(F.hex("sha")))
-    return changed.union(others.select("doc_id", "n_bytes", zero(F.col("n_bytes")), zero(F.lit(1)), left))
+    columns = ["doc_id", "n_bytes", zero(F.col("n_bytes")).alias("n_removed"), zero(F.lit(1)).alias("n_spans"), left.alias("kept_sha256")]
+    if with_text:
+        both = copied.select(*columns, "gone", "body").union(others.select(*columns, "gone", "body")).mapInArrow(whole, schema)
+        return changed.union(both)
+    return changed.drop("kept").union(copied.select(*columns)).union(others.select(*columns))
 
 
-def maximal_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
-    """repeat_id (of the string), n_bytes, doc_id, start: all occurrences of the maximal repeats of ``size`` bytes or more round each anchor; texts with the same content have one row, of the least id."""
-    c = Corpus(docs, size, 1 << 62)
+def maximal_repeats(docs: DataFrame, size: int = 200, most: int = 10_000) -> DataFrame:
+    """repeat_id (of the string), n_bytes, doc_id, start: all occurrences, in all copies too, of the maximal repeats of ``size`` bytes or more.
+
+    Pieces that follow one another in all their occurrences, at the same distance, are joined into the whole repeat. A text that
+    has copies is itself a repeat, if it is long enough.
+    """
+    c = Corpus(docs, size, most)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _ in _groups(batches):
-            same = _classes(rows)
+        for same in _groups(batches):
             kinds = list(same)
             out: set[tuple[int, int, int, int]] = set()
 
             def found(a: int, b: int, members: list[int]) -> None:
-                cut, seg = kinds[members[0]]  # noqa: B023
-                name = int.from_bytes(hashlib.blake2b(seg[cut - a : cut + b], digest_size=8).digest(), "big", signed=True)
-                out.update((name, a + b, key, first + kinds[m][0] - a) for m in members for key, first in same[kinds[m]])  # noqa: B023
+                places = sorted((text, first + kinds[m][0] - a) for m in members for text, first in same[kinds[m]])  # noqa: B023
+                name = int.from_bytes(hashlib.blake2b(repr((a + b, places)).encode(), digest_size=8).digest(), "big", signed=True)
+                out.update((name, a + b, text, at) for text, at in places)  # noqa: B023
 
             if len(kinds) > 1:
-                scan([(seg[:cut][::-1], seg[cut:]) for cut, seg in kinds], size, found)
+                for group in repeats([(seg[:cut][::-1], seg[cut:]) for cut, seg in kinds], size):
+                    found(*group)
             for k, (cut, seg) in enumerate(kinds):
                 if len(same[cut, seg]) > 1:
                     found(cut, len(seg) - cut, [k])
             cols = list(zip(*sorted(out), strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], names=["repeat_id", "n_bytes", "key", "start"])
-
-    rows = c.passages().mapInArrow(apply, "repeat_id long, n_bytes long, key long, start long")
-    return rows.join(c.copies.select("key", F.col("rep").alias("doc_id")), "key").select("repeat_id", "n_bytes", "doc_id", "start")
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], names=["piece", "n_bytes", "row", "start"])
+
+    pieces = c.passages().mapInArrow(apply, "piece long, n_bytes long, row long, start long")
+    if c.single is not None:
+        pieces = pieces.union(c.single.select("piece", F.lit(size).cast("long"), "row", "start"))
+    pieces = written(pieces)
+    # Pieces with the same places, but for a shift, follow one another in all of them.
+    total = pieces.count()
+    least = written(pieces.groupBy("piece", "n_bytes").agg(F.min(F.struct("row", "start")).alias("at"), F.count("*").alias("n")))
+    shift = F.col("start") - F.col("at.start")
+    shape = spread_join(pieces.drop("n_bytes"), least, ["piece"], total).groupBy("piece", "n_bytes", "at", "n").agg(*(F.bit_xor(F.xxhash64("row", shift, F.lit(k))).alias(f"h{k}") for k in (1, 2)))
+    shape = shape.select("piece", "n_bytes", "n", "h1", "h2", F.col("at.start").alias("low"), (F.col("at.start") + F.col("n_bytes")).alias("high"))
+    run = Window.partitionBy("n", "h1", "h2").orderBy("low", "high", "piece")
+    reach = F.max("high").over(run.rowsBetween(Window.unboundedPreceding, -1))
+    shape = shape.withColumn("new", F.when(reach >= F.col("low"), 0).otherwise(1)).withColumn("part", F.sum("new").over(run))
+    whole = written(shape.groupBy("n", "h1", "h2", "part").agg(F.min_by("piece", F.struct("low", "piece")).alias("piece"), (F.max("high") - F.min("low")).alias("n_bytes")))
+    rows = spread_join(pieces.select("piece", "row", "start"), whole.select("piece", "n", "n_bytes"), ["piece"], total)
+    # Back to every copy of the texts; copies themselves are repeats.
+    rep = rows.join(c.copies.select("row", "sha", F.col("n").alias("copies")), "row").select(F.col("piece").alias("repeat_id"), "n_bytes", "sha", "start")
+    own = c.copies.where((F.col("n") > 1) & (F.col("n_bytes") >= size)).select(F.xxhash64("sha").alias("repeat_id"), "n_bytes", "sha", F.lit(0).cast("long").alias("start"))
+    texts = c.texts.select("sha", "doc_id")
+    found = rep.join(texts, "sha").select("repeat_id", "n_bytes", "doc_id", "start")
+    return found.union(spread_join(texts, own.join(c.copies.select("sha", "n"), "sha"), ["sha"], c.total).select("repeat_id", "n_bytes", "doc_id", "start"))
