@@ -118,14 +118,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
     return Model(np.frombuffer(found[0].weights, np.float32), found[0].bias, bits) if found else train([], bits)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows with a column ``score`` (0 to 1) more."""
+def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
+    """The rows with one more column (0 to 1), which takes the place of one of that name."""
     handle = docs.sparkSession.sparkContext.broadcast(model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [score_pack(p, handle.value) for _, _, p in tk.packs(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(x) if x else np.zeros(0), pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(x) if x else np.zeros(0), pa.float64())], names=[*batch.schema.names, column])
 
-    docs = docs.drop("score")
-    return docs.mapInArrow(apply, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+    docs = docs.drop(column)
+    return docs.mapInArrow(apply, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
