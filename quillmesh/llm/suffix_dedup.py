@@ -145,9 +145,10 @@ def _covered(size: int):
                     a, b = cut, len(seg) - cut
                 if a + b:
                     out.extend((text, first + cut - a, first + cut + b) for text, first in places)
-            if len(out) > 50_000:
+            if len(out) > 20_000:
                 yield flush()
         yield flush()
+        tk.trim()
 
     return apply
 
@@ -207,9 +208,11 @@ class Corpus:
             for batch in tk.slices(batches):
                 text = pa.array(_bodies(batch.column("body")), pa.large_binary()).view(pa.large_string())
                 number = batch.column("row").to_numpy()
-                for a, _, p in tk.packs(text, 1 << 20):
+                for a, _, p in tk.packs(text, 1 << 19):
                     row, h, first, at, last = anchors(p, size)
                     yield _spots_batch([h.view(np.int64), np.zeros(len(h), np.int64), number[a:][row], first, at - first, last - first])
+                    del p
+            tk.trim()
 
         # Copies of a text are no new places: one row of each takes part.
         spots = self.texts.where(F.col("n_bytes") >= size).select("row", "body").mapInArrow(place, SPOTS).join(self.copies.select("row"), "row", "left_semi").select("anchor", "tag", "row", "first", "cut", "more")
@@ -265,7 +268,7 @@ class Corpus:
         size = self.size
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in tk.slices(batches, 2000):
+            for batch in tk.slices(batches):
                 same: dict[tuple[int, int, int, bytes], list[tuple[int, int]]] = {}
                 for row, body, spots in zip(batch.column("row").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
                     for s in spots:
@@ -273,6 +276,7 @@ class Corpus:
                 anchor, tag, at, seg = zip(*same, strict=True) if same else ((), (), (), ())
                 places = list(same.values())
                 yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(tag, pa.int64()), pa.array(at, pa.int16()), pa.array(seg, pa.binary()), pa.array([[k for k, _ in x] for x in places], pa.list_(pa.int64())), pa.array([[f for _, f in x] for x in places], pa.list_(pa.int32()))], names=["anchor", "tag", "cut", "passage", "texts", "firsts"])
+            tk.trim()
 
         parts = [self._with_bodies(x).mapInArrow(cut, "anchor long, tag long, cut smallint, passage binary, texts array<long>, firsts array<int>") for x in self.found]
         rows = parts[0]

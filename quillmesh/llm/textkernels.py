@@ -59,19 +59,21 @@ def reduced(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        n += n >> 2
-        for k, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(n, base, U)
+def _powers(n: int, k: int) -> np.ndarray:
+    if len(_POWERS[k]) < n:
+        n += n >> 3
+        if k < 2:
+            p = np.full(n, (_BASE, _INVERSE)[k], U)
             p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-        for k, base in enumerate((_BASE31, _INVERSE31), 2):
-            p = np.ones(1, U)
-            while len(p) < n:
-                p = np.concatenate([p, reduced(p * U(pow(base, len(p), _PRIME)))])
-            _POWERS[k] = p
-    return _POWERS
+            np.multiply.accumulate(p, out=p)
+        else:
+            base, p = (_BASE31, _INVERSE31)[k - 2], np.ones(n, U)
+            at = 1
+            while at < n:
+                p[at : 2 * at] = reduced(p[: min(at, n - at)] * U(pow(base, at, _PRIME)))
+                at *= 2
+        _POWERS[k] = p
+    return _POWERS[k]
 
 
 class Packed:
@@ -95,7 +97,7 @@ class Packed:
     def _sums(self, fold: np.ndarray, prime: bool) -> np.ndarray:
         if (key := (id(fold), prime)) not in self._sum:
             x = fold[self.buf].astype(U) + U(1)
-            x *= _powers(len(self.buf) + 1)[2 * prime][: len(self.buf)]
+            x *= _powers(len(self.buf) + 1, 2 * prime)[: len(self.buf)]
             c = np.zeros(len(self.buf) + 1, U)
             np.cumsum(folded(x) if prime else x, out=c[1:])
             self._sum[key] = c
@@ -104,12 +106,12 @@ class Packed:
     def rolling(self, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
         """64-bit hashes of buf[start:end] modulo 2^64 alone: for sampling and for features, where a rare collision does no harm."""
         c = self._sums(fold, False)
-        return mix((c[ends] - c[starts]) * _powers(len(self.buf) + 1)[1][starts])
+        return mix((c[ends] - c[starts]) * _powers(len(self.buf) + 1, 1)[starts])
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
         """64-bit hashes of buf[start:end] after ``fold``, the same for the same bytes anywhere."""
         c = self._sums(fold, True)
-        h = reduced(reduced(c[ends] - c[starts]) * _powers(len(self.buf) + 1)[3][starts])
+        h = reduced(reduced(c[ends] - c[starts]) * _powers(len(self.buf) + 1, 3)[starts])
         return mix(self.rolling(starts, ends, fold) ^ mix(h + U(1)))
 
 
@@ -135,8 +137,11 @@ def packs(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, Pac
         a = b
 
 
-def trim() -> None:
-    """Hands freed memory back to the system, where the C library can."""
+def trim(keep: int = 1 << 22) -> None:
+    """Hands freed memory back to the system, where the C library can, and with it tables that one very long text made large."""
+    for k, p in enumerate(_POWERS):
+        if len(p) > keep:
+            _POWERS[k] = np.ones(1, U)
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
