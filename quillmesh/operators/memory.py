@@ -10,37 +10,58 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 2000) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 2000, shards: int = 8) -> DataFrame:
     """query_id, vec_id, score, rank: ``queries`` and ``vectors`` have vec_id and embedding; a query never finds itself.
 
-    Queries go to the tasks in blocks of at most ``block``; a task keeps k of its vectors for each query, so
-    what is shuffled is tasks times queries times k. Null or empty vectors are skipped.
+    Blocks of at most about ``block`` queries, dealt by hash, meet the vectors in the tasks: the vectors are copied to each block
+    and dealt over ``shards`` parts of it, so no driver and no task holds all of either side. A part keeps k vectors for each query, and the best of
+    the parts' are ranked. Null or empty vectors, and those of another length than the query, are skipped.
     """
-    spark = vectors.sparkSession
-    rows = queries.where(F.size("embedding") > 0).select("vec_id", "embedding").orderBy("vec_id")
-    found = None
-    total = rows.count()
-    for at in range(0, max(total, 1), block):
-        part = rows.offset(at).limit(block).collect()
-        q = np.array([r.embedding for r in part], np.float64).reshape(len(part), -1)
-        norm = np.linalg.norm(q, axis=1, keepdims=True)
-        handle = spark.sparkContext.broadcast((np.array([r.vec_id for r in part], np.int64), q / np.where(norm == 0, 1, norm)))
-
-        def search(batches: Iterator[pa.RecordBatch], handle=handle) -> Iterator[pa.RecordBatch]:
-            ids, q = handle.value
-            for batch in batches:
-                if not batch.num_rows or not len(ids):
+    some = F.size("embedding") > 0
+    total = queries.where(some).count()
+    blocks = max(1, -(-total // block))
+    parts = F.sequence(F.lit(0), F.lit(shards - 1))
+    q = queries.where(some).select(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"), F.explode(parts).alias("shard"), F.lit(True).alias("asks"), "vec_id", "embedding")
+    v = vectors.where(some).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(shards)).cast("int").alias("shard"), F.lit(False), "vec_id", "embedding")
+    both = q.union(v).repartition("block", "shard").sortWithinPartitions("block", "shard", F.desc("asks"), "vec_id")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asked, best = None, {}, {}
+
+        def close() -> Iterator[pa.RecordBatch]:
+            for ids, val, own in best.values():
+                keep = val > -np.inf
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, val.shape[1])[keep.ravel()]), pa.array(own[keep]), pa.array(val[keep])], names=["query_id", "vec_id", "score"])
+
+        for batch in batches:
+            block_of, shard_of, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            key = np.stack([block_of, shard_of, ~asks], 1)
+            cut = [0, *(np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                if a == b:
                     continue
-                v = np.array(batch.column("embedding").to_pylist(), np.float64)
-                own = batch.column("vec_id").to_numpy()
-                n = np.linalg.norm(v, axis=1, keepdims=True)
-                s = q @ (v / np.where(n == 0, 1, n)).T
-                s[ids[:, None] == own[None, :]] = -np.inf
-                top = np.argsort(-np.round(s, 6), 1, kind="stable")[:, : k + 1]
-                val = np.take_along_axis(s, top, 1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, top.shape[1])), pa.array(own[top].ravel()), pa.array(val.ravel())], names=["query_id", "vec_id", "score"])
-
-        one = vectors.where(F.size("embedding") > 0).select("vec_id", "embedding").sortWithinPartitions("vec_id").mapInArrow(search, "query_id long, vec_id long, score double")
-        found = one if found is None else found.union(one)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 6)), "vec_id"))
-    return found.where(F.col("score") > F.lit(float("-inf"))).withColumn("rank", rank.cast("long")).where(F.col("rank") <= k).withColumn("score", F.round("score", 6))
+                if (place := (int(block_of[a]), int(shard_of[a]))) != now:
+                    yield from close()
+                    now, asked, best = place, {}, {}
+                ids, rows = batch.column("vec_id")[a:b].to_numpy(), batch.column("embedding")[a:b].to_pylist()
+                for size in {len(r) for r in rows}:
+                    at = [i for i, r in enumerate(rows) if len(r) == size]
+                    x = np.array([rows[i] for i in at], np.float64)
+                    n = np.linalg.norm(x, axis=1, keepdims=True)
+                    x /= np.where(n == 0, 1, n)
+                    if asks[a]:
+                        old = asked.get(size, (np.zeros(0, np.int64), np.zeros((0, size))))
+                        asked[size] = (np.concatenate([old[0], ids[at]]), np.vstack([old[1], x]))
+                    elif size in asked:
+                        mine, y = asked[size]
+                        s = np.round(y @ x.T, 6)
+                        s[mine[:, None] == ids[at][None, :]] = -np.inf
+                        _, val, own = best.get(size, (mine, np.zeros((len(mine), 0)), np.zeros((len(mine), 0), np.int64)))
+                        val, own = np.hstack([val, s]), np.hstack([own, np.repeat(ids[at][None, :], len(mine), 0)])
+                        top = np.argsort(-val, 1, kind="stable")[:, :k]  # ids come in order, so ties go to the least
+                        best[size] = (mine, np.take_along_axis(val, top, 1), np.take_along_axis(own, top, 1))
+        yield from close()
+
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = both.mapInArrow(search, "query_id long, vec_id long, score double")
+    return found.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k)

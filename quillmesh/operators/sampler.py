@@ -1,7 +1,8 @@
 """Self-avoiding weighted walks over the endpoint graph, all chains and attempts at once.
 
 Random numbers are hashes of (seed, chain, attempt, step), so a result depends on nothing else and any
-engine can repeat it. Each step is one join with the edges and one window over a walk's candidates.
+engine can repeat it. Each step is one join with the neighbour lists; the draw among them is an expression, so no candidates are
+shuffled.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions import classify
 from quillmesh.operators.graph import MULTIPLIERS
+from quillmesh.plans.runtime import written
 
 
 def uniform(*parts: Column | str) -> Column:
@@ -19,26 +21,34 @@ def uniform(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def walks(chains: DataFrame, endpoints: DataFrame, edges: DataFrame, least: int, most: int, attempts: int = 3, seed: int = 42, start_in: str | None = None) -> DataFrame:
-    """chain_id, attempt, path (array of ids): ``chains`` has chain_id; a walk stops early where it has no unvisited neighbour."""
-    nodes = endpoints.where(F.col("category") == start_in) if start_in else endpoints
+def walks(chains: DataFrame, endpoints: DataFrame, edges: DataFrame, least: int, most: int, attempts: int = 3, seed: int = 42, start_in: list[str] | None = None, excluded: list[str] | None = None, first: int = 1) -> DataFrame:
+    """chain_id, attempt, path (array of ids): ``chains`` has chain_id; a walk stops early where it has no unvisited neighbour.
+
+    Walks begin in the categories ``start_in``, where given, and never touch the ``excluded`` endpoints. Attempts are ``first`` to ``attempts``.
+    """
+    if excluded:
+        endpoints, edges = endpoints.where(~F.col("endpoint_id").isin(excluded)), edges.where(~F.col("source").isin(excluded) & ~F.col("target").isin(excluded))
+    nodes = endpoints.where(F.col("category").isin(start_in)) if start_in else endpoints
     # Ids by their rank; as many rows as endpoints.
     ranked = nodes.select("endpoint_id", (F.row_number().over(Window.orderBy("endpoint_id")) - 1).cast("long").alias("at"))
     total = ranked.agg(F.count("*").alias("total"))
     s = F.lit(seed)
-    w = chains.select("chain_id", F.explode(F.sequence(F.lit(1), F.lit(attempts))).alias("attempt"))
+    w = chains.select("chain_id", F.explode(F.sequence(F.lit(first), F.lit(attempts))).alias("attempt"))
     w = w.withColumn("goal", F.lit(least) + F.floor(uniform(s, "chain_id", "attempt", F.lit("length")) * (most - least + 1)))
     w = w.join(F.broadcast(total)).withColumn("at", F.floor(uniform(s, "chain_id", "attempt", F.lit("start")) * F.col("total")).cast("long"))
     w = w.join(ranked, "at").select("chain_id", "attempt", "goal", F.array("endpoint_id").alias("path"))
     weighted = edges.select("source", "target", (F.col("weight") * classify.first_match([(F.col("edge_type") == k, F.lit(m)) for k, m in MULTIPLIERS.items()], F.lit(1.0))).alias("w"))
+    # A row a source: its neighbours by id, as many as the graph's own bound on them allows.
+    near = weighted.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("target", "w"))).alias("near"))
     for step in range(2, most + 1):
-        on = w.where((F.col("goal") >= step) & (F.size("path") == step - 1)).withColumn("source", F.element_at("path", -1))
-        near = on.join(weighted, "source").where(~F.array_contains("path", F.col("target")))
-        by = Window.partitionBy("chain_id", "attempt")
-        near = near.withColumn("cum", F.sum("w").over(by.orderBy("target"))).withColumn("all", F.sum("w").over(by)).withColumn("r", uniform(s, "chain_id", "attempt", F.lit(step)))
+        w = w.withColumn("source", F.when((F.col("goal") >= step) & (F.size("path") == step - 1), F.element_at("path", -1)))
+        w = w.join(near, "source", "left").withColumn("near", F.filter("near", lambda x: ~F.array_contains("path", x["target"]))).withColumn("r", uniform(s, "chain_id", "attempt", F.lit(step)))
+        all_ = F.aggregate("near", F.lit(0.0), lambda sum_, x: sum_ + x["w"])
         # The first whose running sum reaches the draw; rounding leaves the last one if none does.
-        pick = near.groupBy("chain_id", "attempt").agg(F.coalesce(F.min(F.when(F.round(F.col("r") * F.col("all"), 9) <= F.round("cum", 9), F.col("target"))), F.max("target")).alias("next"))
-        w = w.join(pick, ["chain_id", "attempt"], "left").withColumn("path", F.when(F.col("next").isNotNull(), F.concat("path", F.array("next"))).otherwise(F.col("path"))).drop("next")
+        none = F.struct(F.lit(0.0).alias("cum"), F.lit(None).cast("string").alias("next"), F.round(F.col("r") * all_, 9).alias("draw"))
+        pick = F.aggregate("near", none, lambda a, x: F.struct((a["cum"] + x["w"]).alias("cum"), F.coalesce(a["next"], F.when(a["draw"] <= F.round(a["cum"] + x["w"], 9), x["target"])).alias("next"), a["draw"].alias("draw")))
+        w = w.withColumn("next", F.coalesce(pick["next"], F.try_element_at("near", F.lit(-1))["target"]))
+        w = w.select("chain_id", "attempt", "goal", F.when(F.col("next").isNotNull(), F.concat("path", F.array("next"))).otherwise(F.col("path")).alias("path"))
     return w.select("chain_id", "attempt", "path")
 
 
@@ -79,8 +89,54 @@ def relaxed(chains: DataFrame, tiers: list[Column]) -> DataFrame:
     return x.groupBy("chain_id").agg(F.min_by(F.struct("tier", *cols), F.struct("tier", "attempt")).alias("x")).select("chain_id", "x.*")
 
 
+def labels(least: int, most: int, min_tools: int = 1, domains: list[str] | None = None, allowed: list[str] | None = None) -> Column:
+    """Which constraints a described chain keeps, as an array of labels with their values."""
+    cases = [(F.col("steps").between(least, most), f"steps in [{least}, {most}]"), (F.col("tools") >= min_tools, f"distinct tools >= {min_tools}")]
+    cases += [(F.array_contains("domains", x), f"domain: {x}") for x in domains or []]
+    if allowed:
+        cases.append((F.col("pattern").isin(allowed), f"pattern in {allowed}"))
+    return F.filter(F.array(*(F.when(c, n) for c, n in cases)), lambda x: x.isNotNull())
+
+
+def retried(chains: DataFrame, endpoints: DataFrame, edges: DataFrame, tiers: list[Column], least: int = 1, most: int = 5, attempts: int = 50, seed: int = 42, start_in: list[str] | None = None, excluded: list[str] | None = None) -> DataFrame:
+    """``relaxed`` over up to ``attempts`` walks a chain, in rounds that grow: only chains that no attempt has brought to the first tier go on."""
+    found, still, first, wide = None, chains.select("chain_id"), 1, 2
+    while first <= attempts:
+        last = min(attempts, first + wide - 1)
+        walked = walks(still, endpoints, edges, least, most, last, seed, start_in, excluded, first)
+        now = written(relaxed(described(walked, endpoints), tiers))
+        found = now if found is None else found.union(now)
+        still = written(still.join(now.where("tier = 0").select("chain_id"), "chain_id", "left_anti"))
+        if still.isEmpty():
+            break
+        first, wide = last + 1, 2 * wide
+    cols = [c for c in found.columns if c != "chain_id"]
+    return found.groupBy("chain_id").agg(F.min_by(F.struct(*cols), F.struct("tier", "attempt")).alias("x")).select("chain_id", "x.*")
+
+
 def quota(chains: DataFrame, share: float, total: int) -> DataFrame:
-    """chain_id, forced: the first floor(share * total) chains by id must be of many steps."""
-    rank = F.row_number().over(Window.orderBy("chain_id"))
-    must = chains.orderBy("chain_id").limit(int(share * total)).select("chain_id", F.lit(True).alias("forced")) if total else chains.select("chain_id", rank.isNull().alias("forced")).limit(0)
-    return chains.select("chain_id").join(must, "chain_id", "left").select("chain_id", F.coalesce("forced", F.lit(False)).alias("forced"))
+    """chain_id (a number), forced: the first floor(share * total) chains by id must be of many steps.
+
+    The last id that is forced is a quantile: ids are counted in ranges, the range that holds it is counted in finer ones,
+    and so on to single ids. No rows are sorted, and a round sends ``RANGES`` counts at most.
+    """
+    need = int(share * total)
+    bounds = chains.agg(F.min("chain_id").alias("low"), F.max("chain_id").alias("high")).head()
+    if need <= 0 or bounds.low is None:
+        return chains.select("chain_id", F.lit(False).alias("forced"))
+    low, high, before = int(bounds.low), int(bounds.high), 0
+    while low < high:
+        step = -(-(high - low + 1) // RANGES)
+        counts = chains.where(F.col("chain_id").between(low, high)).groupBy(F.floor((F.col("chain_id") - low) / step).cast("long").alias("k")).agg(F.count("*").alias("n"))
+        for k, n in sorted((r.k, r.n) for r in counts.collect()):
+            if before + n >= need:
+                low, high = low + k * step, min(high, low + (k + 1) * step - 1)
+                break
+            before += n
+        else:
+            low = high
+    return chains.select("chain_id", (F.col("chain_id") <= F.lit(low)).alias("forced"))
+
+
+#: Ranges that a round of ``quota`` counts.
+RANGES = 4096

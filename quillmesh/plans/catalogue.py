@@ -11,7 +11,7 @@ from quillmesh.functions import classify, jsonpath, text
 from quillmesh.operators import conversation, diversity, executor, graph, judge, memory, registry, repair, sampler, steering, traces
 from quillmesh.plans import adapters
 from quillmesh.plans.adapters import sql, table
-from quillmesh.plans.runtime import shared_folder
+from quillmesh.plans.runtime import shared_folder, written
 from quillmesh.streaming import coverage
 
 FOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -277,41 +277,47 @@ def _walk_sql(attempts: int, least: int, most: int) -> str:
     )
 
 
-def _chains(spark, d, attempts: int = 2, least: int = 1, most: int = 3):
+def _chains(spark, d, attempts: int = 2, least: int = 1, most: int = 5):
     e, edge = _edges(spark, d)
-    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("chain_id"))
-    return e, sampler.described(sampler.walks(ids, e, edge, least, most, attempts), e)
+    return e, sampler.described(sampler.walks(_chain_ids(spark, d), e, edge, least, most, attempts), e)
 
 
-@query(sql(_GRAPH + _walk_sql(2, 1, 3) + "SELECT * FROM chains WHERE steps >= 2 AND tools >= 2 QUALIFY row_number() OVER (PARTITION BY chain_id ORDER BY attempt) = 1", "endpoints"))
+def _chain_ids(spark, d):
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("chain_id"))
+
+
+def _retried(spark, d, tiers, attempts: int):
+    e = written(adapters.endpoints(spark, d))
+    return sampler.retried(_chain_ids(spark, d), e, written(graph.edges(graph.relations(e))), tiers, 1, 5, attempts)
+
+
+@query(sql(_GRAPH + _walk_sql(50, 1, 5) + "SELECT * FROM chains WHERE steps >= 2 AND tools >= 2 QUALIFY row_number() OVER (PARTITION BY chain_id ORDER BY attempt) = 1", "endpoints"))
 def sample_chains(spark, d):
-    _, c = _chains(spark, d)
-    ok = sampler.first_passing(c, sampler.violations(2, 3, 2))
+    ok = _retried(spark, d, [sampler.violations(2, 5, 2)], 50)
     return ok.select("chain_id", "attempt", F.array_join("path", " > ").alias("path"), "steps", "tools", F.array_join("domains", ",").alias("domains"), "pattern")
 
 
 @query(
     sql(
-        _GRAPH + _walk_sql(2, 1, 3) + """, t AS (SELECT *, CASE WHEN steps >= 3 AND tools >= 2 AND contains(domains, 'Travel') THEN 0 WHEN steps >= 3 AND tools >= 2 THEN 1 WHEN contains(domains, 'Travel') THEN 2 ELSE 3 END AS tier FROM chains)
+        _GRAPH + _walk_sql(100, 1, 5) + """, t AS (SELECT *, CASE WHEN steps >= 3 AND tools >= 2 AND contains(domains, 'Travel') THEN 0 WHEN steps >= 3 AND tools >= 2 THEN 1 WHEN contains(domains, 'Travel') THEN 2 ELSE 3 END AS tier FROM chains)
   SELECT chain_id, tier, attempt, steps, pattern FROM t QUALIFY row_number() OVER (PARTITION BY chain_id ORDER BY tier, attempt) = 1""",
         "endpoints",
     )
 )
 def relaxed_chains(spark, d):
-    _, c = _chains(spark, d)
-    tiers = [sampler.violations(3, 3, 2, ["Travel"]), sampler.violations(3, 3, 2), sampler.violations(1, 3, 1, ["Travel"]), sampler.violations(1, 3, 1)]
-    return sampler.relaxed(c, tiers).select("chain_id", "tier", "attempt", "steps", "pattern")
+    tiers = [sampler.violations(3, 5, 2, ["Travel"]), sampler.violations(3, 5, 2), sampler.violations(1, 5, 1, ["Travel"]), sampler.violations(1, 5, 1)]
+    return _retried(spark, d, tiers, 100).select("chain_id", "tier", "attempt", "steps", "pattern")
 
 
 @query(
     sql(
-        _GRAPH + _walk_sql(2, 1, 3) + """SELECT reason, count(*) AS chains FROM (SELECT unnest(list_filter([CASE WHEN steps < 2 THEN 'min_steps' END, CASE WHEN tools < 2 THEN 'min_distinct_tools' END, CASE WHEN NOT contains(domains, 'Food') THEN 'required_domains' END, CASE WHEN pattern NOT IN ('search_and_act', 'multi_step') THEN 'pattern' END], lambda x: x IS NOT NULL)) AS reason FROM chains) GROUP BY reason""",
+        _GRAPH + _walk_sql(2, 1, 5) + """SELECT reason, count(*) AS chains FROM (SELECT unnest(list_filter([CASE WHEN steps < 2 THEN 'min_steps' END, CASE WHEN tools < 2 THEN 'min_distinct_tools' END, CASE WHEN NOT contains(domains, 'Food') THEN 'required_domains' END, CASE WHEN pattern NOT IN ('search_and_act', 'multi_step') THEN 'pattern' END], lambda x: x IS NOT NULL)) AS reason FROM chains) GROUP BY reason""",
         "endpoints",
     )
 )
 def constraint_violations(spark, d):
     _, c = _chains(spark, d)
-    broken = sampler.violations(2, 3, 2, ["Food"], None, ["search_and_act", "multi_step"])
+    broken = sampler.violations(2, 5, 2, ["Food"], None, ["search_and_act", "multi_step"])
     return c.select(F.explode(broken).alias("reason")).groupBy("reason").agg(F.count("*").alias("chains"))
 
 
@@ -384,25 +390,32 @@ def history_window(spark, d):
     return judge.history(adapters.messages(spark, d), 4)
 
 
+def _repeated_roles(spark, d):
+    """All messages, and after every third one more of the same role."""
+    m = adapters.messages(spark, d)
+    more = m.where("turn % 3 = 1").select("conv_id", 2 * F.col("turn") + 1, "role", F.concat(F.lit("again "), F.col("turn").cast("string")))
+    return m.select("conv_id", (2 * F.col("turn")).alias("turn"), "role", "text").union(more)
+
+
 @query(
-    """WITH m AS (SELECT * FROM conversations WHERE turn % 3 <> 2 AND role IN ('user', 'assistant', 'tool', 'system') AND NOT (role = 'user' AND coalesce(text, '') = '')),
+    """WITH talk_ AS (SELECT conv_id, 2 * turn AS turn, role, text FROM conversations UNION ALL SELECT conv_id, 2 * turn + 1, role, 'again ' || turn FROM conversations WHERE turn % 3 = 1), m AS (SELECT * FROM talk_ WHERE role IN ('user', 'assistant', 'tool', 'system') AND NOT (role = 'user' AND coalesce(text, '') = '')),
  x AS (SELECT *, CASE WHEN coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn), '') <> role OR role = 'tool' THEN 1 ELSE 0 END AS new FROM m),
  y AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM x)
  SELECT conv_id, min(turn) AS turn, min(role) AS role, count(*) AS parts, string_agg(text, chr(10) ORDER BY turn) AS text FROM y GROUP BY conv_id, island"""
 )
 def structural_repair(spark, d):
-    return repair.merged(repair.valid(adapters.messages(spark, d).where("turn % 3 <> 2")))
+    return repair.merged(repair.valid(_repeated_roles(spark, d)))
 
 
 @query(
-    """WITH m AS (SELECT * FROM conversations WHERE turn % 3 <> 2 AND role IN ('user', 'assistant', 'tool', 'system') AND NOT (role = 'user' AND coalesce(text, '') = '')),
+    """WITH talk_ AS (SELECT conv_id, 2 * turn AS turn, role, text FROM conversations UNION ALL SELECT conv_id, 2 * turn + 1, role, 'again ' || turn FROM conversations WHERE turn % 3 = 1), m AS (SELECT * FROM talk_ WHERE role IN ('user', 'assistant', 'tool', 'system') AND NOT (role = 'user' AND coalesce(text, '') = '')),
  x AS (SELECT *, CASE WHEN coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn), '') <> role OR role = 'tool' THEN 1 ELSE 0 END AS new FROM m),
  y AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM x)
  SELECT conv_id, min(turn) AS turn, min(role) AS role, string_agg(text, chr(10) ORDER BY turn) AS text, 0::BIGINT AS calls FROM y GROUP BY conv_id, island"""
 )
 def structural_repair_fold(spark, d):
     """The full rule as a fold; without calls it does as the islands do, which the oracle states."""
-    return repair.folded(repair.valid(adapters.messages(spark, d).where("turn % 3 <> 2").withColumn("calls", F.lit(0))))
+    return repair.folded(repair.valid(_repeated_roles(spark, d).withColumn("calls", F.lit(0))))
 
 
 @query(
