@@ -292,7 +292,7 @@ class Corpus:
         return out.union(self.single.select("row", F.col("start").cast("int").alias("start"), (F.col("start") + self.size).cast("int").alias("stop")))
 
 
-def remove_repeats(docs: DataFrame, size: int = 200, most: int = 10_000, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 200, most: int = 50_000, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_text also kept (the remaining bytes); a row for each row of docs."""
     c = Corpus(docs, size, most)
     spans = c.covered().groupBy("text").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumnRenamed("text", "row")
@@ -338,7 +338,7 @@ def remove_repeats(docs: DataFrame, size: int = 200, most: int = 10_000, with_te
     return changed.drop("kept").union(copied.select(*columns)).union(others.select(*columns))
 
 
-def maximal_repeats(docs: DataFrame, size: int = 200, most: int = 10_000) -> DataFrame:
+def maximal_repeats(docs: DataFrame, size: int = 200, most: int = 50_000) -> DataFrame:
     """repeat_id (of the string), n_bytes, doc_id, start: all occurrences, in all copies too, of the maximal repeats of ``size`` bytes or more.
 
     Pieces that follow one another in all their occurrences, at the same distance, are joined into the whole repeat. A text that
