@@ -67,15 +67,20 @@ def _powers(n: int, k: int) -> np.ndarray:
             p[0] = 1
             np.multiply.accumulate(p, out=p)
         else:
-            base, p = (_BASE31, _INVERSE31)[k - 2], np.ones(n, U)
+            base, p = (_BASE31, _INVERSE31)[k - 2], np.ones(n, np.uint32)
             at = 1
             while at < n:
-                p[at : 2 * at] = reduced(p[: min(at, n - at)] * U(pow(base, at, _PRIME)))
-                at *= 2
+                step = min(at, n - at, PART)
+                p[at : at + step] = reduced(p[:step].astype(U) * U(pow(base, at, _PRIME)))
+                at += step
         _POWERS[k] = p
     return _POWERS[k]
 
 
+#: Bytes for which prefix sums are made at a time.
+PART = 1 << 19
+
+
 class Packed:
     """``buf``: bytes of the texts, each followed by a line feed; text i is buf[off[i]:off[i+1]-1]."""
 
@@ -96,10 +101,15 @@ class Packed:
 
     def _sums(self, fold: np.ndarray, prime: bool) -> np.ndarray:
         if (key := (id(fold), prime)) not in self._sum:
-            x = fold[self.buf].astype(U) + U(1)
-            x *= _powers(len(self.buf) + 1, 2 * prime)[: len(self.buf)]
-            c = np.zeros(len(self.buf) + 1, U)
-            np.cumsum(folded(x) if prime else x, out=c[1:])
+            n = len(self.buf)
+            power, c, last = _powers(n + 1, 2 * prime), np.zeros(n + 1, np.uint32 if prime else U), U(0)
+            for a in range(0, n, PART):
+                x = fold[self.buf[a : a + PART]].astype(U)
+                x += U(1)
+                x *= power[a : a + len(x)]
+                x = np.cumsum(folded(x) if prime else x) + last
+                c[a + 1 : a + 1 + len(x)] = x = reduced(x) if prime else x
+                last = x[-1]
             self._sum[key] = c
         return self._sum[key]
 
@@ -111,7 +121,7 @@ class Packed:
     def hashes(self, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
         """64-bit hashes of buf[start:end] after ``fold``, the same for the same bytes anywhere."""
         c = self._sums(fold, True)
-        h = reduced(reduced(c[ends] - c[starts]) * _powers(len(self.buf) + 1, 3)[starts])
+        h = reduced((c[ends].astype(U) + U(_PRIME) - c[starts]) * _powers(len(self.buf) + 1, 3)[starts])
         return mix(self.rolling(starts, ends, fold) ^ mix(h + U(1)))
 
 
@@ -135,6 +145,7 @@ def packs(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, Pac
         b = max(a + 1, int(np.searchsorted(off, off[a] + most, "right")) - 1)
         yield a, b, Packed(data[off[a] : off[b]], off[a : b + 1] - off[a])
         a = b
+    trim()
 
 
 def trim(keep: int = 1 << 22) -> None:
