@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import decontam, langid, licenses, lm, minhash, packing, pii, quality, rules, suffix_dedup
+from quillmesh.llm import decontam, langid, lexical, licenses, lm, manifest, minhash, neighbours, packing, pii, quality, rules, suffix_dedup
 from quillmesh.llm.common import bucket, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,8 +65,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proofs(table(spark, sf_dir, "documents"), fan=8)
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_lm_scoring, op3_suffix_array_dedup, op4_language_id, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_quality_rules, op8_pii_weak_supervision, op9_best_fit_packing, op10_quality_classifier)}
+    return {f.__name__: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -94,5 +107,45 @@ OP6 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_RUNS}) AS w F
  FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
 
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11 = f"""WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents), i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+ counts AS (SELECT doc_id, len(w) AS n, t, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS t FROM d) GROUP BY ALL),
+ whole AS (SELECT count(*) AS c, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0), held AS (SELECT t, count(*) AS df FROM counts WHERE t IN (SELECT t FROM i) GROUP BY t),
+ x AS (SELECT doc_id, t, floor(1000 * ln((2 * c + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * c) // l))) AS x FROM counts JOIN held USING (t), whole),
+ r AS (SELECT item_id, doc_id, sum(x)::BIGINT AS score FROM i JOIN x USING (t) GROUP BY ALL HAVING sum(x) > 0)
+ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM r QUALIFY rank <= 50"""
+
+
+def _merkle_sql(levels: int = 7) -> str:
+    """``levels`` bounds the height of a language's tree: 8^7 rows."""
+    framed = lambda c, v: f"coalesce(strlen(({v})::VARCHAR) || ':' || ({v})::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(framed(c, text if c == "text" else c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    eight = "[xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]"
+    crc = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)), lambda c, b: list_reduce({eight}, lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+    sql = f"""WITH own AS (SELECT doc_id, lang, {leaf("text")} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(low)} ELSE {leaf("text")} END AS changed FROM documents),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS r, count(*) OVER (PARTITION BY lang) AS n FROM own), a0 AS (SELECT lang AS tree, r, n, leaf AS d FROM ranked)"""
+
+    def up(name: str, top: int) -> str:
+        out = ""
+        for k in range(top):
+            side = lambda frame: f"CASE WHEN n = 1 THEN '' ELSE coalesce(string_agg(d, '') OVER (PARTITION BY tree, r // 8 ORDER BY r ROWS BETWEEN {frame}), '') END"
+            out += f""", {name}s{k} AS (SELECT *, {side("UNBOUNDED PRECEDING AND 1 PRECEDING")} AS before, {side("1 FOLLOWING AND UNBOUNDED FOLLOWING")} AS after FROM {name}{k}),
+ {name}{k + 1} AS (SELECT tree, r // 8 AS r, (n + 7) // 8 AS n, CASE WHEN n = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY r)) END AS d FROM {name}{k} GROUP BY ALL)"""
+        return out.replace("GROUP BY ALL", "GROUP BY tree, r // 8, n")
+
+    def climb(name: str, start: str, source: str, top: int) -> str:
+        out = f", {start}0 AS ({source})"
+        for k in range(top):
+            out += f""", {start}{k + 1} AS (SELECT p.* EXCLUDE (f, proof), CASE WHEN s.n = 1 THEN f ELSE sha256(before || f || after) END AS f, proof || before || after AS proof
+  FROM {start}{k} p JOIN {name}s{k} s ON s.tree IS NOT DISTINCT FROM p.tree AND s.r = p.r // {8**k})"""
+        return out
+
+    sql += up("a", levels) + climb("a", "p", "SELECT doc_id, leaf, lang AS tree, r, changed AS f, '' AS proof FROM ranked", levels)
+    sql += f", b0 AS (SELECT 0 AS tree, tree AS lang, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS r, count(*) OVER () AS n, d FROM a{levels}), langs AS (SELECT lang, r, d FROM b0)"
+    sql += up("b", 3) + climb("b", "q", f"SELECT doc_id, leaf, l.d AS subroot, 0 AS tree, l.r, f, proof FROM p{levels} p JOIN langs l ON l.lang IS NOT DISTINCT FROM p.tree", 3)
+    return sql + " SELECT doc_id, leaf, subroot, b3.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = b3.d AS verified FROM q3, b3"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_minhash_near_dedup": OP5, "op6_benchmark_decontamination": OP6}
+    return {"op5_minhash_near_dedup": OP5, "op6_benchmark_decontamination": OP6, "op11_ranked_lexical_search": OP11, "op12_merkle_manifest": _merkle_sql()}
