@@ -48,7 +48,7 @@ def leaves(docs: DataFrame) -> DataFrame:
 def ranked(rows: DataFrame, tree: str, *order: str) -> DataFrame:
     """``rows`` with rank (from 0, by ``order`` within ``tree``) and size (rows of the tree), written.
 
-    Rows are dealt by ranges of (tree, order) and numbered as they lie; a number less the first of its tree in its
+    ``rows`` are read twice, so texts should lie behind them. They are dealt by ranges of (tree, order) and numbered as they lie; a number less the first of its tree in its
     partition, and the counts of the partitions before, make the rank. ``tie`` deals equal rows over partitions too.
     """
     parts = max(8, rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -89,12 +89,12 @@ def levels(nodes: DataFrame, fan: int) -> tuple[list[DataFrame], DataFrame]:
 
 
 def descend(store: list[DataFrame], start: DataFrame, fan: int, asked: DataFrame | None = None) -> DataFrame:
-    """tree, rank, path for every run of leaves of the store (rank: that of the leaves, div ``fan``), and for lone leaves.
+    """tree, rank, path, children for every run of leaves of the store (rank: that of the leaves, div ``fan``), and for lone leaves, which have no children.
 
     ``start``: tree, digest, height, path (segments of (before, after), the root's first). ``asked`` (tree, rank) names the leaves
     that are wanted, all without it; requests that share the digits of a level descend as one row.
     """
-    lone = start.where("height = 0").select("tree", F.lit(0).cast("long").alias("rank"), "path")
+    lone = start.where("height = 0").select("tree", F.lit(0).cast("long").alias("rank"), "path", F.array().cast("array<string>").alias("children"))
     front = None
     for h in range(len(store), 0, -1):
         come = start.where(F.col("height") == h).select("tree", F.lit(0).cast("long").alias("rank"), "digest", "path")
@@ -111,7 +111,7 @@ def descend(store: list[DataFrame], start: DataFrame, fan: int, asked: DataFrame
     if front is None:
         return lone
     records = store[0].select("digest", "children").dropDuplicates(["digest"])
-    return front.join(records, "digest").select("tree", "rank", "path", "children").union(lone.select("tree", "rank", "path", F.array().cast("array<string>")))
+    return front.join(records, "digest").select("tree", "rank", "path", "children").union(lone)
 
 
 def segment(children: Column, digit: Column) -> Column:
@@ -126,14 +126,14 @@ def folded(leaf: Column, path: Column) -> Column:
 
 def proofs(docs: DataFrame, fan: int = 8) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified: a row for each row of docs."""
-    rows = ranked(leaves(docs), "tree", "doc_id", "leaf", "changed")
+    rows = ranked(written(leaves(docs)), "tree", "doc_id", "leaf", "changed")
     below, subroots = levels(rows.select("tree", "rank", "size", F.col("leaf").alias("digest")), fan)
     subroots = written(subroots)
     tops = ranked(subroots.select(F.lit(0).alias("tree"), F.col("tree").alias("lang"), "digest", "height"), "tree", "lang")
     above, roots = levels(tops.select("tree", "rank", "size", "digest"), fan)
     none = F.array().cast("array<struct<before string, after string>>")
     root = roots.select("tree", "digest", "height", none.alias("path"))
-    top = descend(above, root, fan) if above else root.select("tree", F.lit(0).cast("long").alias("rank"), "path", F.array().cast("array<string>").alias("children"))
+    top = descend(above, root, fan)
     # Every language is met at its place in the runs of subroots, with the part of its path that lies above.
     runs = tops.select(F.floor(F.col("rank") / fan).alias("run"), (F.col("rank") % fan).cast("int").alias("digit"), "lang", "digest", "height")
     start = runs.join(top, F.col("run") == F.col("rank")).select(F.col("lang").alias("tree"), "digest", "height", stepped("path", "children", F.col("digit")).alias("path"))

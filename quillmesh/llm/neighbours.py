@@ -10,7 +10,8 @@ It ends when every node of every beam is expanded. The beams' nearest are scored
 
 Every vector is a node of the graph; equal vectors are one node, with as many of their ids as a result can show. A node has at most
 ``degree`` neighbours and is named back at most as often; a block has about ``block`` vectors and is split by hash beyond twice that; queries are
-searched in blocks of bounded bytes. So no group grows with the data. The graph is approximate by nature: README has its
+searched in blocks of bounded bytes. So no group grows with the data. Vectors travel in half precision while the graph is built and
+are scored in single precision while it is searched, so vectors whose cosines differ by less than some 1e-5 are told apart in the beam alone. The graph is approximate by nature: README has its
 recall against brute force.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows without an id; of rows that share an id the
