@@ -1,8 +1,7 @@
 """Relations between endpoints: heuristics as equi-joins, resolution to one edge a pair, statistics.
 
-Pairs come from two equi-joins (same tool; same category), never from an OR of both. Categories over
-``mesh`` endpoints keep the ``neighbours`` best targets of each source, by a ranked window that Spark
-cuts before its shuffle.
+Pairs come from equi-joins on the tool, and on the category where it has at most ``mesh`` endpoints. In larger categories an
+inverted index finds the ``neighbours`` best targets of each source (``candidates``).
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.functions import classify
+from quillmesh.operators import candidates
 from quillmesh.plans.runtime import written
 
 # Fixed values.
@@ -26,15 +26,9 @@ def nodes(endpoints: DataFrame) -> DataFrame:
     return endpoints.select(F.col("endpoint_id").alias("id"), "tool_name", "category", classify.verb(name).alias("verb"), classify.noun(name).alias("noun"), F.transform("params", F.lower).alias("params"))
 
 
-def _shared() -> Column:
-    return F.size(F.array_intersect("a.params", "b.params"))
-
-
 def feeds(a: str = "a", b: str = "b") -> Column:
     """The source's output names a parameter of the target, or a reading source shares two parameters with it."""
-    n = F.col(f"{a}.noun")
-    wanted = F.array(F.concat(n, F.lit("_id")), F.concat(n, F.lit("id")), F.concat(n, F.lit("_name")), F.lit("id"), F.lit("item_id"), F.lit("resource_id"))
-    return F.arrays_overlap(wanted, F.col(f"{b}.params")) | ((F.size(F.array_intersect(f"{a}.params", f"{b}.params")) >= 2) & F.coalesce(F.col(f"{a}.verb").isin("search", "get"), F.lit(False)))
+    return F.arrays_overlap(candidates.wanted(F.col(f"{a}.noun")), F.col(f"{b}.params")) | ((F.size(F.array_intersect(f"{a}.params", f"{b}.params")) >= 2) & F.coalesce(F.col(f"{a}.verb").isin("search", "get"), F.lit(False)))
 
 
 def completes() -> Column:
@@ -46,16 +40,15 @@ def completes() -> Column:
 
 def relations(endpoints: DataFrame, mesh: int = 80, neighbours: int = 30) -> DataFrame:
     """source, target, edge_type, weight: every heuristic that holds for a pair."""
-    n = nodes(endpoints)
+    n = written(nodes(endpoints))
     a, b = n.alias("a"), n.alias("b")
-    size = n.groupBy("category").agg(F.count("*").alias("size"))
     tool = a.join(b, F.col("a.tool_name") == F.col("b.tool_name")).where("a.id <> b.id").select(F.col("a.id").alias("source"), F.col("b.id").alias("target"), F.lit(True).alias("near"), feeds().alias("io"), completes().alias("complement"))
-    other = a.join(b, F.col("a.category") == F.col("b.category")).where("a.tool_name <> b.tool_name")
-    score = _shared() + F.when(F.col("a.noun") == F.col("b.noun"), 2).otherwise(0) + F.when(feeds(), 5).otherwise(0)
-    other = other.select(F.col("a.id").alias("source"), F.col("b.id").alias("target"), F.col("a.category").alias("category"), score.alias("score"), feeds().alias("io"))
-    small = other.join(size.where(F.col("size") <= mesh), "category", "left_semi")
-    rank = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("score"), "target"))
-    large = other.join(size.where(F.col("size") > mesh), "category", "left_semi").withColumn("rank", rank).where(F.col("rank") <= neighbours).drop("rank")
+    size = n.groupBy("category").agg(F.count("*").alias("size"))
+    few = n.join(size.where(F.col("size") <= mesh), "category", "left_semi")
+    a, b = few.alias("a"), few.alias("b")
+    small = a.join(b, F.col("a.category") == F.col("b.category")).where("a.tool_name <> b.tool_name").select(F.col("a.id").alias("source"), F.col("b.id").alias("target"), feeds().alias("io"))
+    many = n.join(size.where(F.col("size") > mesh), "category", "left_semi")
+    large = candidates.best_targets(many, neighbours).select("source", "target", "io")
     other = small.union(large).select("source", "target", F.lit(False).alias("near"), "io", F.lit(False).alias("complement"))
     kinds = F.array(F.when(F.col("near"), "same_tool").otherwise("same_category"), F.when(F.col("complement"), "complementary"), F.when(F.col("io"), "io_chain"))
     rows = tool.union(other).select("source", "target", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("edge_type"))
@@ -80,7 +73,7 @@ def degree_statistics(endpoints: DataFrame, edge: DataFrame) -> DataFrame:
     return n.join(e).withColumn("avg_degree", F.round(2 * F.col("edges") / F.col("nodes"), 2))
 
 
-def components(ids: DataFrame, edge: DataFrame, rounds: int = 50) -> DataFrame:
+def components(ids: DataFrame, edge: DataFrame) -> DataFrame:
     """id, component: the least id that a node is linked with, direction aside.
 
     Each round a node takes the least label round it and then its label's own label, so long paths
@@ -88,7 +81,7 @@ def components(ids: DataFrame, edge: DataFrame, rounds: int = 50) -> DataFrame:
     """
     links = written(edge.select("source", "target").union(edge.select(F.col("target").alias("source"), F.col("source").alias("target"))).distinct())
     now = ids.select("id", F.col("id").alias("component"))
-    for _ in range(rounds):
+    while True:
         near = links.join(now, F.col("target") == F.col("id")).groupBy("source").agg(F.min("component").alias("least"))
         step = now.join(near, F.col("id") == F.col("source"), "left").select("id", "component", F.least("component", F.coalesce("least", "component")).alias("next"))
         jump = step.select(F.col("id").alias("label"), F.col("next").alias("further"))
@@ -97,4 +90,3 @@ def components(ids: DataFrame, edge: DataFrame, rounds: int = 50) -> DataFrame:
         now = moved.select("id", F.col("next").alias("component"))
         if moved.where("component <> next").isEmpty():
             return now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
