@@ -2,46 +2,58 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from quillmesh.plans.runtime import written
+
+CHILD = "array<struct<name string, raw string, kind string>>"
 
 
-def _leaves(value, path: str) -> Iterator[tuple[str, str]]:
-    if isinstance(value, dict):
-        for k, v in value.items():
-            yield from _leaves(v, f"{path}.{k}")
-    elif isinstance(value, list):
-        for i, v in enumerate(value):
-            yield from _leaves(v, f"{path}[{i}]")
-    elif value is not None:
-        yield path, value if isinstance(value, str) else str(value)
+def _kind(raw: Column, value: Column) -> Column:
+    """OBJECT, ARRAY, BOOLEAN or else of a value; its type is asked only where its text could be one of these."""
+    unsure = F.substring(raw, 1, 1).isin("{", "[") | raw.isin("true", "false")
+    return F.when(unsure, F.substring_index(F.schema_of_variant(value), "<", 1)).otherwise("else")
+
+
+def _children(doc: Column) -> Column:
+    """The members of an object or the elements of an array, in the document's order, nulls left out."""
+    named = F.zip_with(F.map_entries(F.from_json(doc, "map<string,string>")), F.map_entries(F.from_json(doc, "map<string,variant>")), lambda x, y: F.struct(F.concat(F.lit("."), x["key"]).alias("name"), x["value"].alias("raw"), _kind(x["value"], y["value"]).alias("kind")))
+    placed = F.transform(F.zip_with(F.from_json(doc, "array<string>"), F.from_json(doc, "array<variant>"), lambda x, y: F.struct(x.alias("raw"), _kind(x, y).alias("kind"))), lambda x, i: F.struct(F.concat(F.lit("["), i.cast("string"), F.lit("]")).alias("name"), x["raw"].alias("raw"), x["kind"].alias("kind")))
+    return F.when(F.ltrim(doc).startswith("{"), named).otherwise(placed)
 
 
 def flatten(df: DataFrame, column: str, *keys: str) -> DataFrame:
-    """The key columns with ord, path and value: a row for each string, number or boolean of the document, in its order.
+    """The key columns with ord, path and value: a row for each string, number or boolean of the document, in its order (``ord``: places from the root down).
 
-    Nesting has no bound, which column functions would need; text that is no JSON gives no rows.
+    A level of all documents at a time is opened, by expressions alone, and what it has to be opened further is written to the
+    shared folder; so nesting has no bound, and a level costs what lies in it. Text that is no JSON, or names a key twice in one
+    object, gives no rows; what follows a document is ignored. Nulls are left out; booleans are True and False.
     """
     names = list(keys)
-
-    def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for *k, doc in zip(*(frame[n] for n in (*names, column)), strict=True):
-                try:
-                    value = json.loads(doc) if doc else None
-                except ValueError:
-                    continue
-                rows += [(*k, i, path, leaf) for i, (path, leaf) in enumerate(_leaves(value, "$"))]
-            yield pd.DataFrame(rows, columns=[*names, "ord", "path", "value"])
-
-    schema = StructType([*(df.schema[n] for n in names), StructField("ord", IntegerType()), StructField("path", StringType()), StructField("value", StringType())])
-    return df.select(*names, column).mapInPandas(apply, schema)
+    whole = F.try_parse_json(F.col(column))
+    doc = F.col(column)
+    kind = F.substring_index(F.schema_of_variant(whole), "<", 1)
+    plain = F.when(kind == "BOOLEAN", F.initcap(F.trim(doc))).when(~kind.isin("OBJECT", "ARRAY", "VOID"), F.variant_get(whole, "$", "string"))
+    top = df.where(whole.isNotNull()).select(*names, F.array().cast("array<int>").alias("ord"), F.lit("$").alias("path"), F.coalesce(plain, doc).alias("raw"), kind.alias("kind"))
+    now = written(top.where("kind <> 'VOID'"))
+    leaves = lambda level: level.where(~F.col("kind").isin("OBJECT", "ARRAY")).select(*names, "ord", "path", F.when(F.col("kind") == "BOOLEAN", F.initcap("raw")).otherwise(F.col("raw")).alias("value"))
+    out = leaves(now)
+    while not (inner := now.where(F.col("kind").isin("OBJECT", "ARRAY"))).isEmpty():
+        rows = inner.select(*names, "ord", "path", F.posexplode(_children(F.col("raw"))).alias("at", "x")).where("x.raw is not null")
+        now = written(rows.select(*names, F.array_append("ord", F.col("at")).alias("ord"), F.concat("path", "x.name").alias("path"), F.col("x.raw").alias("raw"), F.col("x.kind").alias("kind")))
+        out = out.union(leaves(now))
+    return out
+
+
+def script_text(value: Column) -> Column:
+    """A leaf as a browser prints it: whole numbers without a fraction, booleans in lower case."""
+    return F.when(value.isin("True", "False"), F.lower(value)).when(value.rlike(r"^-?[0-9]+\.0$"), F.regexp_replace(value, r"\.0$", "")).otherwise(value)
+
+
+def content_text(text: Column, body: Column) -> Column:
+    """What a message says: its text, else its JSON content, written tightly."""
+    return F.coalesce(text, F.to_json(F.try_parse_json(body)), body, F.lit(""))
 
 
 def last_key(path: Column) -> Column:

@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmesh.operators.mentions import first_mentions
+
 
 def argument_sources(arguments: DataFrame, results: DataFrame, requests: DataFrame, defaults: DataFrame, fallback: str = "generated") -> DataFrame:
     """conv_id, step, name, value, source, source_endpoint, evidence.
 
-    ``arguments``: conv_id, step, endpoint_id, name, value. ``results``: conv_id, step, endpoint_id, ord, path, value.
-    ``requests``: conv_id, turn, text (a user's). ``defaults``: endpoint_id, name, default.
+    ``arguments``: conv_id, step, turn (of the call), endpoint_id, name, value. ``results``: conv_id, step, endpoint_id, ord, path, value.
+    ``requests``: conv_id, turn, text (a user's; only those of turns before the call count). ``defaults``: endpoint_id, name, default.
     The latest earlier result with the value wins, its first path first: an as-of lookup, which is one
     window over (conversation, value) and never pairs arguments with results.
     """
     a = arguments.withColumn("value", F.trim("value")).where("value is not null")
     shown = results.withColumn("value", F.trim("value")).groupBy("conv_id", "value", "step").agg(F.min_by(F.struct("endpoint_id", "path"), "ord").alias("seen"))
-    both = a.select("conv_id", "value", "step", F.lit(0).alias("kind"), "endpoint_id", "name", F.lit(None).cast(shown.schema["seen"].dataType).alias("seen")).union(
-        shown.select("conv_id", "value", "step", F.lit(1), F.lit(None).cast("string"), F.lit(None).cast("string"), "seen")
+    both = a.select("conv_id", "value", "step", "turn", F.lit(0).alias("kind"), "endpoint_id", "name", F.lit(None).cast(shown.schema["seen"].dataType).alias("seen")).union(
+        shown.select("conv_id", "value", "step", F.lit(None).cast("long"), F.lit(1), F.lit(None).cast("string"), F.lit(None).cast("string"), "seen")
     )  # an argument sorts before the result of its own step
     w = Window.partitionBy("conv_id", "value").orderBy("step", "kind").rowsBetween(Window.unboundedPreceding, -1)
     a = both.withColumn("seen", F.last("seen", ignorenulls=True).over(w)).where("kind = 0").drop("kind")
     a = a.withColumn("seen", F.when(F.col("value") != "", F.col("seen")))
-    said = a.where("seen is null and value <> ''").select("conv_id", "value").distinct().join(requests.select("conv_id", F.lower("text").alias("text")), "conv_id")
-    said = said.where(F.col("text").contains(F.lower("value"))).select("conv_id", "value", F.lit(True).alias("said")).distinct()
-    a = a.join(said, ["conv_id", "value"], "left").join(defaults.where("coalesce(default, '') <> ''"), ["endpoint_id", "name"], "left")
+    said = first_mentions(a.where("seen is null and value <> ''").select("conv_id", "value"), requests).select("conv_id", "needle", F.col("turn").alias("said"))
+    a = a.withColumn("needle", F.lower("value")).join(said, ["conv_id", "needle"], "left").withColumn("said", F.coalesce(F.col("said") < F.col("turn"), F.lit(False)))
+    a = a.join(defaults.where("coalesce(default, '') <> ''"), ["endpoint_id", "name"], "left")
     source = F.when(F.col("seen").isNotNull(), "previous_tool_result").when(F.col("said"), "user_request").when(F.col("default") == F.col("value"), "tool_default").otherwise(fallback)
     evidence = (
         F.when(F.col("seen").isNotNull(), F.concat(F.lit("matched "), F.col("seen.path"), F.lit(" from "), F.col("seen.endpoint_id")))

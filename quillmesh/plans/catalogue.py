@@ -225,9 +225,15 @@ def graph_stats(spark, d):
     return graph.degree_statistics(*_edges(spark, d))
 
 
-@query(sql("SELECT category AS component_category, min(endpoint_id) AS component, count(*) AS members FROM endpoints GROUP BY category", "endpoints"))
+@query(
+    sql(
+        _GRAPH + """, links AS (SELECT source, target FROM edges UNION SELECT target, source FROM edges), reach AS (SELECT id, id AS label FROM n UNION SELECT l.target, r.label FROM reach r JOIN links l ON l.source = r.id WHERE r.label < l.target),
+ label AS (SELECT id, min(label) AS component FROM reach GROUP BY id)
+ SELECT component, min(category) AS component_category, count(*) AS members FROM label JOIN n USING (id) GROUP BY component""",
+        "endpoints",
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+)
 def graph_components(spark, d):
-    """Tools lie in one category and categories are meshed, so components are categories: the oracle's shortcut."""
     e, edge = _edges(spark, d)
     ids = e.select(F.col("endpoint_id").alias("id"), "category")
     return graph.components(ids, edge).join(ids, "id").groupBy("component").agg(F.min("category").alias("component_category"), F.count("*").alias("members"))
@@ -450,19 +456,23 @@ def repair_loop(spark, d):
 # Traces --------------------------------------------------------------------
 
 _SOURCES = """, prior AS (SELECT a.conv_id, a.step, a.k, arg_max(b.endpoint_id, b.step) AS source_endpoint FROM calls a JOIN calls b ON a.conv_id = b.conv_id AND a.k = b.k AND b.step < a.step GROUP BY ALL),
- sources AS (SELECT c.conv_id, c.step, 'k' AS name, c.k::VARCHAR AS value, CASE WHEN p.source_endpoint IS NOT NULL THEN 'previous_tool_result' WHEN contains(lower(u.text), c.k::VARCHAR) THEN 'user_request' WHEN c.k = 7 THEN 'tool_default' ELSE 'generated' END AS source, p.source_endpoint,
-  CASE WHEN p.source_endpoint IS NOT NULL THEN 'matched $.k from ' || p.source_endpoint WHEN contains(lower(u.text), c.k::VARCHAR) THEN 'value appeared in a prior user message' WHEN c.k = 7 THEN 'default value for parameter k' ELSE 'filled from the sampled schema and generator policy' END AS evidence
-  FROM calls c LEFT JOIN prior p ON c.conv_id = p.conv_id AND c.step = p.step LEFT JOIN (SELECT conv_id, 'Take ' || sum(k)::BIGINT AS text FROM calls GROUP BY conv_id) u ON u.conv_id = c.conv_id) """
+ asks AS (SELECT conv_id, 0 AS turn, 'Take ' || sum(k)::BIGINT AS text FROM calls GROUP BY conv_id UNION ALL SELECT conv_id, 2 * step + 1, 'Not ' || (k + 1) || ' BUT A' || k || 'b' FROM calls WHERE step % 2 = 0),
+ asked AS (SELECT DISTINCT c.conv_id, c.step FROM calls c JOIN asks a ON a.conv_id = c.conv_id AND a.turn < 2 * c.step AND contains(lower(a.text), c.k::VARCHAR)),
+ sources AS (SELECT c.conv_id, c.step, 'k' AS name, c.k::VARCHAR AS value, CASE WHEN p.source_endpoint IS NOT NULL THEN 'previous_tool_result' WHEN u.step IS NOT NULL THEN 'user_request' WHEN c.k = 7 THEN 'tool_default' ELSE 'generated' END AS source, p.source_endpoint,
+  CASE WHEN p.source_endpoint IS NOT NULL THEN 'matched $.k from ' || p.source_endpoint WHEN u.step IS NOT NULL THEN 'value appeared in a prior user message' WHEN c.k = 7 THEN 'default value for parameter k' ELSE 'filled from the sampled schema and generator policy' END AS evidence
+  FROM calls c LEFT JOIN prior p ON c.conv_id = p.conv_id AND c.step = p.step LEFT JOIN asked u ON u.conv_id = c.conv_id AND u.step = c.step) """
 
 
 def _sources(spark, d):
+    """Calls lie at even turns; a user's first message is before all, others follow every second call, and count for later calls alone."""
     c = adapters.calls(spark, d)
     value = F.col("k").cast("string").alias("value")
-    args = c.select("conv_id", "step", "endpoint_id", F.lit("k").alias("name"), value)
+    args = c.select("conv_id", "step", (2 * F.col("step")).alias("turn"), "endpoint_id", F.lit("k").alias("name"), value)
     results = jsonpath.flatten(c, "args", "conv_id", "step", "endpoint_id")
-    requests = c.groupBy("conv_id").agg(F.concat(F.lit("Take "), F.sum("k").cast("string")).alias("text")).select("conv_id", F.lit(0).alias("turn"), "text")
+    requests = c.groupBy("conv_id").agg(F.concat(F.lit("Take "), F.sum("k").cast("string")).alias("text")).select("conv_id", F.lit(0).cast("long").alias("turn"), "text")
+    later = c.where("step % 2 = 0").select("conv_id", (2 * F.col("step") + 1).alias("turn"), F.concat(F.lit("Not "), (F.col("k") + 1).cast("string"), F.lit(" BUT A"), F.col("k").cast("string"), F.lit("b")).alias("text"))
     defaults = c.select("endpoint_id").distinct().select("endpoint_id", F.lit("k").alias("name"), F.lit("7").alias("default"))
-    return traces.argument_sources(args, results, requests, defaults)
+    return traces.argument_sources(args, results, requests.union(later), defaults)
 
 
 @query(sql(_SOURCES + "SELECT * FROM sources", "calls"))
