@@ -73,6 +73,14 @@ def degree_statistics(endpoints: DataFrame, edge: DataFrame) -> DataFrame:
     return n.join(e).withColumn("avg_degree", F.round(2 * F.col("edges") / F.col("nodes"), 2))
 
 
+def diagram_counts(endpoints: DataFrame, most: int = 80) -> DataFrame:
+    """category, endpoints, shown, omitted: of each category, how many are among the first ``most`` of a diagram."""
+    order = ["category", "tool_name", "endpoint_name"]
+    shown = endpoints.select(*order).orderBy(*order).limit(most).groupBy("category").agg(F.count("*").alias("shown"))
+    n = endpoints.groupBy("category").agg(F.count("*").alias("endpoints")).join(shown, "category", "left").withColumn("shown", F.coalesce("shown", F.lit(0)))
+    return n.select("category", "endpoints", "shown", (F.col("endpoints") - F.col("shown")).alias("omitted"))
+
+
 def components(ids: DataFrame, edge: DataFrame) -> DataFrame:
     """id, component: the least id that a node is linked with, direction aside.
 

@@ -1,4 +1,7 @@
-"""Vector memory: the nearest stored vectors of each query by cosine."""
+"""Vector memory: the nearest stored vectors of each query by cosine, among all vectors or among those of the cells nearest to it.
+
+A cell index is fitted on a bounded sample (k-means of unit vectors) and covers every row; more rows are added to it as they come.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmesh.plans.runtime import written
+
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 2000, shards: int = 8) -> DataFrame:
     """query_id, vec_id, score, rank: ``queries`` and ``vectors`` have vec_id and embedding; a query never finds itself.
@@ -23,7 +28,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 200
     parts = F.sequence(F.lit(0), F.lit(shards - 1))
     q = queries.where(some).select(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"), F.explode(parts).alias("shard"), F.lit(True).alias("asks"), "vec_id", "embedding")
     v = vectors.where(some).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(shards)).cast("int").alias("shard"), F.lit(False), "vec_id", "embedding")
-    both = q.union(v).repartition("block", "shard").sortWithinPartitions("block", "shard", F.desc("asks"), "vec_id")
+    return _ranked(q.union(v), k)
+
+
+def _ranked(rows: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best for each query among the vectors that it meets: block, shard, asks (a query), vec_id, embedding."""
+    both = rows.repartition("block", "shard").sortWithinPartitions("block", "shard", F.desc("asks"), "vec_id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, asked, best = None, {}, {}
@@ -65,3 +75,65 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 200
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     found = both.mapInArrow(search, "query_id long, vec_id long, score double")
     return found.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k)
+
+
+def fit_cells(vectors: DataFrame, cells: int, sample: int = 20_000, rounds: int = 8, seed: int = 1) -> np.ndarray:
+    """Centres of cells, from at most ``sample`` vectors taken by the hash of their ids; only they reach the driver. Vectors of the commonest length count."""
+    some = vectors.where("size(embedding) > 0").orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).select("embedding").collect()
+    lengths = [len(r.embedding) for r in some]
+    if not some:
+        return np.zeros((0, 0))
+    x = np.array([r.embedding for r in some if len(r.embedding) == max(set(lengths), key=lengths.count)], float)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    centre = x[np.random.default_rng(seed).permutation(len(x))[:cells]]
+    for _ in range(rounds):
+        own = (x @ centre.T).argmax(1)
+        total = np.zeros_like(centre)
+        np.add.at(total, own, x)
+        norm = np.linalg.norm(total, axis=1, keepdims=True)
+        centre = np.where(norm > 0, total / np.maximum(norm, 1e-300), centre)
+    return centre
+
+
+def in_cells(rows: DataFrame, centres: np.ndarray, nearest_cells: int = 1) -> DataFrame:
+    """vec_id, embedding, cells: the numbers of the nearest cells; vectors of another length than the centres' share cell -1."""
+    sent = rows.sparkSession.sparkContext.broadcast(centres)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = sent.value
+        for batch in batches:
+            cells: list[list[int]] = [[-1]] * batch.num_rows
+            vectors = batch.column("embedding").to_pylist()
+            at = [i for i, v in enumerate(vectors) if len(v) == c.shape[1]]
+            if at:
+                s = np.array([vectors[i] for i in at], float) @ c.T
+                for i, near in zip(at, np.argsort(-s, 1, kind="stable")[:, :nearest_cells].tolist(), strict=True):
+                    cells[i] = near
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], names=["vec_id", "embedding", "cells"])
+
+    kind = rows.schema["embedding"].dataType.simpleString()
+    return rows.where("size(embedding) > 0").select(F.col("vec_id").cast("long"), "embedding").mapInArrow(place, f"vec_id long, embedding {kind}, cells array<int>")
+
+
+class Cells:
+    """A stored index: every vector lies in one cell; cells with more than ``most`` vectors are searched in parts."""
+
+    def __init__(self, vectors: DataFrame, cells: int, sample: int = 20_000, most: int = 50_000):
+        self.centres, self.most = fit_cells(vectors, cells, sample), most
+        self.rows = self._placed(vectors)
+
+    def _placed(self, vectors: DataFrame) -> DataFrame:
+        return written(in_cells(vectors, self.centres).select(F.col("cells")[0].alias("cell"), "vec_id", "embedding"))
+
+    def add(self, vectors: DataFrame) -> None:
+        """Further vectors, in the cells as they are."""
+        self.rows = self.rows.union(self._placed(vectors))
+
+    def search(self, queries: DataFrame, k: int, probes: int) -> DataFrame:
+        """query_id, vec_id, score, rank: among the vectors of each query's ``probes`` nearest cells, scored in full."""
+        parts = self.rows.groupBy("cell").agg(F.ceil(F.count("*") / self.most).cast("int").alias("parts"))
+        kind = self.rows.schema["embedding"].dataType
+        q = in_cells(queries, self.centres, probes).select("vec_id", F.col("embedding").cast(kind).alias("embedding"), F.explode("cells").alias("cell")).join(parts, "cell")
+        q = q.select(F.col("cell").cast("long").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("shard"), F.lit(True).alias("asks"), "vec_id", "embedding")
+        v = self.rows.join(parts, "cell").select(F.col("cell").cast("long"), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"), F.lit(False), "vec_id", "embedding")
+        return _ranked(q.union(v), k)

@@ -32,6 +32,13 @@ def complexity_hint(patterns: DataFrame) -> DataFrame:
     return patterns.agg(many.alias("r")).select(F.round("r", 4).alias("multi_step_ratio"), F.when(F.col("r") < 0.5, "Prefer multi-step scenarios").when(F.col("r") > 0.7, "Allow simpler single-step scenarios").otherwise("").alias("hint"))
 
 
+def rationale(total: DataFrame, counts: DataFrame, top: int = 3) -> DataFrame:
+    """One sentence on what was generated: ``total`` (total) conversations and the most used domains."""
+    best = counts.orderBy(F.desc("conversations"), "category").limit(top)
+    named = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("conversations")).alias("n"), "category"))), lambda x: F.concat(x["category"], F.lit("("), (-x["n"]).cast("string"), F.lit(")")))
+    return best.agg(F.array_join(named, ", ").alias("named")).join(total).select(F.concat(F.col("total").cast("string"), F.lit(" conversations generated so far. Most used domains: "), "named").alias("rationale"))
+
+
 def running_domains(calls: DataFrame, day: str = "day") -> DataFrame:
     """day, category, before: conversations that used the category on earlier days, the day itself left out.
 

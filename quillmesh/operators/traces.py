@@ -16,6 +16,8 @@ def argument_sources(arguments: DataFrame, results: DataFrame, requests: DataFra
     The latest earlier result with the value wins, its first path first: an as-of lookup, which is one
     window over (conversation, value) and never pairs arguments with results.
     """
+    if "turn" not in arguments.columns:  # all messages come before
+        arguments = arguments.withColumn("turn", F.lit(1 << 62))
     a = arguments.withColumn("value", F.trim("value")).where("value is not null")
     shown = results.withColumn("value", F.trim("value")).groupBy("conv_id", "value", "step").agg(F.min_by(F.struct("endpoint_id", "path"), "ord").alias("seen"))
     both = a.select("conv_id", "value", "step", "turn", F.lit(0).alias("kind"), "endpoint_id", "name", F.lit(None).cast(shown.schema["seen"].dataType).alias("seen")).union(

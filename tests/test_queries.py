@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quillmesh.plans import catalogue, views  # noqa: F401
+from quillmesh.plans import catalogue, exports, views  # noqa: F401
 
 QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
 
