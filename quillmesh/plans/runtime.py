@@ -11,8 +11,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
-#: Rows of an Arrow batch, unless the session asks for fewer: rows hold whole texts, and a Python worker holds a batch.
-BATCH = 2000
+#: Rows and bytes of an Arrow batch, unless the session asks for fewer: rows hold whole texts, and a Python worker holds a batch.
+BATCH, BATCH_BYTES = 2000, 8 << 20
+BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -20,6 +21,8 @@ def ship(spark: SparkSession) -> SparkSession:
     sc = spark.sparkContext
     if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+    if spark.conf.get(BYTES) == "67108864b":  # as Spark sets it
+        spark.conf.set(BYTES, BATCH_BYTES)
     if getattr(sc, "_quillmesh", None) is None:
         at = os.path.join(tempfile.mkdtemp(prefix="quillmesh-"), f"{ROOT.name}.zip")
         with zipfile.ZipFile(at, "w") as z:
