@@ -149,8 +149,9 @@ def forward_backward(emission: np.ndarray, first: np.ndarray, transitions: np.nd
     return out
 
 
-def train(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.3, batch: int = 200, words: int = 120, seed: int = 1) -> Model:
-    """Adagrad on the chains' likelihood. Each text gives a few parts of lines; chains join parts of one or two texts."""
+def train(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.3, batch: int = 200, words: int = 120, seed: int = 1, lexicon: int = 200) -> Model:
+    """Adagrad on the chains' likelihood. Each text gives a few parts of lines; chains join parts of one or two texts. The lexicon has
+    ``lexicon`` words a language at most, the commonest of those that it has nearly to itself."""
     names = sorted(set(langs))
     k = len(names)
     m = Model(names, np.zeros(((1 << BITS) + k, k), np.float32), np.zeros((k, k)), np.zeros(0, tk.U), np.zeros(0, np.int64))
@@ -166,7 +167,7 @@ def train(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.3
     of = np.zeros((len(kinds), k))
     np.add.at(of, (code, label), 1)
     own = np.flatnonzero((n >= 5) & (of.max(1) >= 0.9 * n))
-    own = np.sort(own[np.argsort(-n[own], kind="stable")][: 200 * k])
+    own = np.sort(own[np.argsort(-n[own], kind="stable")][: lexicon * k])
     m.lexicon, m.lexicon_lang = kinds[own], of[own].argmax(1)
     rng = np.random.default_rng(seed)
     begin = np.searchsorted(row, np.arange(p.n + 1))
@@ -228,6 +229,7 @@ def stretches(text: str, seed: int, parts: int = 4, words: int = 60) -> str:
 
 
 def fit(docs: DataFrame, learn: Column, per_lang: int = 800) -> Model:
+    """``learn``: which rows may be read. Of each language at most ``per_lang`` texts, also where many share an id."""
     rows = only(docs, "doc_id", "text", "lang").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # Ids first: the ordering moves no texts. A rank filter of a window is cut before the shuffle.
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
@@ -240,7 +242,9 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = 800) -> Model:
 
     # Equal ids are met null-safe: rows without an id are learned from too.
     met = rows.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("chosen"))).select("doc_id", "lang", "text")
-    sample = sorted((r.lang, r.text) for r in met.mapInArrow(cut, "lang string, text string").collect())
+    again = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    some = met.mapInArrow(cut, "lang string, text string").withColumn("k", F.row_number().over(again)).where(F.col("k") <= per_lang)
+    sample = sorted((r.lang, r.text) for r in some.select("lang", "text").collect())
     return train([t for _, t in sample], [x for x, _ in sample])
 
 

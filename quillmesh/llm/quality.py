@@ -93,7 +93,7 @@ def score_pack(p: tk.Packed, m: Model) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", bits: int = 20, sample: int = 12_000) -> Model:
-    """``learn``: over doc_id, which rows' labels may be read. ``sample`` bounds the rows, so the join below broadcasts at most so many ids."""
+    """``learn``: over doc_id, which rows' labels may be read. ``sample`` bounds the rows, also where many share an id; the join below broadcasts at most so many ids."""
     chosen = only(labels, "doc_id", label).where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & learn).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", label).limit(sample)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
 
     # One task has the sample, which is bounded, and the driver only gets the weights.
     rows = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(sparse, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, f binary, v binary")
-    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(8)), "doc_id", "y")
+    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id", "y", F.xxhash64("f", "v")).limit(sample)
     found = rows.mapInArrow(learn_all, "weights binary, bias double").collect()
     return Model(np.frombuffer(found[0].weights, np.float32), found[0].bias, bits) if found else train([], bits)
 

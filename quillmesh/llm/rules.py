@@ -161,7 +161,7 @@ def grow(x: np.ndarray, y: np.ndarray, monotone: list[int], trees: int = 40, dep
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 12_000) -> Trees:
-    """Trees from at most ``sample`` labelled rows; their ids are the only rows that are broadcast."""
+    """Trees from at most ``sample`` labelled rows, also where many share an id; their ids are the only rows that are broadcast."""
     chosen = only(labels, "doc_id", label).where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", label).limit(sample)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(label).cast(pa.int32()), pa.array(statistics(p)[1].tolist(), pa.list_(pa.float64()))], names=["y", "x"])
 
-    rows = sorted((tuple(r.x), r.y) for r in only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(measure, "y int, x array<double>").collect())
+    rows = sorted((tuple(r.x), r.y) for r in only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(measure, "y int, x array<double>").orderBy(F.xxhash64("x", "y"), "y").limit(sample).collect())
     return grow(np.array([x for x, _ in rows]).reshape(-1, len(NAMES)), np.array([y for _, y in rows], float), list(RATIOS.values()))
 
 

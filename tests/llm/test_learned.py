@@ -174,3 +174,17 @@ def test_null_ids_are_kept(spark):
     for df in (suffix_dedup.remove_repeats(d, 10), minhash.near_duplicates(d), decontam.contamination(d, bench), licenses.scan(d), lm.score(d, F.lit(True), path), rules.apply(d, rules.fit(d, spark.createDataFrame([], "doc_id long, quality int")))):
         assert df.count() == 3
     assert packing.pack(d, path).count() == 3
+
+
+def test_samples_are_bounded_where_rows_share_an_id(spark, monkeypatch):
+    """5,000 rows of one labelled id, and 5,000 without an id: what reaches the driver stays within the documented bound."""
+    rows = [(1 if i % 2 else None, f"some words here {i}", "en" if i % 4 < 2 else "de") for i in range(10_000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1)], "doc_id long, quality int")
+    seen = {}
+    monkeypatch.setattr(rules, "grow", lambda x, y, m: seen.setdefault("rules", len(y)))
+    monkeypatch.setattr(langid, "train", lambda t, x: seen.setdefault("langid", max(x.count("en"), x.count("de"))))
+    rules.fit(d, labels, sample=10)
+    langid.fit(d, F.lit(True), per_lang=10)
+    assert seen == {"rules": 10, "langid": 10}
+    assert quality.fit(d, labels, F.lit(True), sample=10).weights.any()
