@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
 #: Rows and bytes of an Arrow batch, unless the session asks for fewer: rows hold whole texts, and a Python worker holds a batch.
-BATCH, BATCH_BYTES = 2000, 8 << 20
+BATCH, BATCH_BYTES = 2000, 4 << 20
 BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
