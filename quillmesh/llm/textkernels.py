@@ -3,7 +3,7 @@
 A column of texts is packed into one byte buffer in which every text is followed by a line feed.
 Words, lines and n-grams are then ranges of that buffer, and their 64-bit hashes come from two
 prefix sums, one modulo 2^64 and one modulo the prime 2^31 - 1, so no Python object is made for a word.
-The prime keeps apart strings that any polynomial modulo a power of two confuses (long Thue-Morse words). Buffers are cut to a megabyte or one text, whatever
+The prime keeps apart strings that any polynomial modulo a power of two confuses (long Thue-Morse words). Buffers are cut to a quarter of a megabyte or one text, whatever
 the size of the Arrow batch; a text is never cut.
 """
 
@@ -129,7 +129,7 @@ def strings(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string())
 
 
-def packs(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, Packed]]:
+def packs(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int, Packed]]:
     """(first row, row after the last, Packed) of parts of a text column; null counts as empty."""
     empty, feed = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
     text = pc.binary_join_element_wise(strings(column), empty, feed, null_handling="replace", null_replacement="")
