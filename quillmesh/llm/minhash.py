@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: i
     # Rows of one id that are not copies of one another tie their classes together.
     ids = some.groupBy("doc_id").agg(F.min(F.struct(*same)).alias("a"), F.max(F.struct(*same)).alias("b")).where("a != b").select("doc_id")
     mixed = some.select("doc_id", *same).join(ids, "doc_id").distinct().join(classes, same).select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
-    final = written(connected_components(links.union(mixed)))
+    final = written(connected_components(written(links.union(mixed))))  # written first: a task runs one Python worker at a time
     # A class has its least member's component; ids of several classes are nodes themselves.
     node = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(*same, "n", F.coalesce("component", "rep").alias("component_id"))
     linked_rows = spread_join(some.select("doc_id", *same), node, same, total).select("doc_id", "n_shingles", "component_id")
