@@ -14,7 +14,8 @@ occurrences. A passage reaches as far as the windows of its anchor do; a longer
 Exact copies of a text meet in one representative (their bytes all repeat). Anchors that occur in one place are
 dropped before any text moves. An anchor with more than ``most`` places is split by content: its windows fall into
 shorter runs, and what all windows of a run have in common becomes part of the key. Runs are split again while their keys
-have too many places; a run of one window is its key. So a task never has more than ``most`` places of a key.
+have too many places; a run of one window is its key. So a task never has more than ``most`` places of a key, where equal places
+that follow one another in a text at the same distance (a periodic stretch) are one place with a number of times.
 
 Null text is empty. Texts shorter than ``size`` lose nothing; very long ones are read whole. Rows repeated in the table are copies of
 one another, whatever their ids; rows with a null id are texts like others. Extra columns are ignored.
@@ -66,6 +67,24 @@ def anchors(p: tk.Packed, size: int) -> tuple[np.ndarray, ...]:
     return row, g[spot[new]], start[new] - base, spot[new] - base, start[last] - base
 
 
+def periodic(p: tk.Packed, size: int, row: np.ndarray, h: np.ndarray, first: np.ndarray, at: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the runs of ``anchors``: heads of stretches whose runs have the same bytes one after another, and how many runs each stretch has."""
+    more = last - first
+    like = (row[1:] == row[:-1]) & (h[1:] == h[:-1]) & (more[1:] == more[:-1]) & (first[1:] == last[:-1] + 1) & (np.diff(at) == np.diff(first))
+    edge = np.flatnonzero(np.diff(like.astype(np.int8), prepend=0, append=0))
+    same = np.zeros(len(row), bool)
+    for a, b in zip(edge[0::2], edge[1::2], strict=True):
+        d = more[a] + 1
+        base = p.off[row[a]]
+        low, high = base + first[a], base + last[b] + size
+        bad = np.zeros(high - low - d + 1, np.int32)
+        np.cumsum(p.buf[low : high - d] != p.buf[low + d : high], out=bad[1:])
+        start = first[a:b] - first[a]
+        same[a + 1 : b + 1] = bad[start + more[a] + size] == bad[start]
+    head = np.flatnonzero(~same)
+    return head, np.diff(head, append=len(row))
+
+
 def common(a: bytes, b: bytes) -> int:
     """Length of the common prefix."""
     n = min(len(a), len(b))
@@ -111,17 +130,17 @@ def scan(passages: list[tuple[bytes, bytes]], size: int) -> list[tuple[int, int]
     return list(zip(left, right, strict=True))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[tuple[int, bytes], list[tuple[int, int]]]]:
-    """Of each key of a sorted partition with two places or more: places (text, first) by passage (bytes before the anchor, passage)."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[tuple[int, bytes], list[tuple[int, int, int, int]]]]:
+    """Of each key of a sorted partition with two places or more: places (text, first, times, step) by passage (bytes before the anchor, passage)."""
     now, same, n = None, {}, 0
     for batch in tk.slices(batches):
-        for *key, cut, seg, texts, firsts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for *key, cut, seg, texts, firsts, times, steps in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if key != now:
                 if n > 1:
                     yield same
                 now, same, n = key, {}, 0
-            same.setdefault((cut, seg), []).extend(zip(texts, firsts, strict=True))
-            n += len(texts)
+            same.setdefault((cut, seg), []).extend(zip(texts, firsts, times, steps, strict=True))
+            n += sum(times)
     if n > 1:
         yield same
 
@@ -141,10 +160,10 @@ def _covered(size: int):
             spans = scan([(seg[:cut][::-1], seg[cut:]) for cut, seg in kinds], size) if len(kinds) > 1 else [(0, 0)]
             for (cut, seg), (a, b) in zip(kinds, spans, strict=True):
                 places = same[cut, seg]
-                if len(places) > 1:  # equal passages: the whole of them is a repeat
+                if len(places) > 1 or places[0][2] > 1:  # equal passages: the whole of them is a repeat
                     a, b = cut, len(seg) - cut
-                if a + b:
-                    out.extend((text, first + cut - a, first + cut + b) for text, first in places)
+                if a + b:  # the step is less than a passage, so what a stretch covers has no gaps
+                    out.extend((text, first + cut - a, first + cut + b + (times - 1) * step) for text, first, times, step in places)
             if len(out) > 20_000:
                 yield flush()
         yield flush()
@@ -179,20 +198,21 @@ def _bodies(column: pa.Array) -> list[bytes]:
     return [unpack.decompress(x) for x in column.to_pylist()]
 
 
-SPOTS = "anchor long, tag long, row long, first int, cut smallint, more smallint"
-SPOT = ("anchor", "tag", "first", "cut", "more")
+SPOTS = "anchor long, tag long, row long, first int, cut smallint, more smallint, times int, step smallint"
+SPOT = ("anchor", "tag", "first", "cut", "more", "times", "step")
 
 
 def _spots_batch(columns: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "tag", "row", "first", "cut", "more"])
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int32(), pa.int16())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "tag", "row", "first", "cut", "more", "times", "step"])
 
 
 class Corpus:
     """The texts in the shared folder, each row with a number, and the places of their repeated anchors.
 
     A spot is a run of windows with the same key (anchor, tag) in a text: ``first`` window, anchor ``cut`` bytes after
-    it, ``more`` windows after the first. A key repeats if two spots of it differ in text or place.
+    it, ``more`` windows after the first. The same spot may follow ``times`` times in all, each ``step`` bytes on: periodic
+    texts (a word, line or byte over and over) are one row, however long. A key repeats if it has two spots, or one several times.
     """
 
     def __init__(self, docs: DataFrame, size: int, most: int):
@@ -209,13 +229,15 @@ class Corpus:
                 text = pa.array(_bodies(batch.column("body")), pa.large_binary()).view(pa.large_string())
                 number = batch.column("row").to_numpy()
                 for a, _, p in tk.packs(text, 1 << 19):
-                    row, h, first, at, last = anchors(p, size)
-                    yield _spots_batch([h.view(np.int64), np.zeros(len(h), np.int64), number[a:][row], first, at - first, last - first])
+                    found = anchors(p, size)
+                    head, times = periodic(p, size, *found)
+                    row, h, first, at, last = (x[head] for x in found)
+                    yield _spots_batch([h.view(np.int64), np.zeros(len(h), np.int64), number[a:][row], first, at - first, last - first, times, last - first + 1])
                     del p
             tk.trim()
 
         # Copies of a text are no new places: one row of each takes part.
-        spots = self.texts.where(F.col("n_bytes") >= size).select("row", "body").mapInArrow(place, SPOTS).join(self.copies.select("row"), "row", "left_semi").select("anchor", "tag", "row", "first", "cut", "more")
+        spots = self.texts.where(F.col("n_bytes") >= size).select("row", "body").mapInArrow(place, SPOTS).join(self.copies.select("row"), "row", "left_semi").select("anchor", "tag", "row", *SPOT[2:])
         #: For each splitting: row, spots. Windows that stand alone for a key with many places: piece, row, start.
         self.found: list[DataFrame] = []
         self.single: DataFrame | None = None
@@ -223,18 +245,21 @@ class Corpus:
             spots, at = written_at(spots if width is None else spots.mapInArrow(self._split(width), SPOTS))
             n = spots.count()
             places = F.struct("row", "first")
-            keys = written(spots.groupBy("anchor", "tag").agg(F.count("*").alias("n"), F.min(places).alias("a"), F.max(places).alias("b")).where("a != b").select("anchor", "tag", "n"))
-            limit = max(most, n // 100_000)  # at most 100,000 keys have more
-            hot = written(keys.where(F.col("n") > limit).select("anchor", "tag"))
-            some = not hot.isEmpty()
-            cold = spots.join(F.broadcast(hot), ["anchor", "tag"], "left_anti") if some else spots
-            self.found.append(written(cold.join(keys.where(F.col("n") <= limit).select("anchor", "tag"), ["anchor", "tag"]).groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots"))))
+            keys = written(spots.groupBy("anchor", "tag").agg(F.count("*").alias("n"), F.min(places).alias("a"), F.max(places).alias("b"), F.max("times").alias("times")).where("a != b OR times > 1").select("anchor", "tag", "n"))
+            few, many = keys.where(F.col("n") <= most).drop("n"), keys.where(F.col("n") > most)
+            some = not many.isEmpty()
+            limit = max(most, n // 100_000)  # at most 100,000 keys have more: these are broadcast, their rows stay where they are
+            largest = F.broadcast(many.where(F.col("n") > limit).drop("n"))
+            cold = spots.join(largest, ["anchor", "tag"], "left_anti") if some else spots
+            self.found.append(written(cold.join(few, ["anchor", "tag"]).groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots"))))
             if not some:
                 discard(spots, at)
                 break
-            left = spots.join(F.broadcast(hot), ["anchor", "tag"])
+            left = spots.join(largest, ["anchor", "tag"])
+            if limit > most:
+                left = left.union(cold.join(many.where(F.col("n") <= limit).drop("n"), ["anchor", "tag"]).select(*left.columns))
             if width == 1:  # one window a run: its key says that it repeats
-                self.single = written(left.select(F.xxhash64("anchor", "tag").alias("piece"), "row", F.col("first").cast("long").alias("start")))
+                self.single = written(left.select(F.xxhash64("anchor", "tag").alias("piece"), "row", F.col("first").cast("long").alias("start"), "times", "step"))
                 break
             spots = self._with_bodies(left.groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots")))
 
@@ -258,27 +283,27 @@ class Corpus:
                             at = s["first"] + s["cut"]
                             core = body[at - k * width : at - (k * width + width - 1) + size]
                             name = hashlib.blake2b(core, digest_size=16, key=k.to_bytes(4, "big", signed=True)).digest()
-                            out.append((int.from_bytes(name[:8], "big", signed=True), int.from_bytes(name[8:], "big", signed=True), row, at - b, b, b - a))
-                yield _spots_batch(list(zip(*out, strict=True)) or [()] * 6)
+                            out.append((int.from_bytes(name[:8], "big", signed=True), int.from_bytes(name[8:], "big", signed=True), row, at - b, b, b - a, s["times"], s["step"]))
+                yield _spots_batch(list(zip(*out, strict=True)) or [()] * 8)
 
         return apply
 
     def passages(self) -> DataFrame:
-        """anchor, tag, cut, passage, texts, firsts: dealt out and sorted by key; a task sends a passage once, with all its places."""
+        """anchor, tag, cut, passage, texts, firsts, times, steps: dealt out and sorted by key; a task sends a passage once, with all its places."""
         size = self.size
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in tk.slices(batches):
-                same: dict[tuple[int, int, int, bytes], list[tuple[int, int]]] = {}
+                same: dict[tuple[int, int, int, bytes], list[tuple[int, int, int, int]]] = {}
                 for row, body, spots in zip(batch.column("row").to_pylist(), _bodies(batch.column("body")), batch.column("spots").to_pylist(), strict=True):
                     for s in spots:
-                        same.setdefault((s["anchor"], s["tag"], s["cut"], body[s["first"] : s["first"] + s["more"] + size]), []).append((row, s["first"]))
+                        same.setdefault((s["anchor"], s["tag"], s["cut"], body[s["first"] : s["first"] + s["more"] + size]), []).append((row, s["first"], s["times"], s["step"]))
                 anchor, tag, at, seg = zip(*same, strict=True) if same else ((), (), (), ())
-                places = list(same.values())
-                yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(tag, pa.int64()), pa.array(at, pa.int16()), pa.array(seg, pa.binary()), pa.array([[k for k, _ in x] for x in places], pa.list_(pa.int64())), pa.array([[f for _, f in x] for x in places], pa.list_(pa.int32()))], names=["anchor", "tag", "cut", "passage", "texts", "firsts"])
+                lists = [pa.array([[place[k] for place in x] for x in same.values()], pa.list_(kind)) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int16()))]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(tag, pa.int64()), pa.array(at, pa.int16()), pa.array(seg, pa.binary()), *lists], names=["anchor", "tag", "cut", "passage", "texts", "firsts", "times", "steps"])
             tk.trim()
 
-        parts = [self._with_bodies(x).mapInArrow(cut, "anchor long, tag long, cut smallint, passage binary, texts array<long>, firsts array<int>") for x in self.found]
+        parts = [self._with_bodies(x).mapInArrow(cut, "anchor long, tag long, cut smallint, passage binary, texts array<long>, firsts array<int>, times array<int>, steps array<smallint>") for x in self.found]
         rows = parts[0]
         for x in parts[1:]:
             rows = rows.union(x)
@@ -289,7 +314,7 @@ class Corpus:
         out = self.passages().mapInArrow(_covered(self.size), "text long, start int, stop int")
         if self.single is None:
             return out
-        return out.union(self.single.select("row", F.col("start").cast("int").alias("start"), (F.col("start") + self.size).cast("int").alias("stop")))
+        return out.union(self.single.select("row", F.col("start").cast("int").alias("start"), (F.col("start") + (F.col("times") - 1) * F.col("step") + self.size).cast("int").alias("stop")))
 
 
 def remove_repeats(docs: DataFrame, size: int = 200, most: int = 50_000, with_text: bool = False) -> DataFrame:
@@ -346,13 +371,16 @@ def maximal_repeats(docs: DataFrame, size: int = 200, most: int = 50_000) -> Dat
     """
     c = Corpus(docs, size, most)
 
+    def each(places: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int]]:
+        return ((text, first + k * step) for text, first, times, step in places for k in range(times))
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for same in _groups(batches):
             kinds = list(same)
             out: set[tuple[int, int, int, int]] = set()
 
             def found(a: int, b: int, members: list[int]) -> None:
-                places = sorted((text, first + kinds[m][0] - a) for m in members for text, first in same[kinds[m]])  # noqa: B023
+                places = sorted((text, first + kinds[m][0] - a) for m in members for text, first in each(same[kinds[m]]))  # noqa: B023
                 name = int.from_bytes(hashlib.blake2b(repr((a + b, places)).encode(), digest_size=8).digest(), "big", signed=True)
                 out.update((name, a + b, text, at) for text, at in places)  # noqa: B023
 
@@ -360,14 +388,15 @@ def maximal_repeats(docs: DataFrame, size: int = 200, most: int = 50_000) -> Dat
                 for group in repeats([(seg[:cut][::-1], seg[cut:]) for cut, seg in kinds], size):
                     found(*group)
             for k, (cut, seg) in enumerate(kinds):
-                if len(same[cut, seg]) > 1:
+                if len(same[cut, seg]) > 1 or same[cut, seg][0][2] > 1:
                     found(cut, len(seg) - cut, [k])
             cols = list(zip(*sorted(out), strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], names=["piece", "n_bytes", "row", "start"])
 
     pieces = c.passages().mapInArrow(apply, "piece long, n_bytes long, row long, start long")
     if c.single is not None:
-        pieces = pieces.union(c.single.select("piece", F.lit(size).cast("long"), "row", "start"))
+        start = F.explode(F.sequence("start", F.col("start") + (F.col("times") - 1) * F.col("step"), F.col("step").cast("long")))
+        pieces = pieces.union(c.single.select("piece", F.lit(size).cast("long"), "row", start))
     pieces = written(pieces)
     # Pieces with the same places, but for a shift, follow one another in all of them.
     total = pieces.count()

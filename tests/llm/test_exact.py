@@ -68,6 +68,30 @@ def test_suffix_dedup_of_a_common_passage(spark):
         assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows(suffix_dedup.remove_repeats(frame(spark, texts), 60, most))) == want
 
 
+def test_suffix_dedup_of_periodic_texts(spark):
+    """Stretches of one word, line or byte are few rows, and what they share with others goes as well."""
+    rng = np.random.default_rng(11)
+    units = ["a", "ab ", "lorem x ", "one line of it\n", "0123456789" * 4 + "\n", "xyxxyxyyx" * 9]
+    texts = []
+    for i in range(50):
+        parts = [units[int(rng.integers(len(units)))] * int(rng.integers(1, 40)) + "".join(rng.choice(list("pqrst"), int(rng.integers(0, 50)))) for _ in range(int(rng.integers(1, 4)))]
+        texts.append((i, "".join(parts)[int(rng.integers(0, 9)) :]))
+    want = brute_repeats(texts, 60)
+    for most in (10_000, 7, 1):
+        assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows(suffix_dedup.remove_repeats(frame(spark, texts), 60, most))) == want, most
+    spots = suffix_dedup.Corpus(frame(spark, [(1, "lorem x " * 5000)]), 200, 50_000).found
+    assert sum(len(r["spots"]) for f in spots for r in rows(f)) < 10
+
+
+def test_maximal_repeats_count_every_period(spark):
+    for most in (10_000, 1):
+        found = collections.defaultdict(set)
+        for r in rows(suffix_dedup.maximal_repeats(frame(spark, [(1, "lorem x " * 20), (2, "q" + "lorem x " * 12)]), 40, most)):
+            found[r["repeat_id"], r["n_bytes"]].add((r["doc_id"], r["start"]))
+        covered = {(i, k) for (_, n), v in found.items() if len(v) > 1 for i, at in v for k in range(at, at + n)}
+        assert covered == {(1, k) for k in range(160)} | {(2, k) for k in range(1, 97)}, most
+
+
 def test_maximal_repeats_have_all_occurrences(spark):
     s = "the quick brown fox jumps over the lazy dog and on"
     long = "".join(f"{i * 7919 % 10007} " for i in range(120))
