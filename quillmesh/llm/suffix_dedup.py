@@ -211,8 +211,9 @@ class Corpus:
     """The texts in the shared folder, each row with a number, and the places of their repeated anchors.
 
     A spot is a run of windows with the same key (anchor, tag) in a text: ``first`` window, anchor ``cut`` bytes after
-    it, ``more`` windows after the first. The same spot may follow ``times`` times in all, each ``step`` bytes on: periodic
-    texts (a word, line or byte over and over) are one row, however long. A key repeats if it has two spots, or one several times.
+    it, ``more`` windows after the first. The same spot may follow ``times`` times in all, each ``step`` bytes on (0 if alone):
+    periodic texts (a word, line or byte over and over) are one row, however long. No two spots of a key are the same, so it repeats
+    if it has two, or one several times.
     """
 
     def __init__(self, docs: DataFrame, size: int, most: int):
@@ -232,7 +233,7 @@ class Corpus:
                     found = anchors(p, size)
                     head, times = periodic(p, size, *found)
                     row, h, first, at, last = (x[head] for x in found)
-                    yield _spots_batch([h.view(np.int64), np.zeros(len(h), np.int64), number[a:][row], first, at - first, last - first, times, last - first + 1])
+                    yield _spots_batch([h.view(np.int64), np.zeros(len(h), np.int64), number[a:][row], first, at - first, last - first, times, np.where(times > 1, last - first + 1, 0)])
                     del p
             tk.trim()
 
@@ -244,8 +245,7 @@ class Corpus:
         for width in (None, *RUNS):
             spots, at = written_at(spots if width is None else spots.mapInArrow(self._split(width), SPOTS))
             n = spots.count()
-            places = F.struct("row", "first")
-            keys = written(spots.groupBy("anchor", "tag").agg(F.count("*").alias("n"), F.min(places).alias("a"), F.max(places).alias("b"), F.max("times").alias("times")).where("a != b OR times > 1").select("anchor", "tag", "n"))
+            keys = written(spots.groupBy("anchor", "tag").agg(F.count("*").alias("n"), F.sum("times").alias("times")).where("times > 1").select("anchor", "tag", "n"))
             few, many = keys.where(F.col("n") <= most).drop("n"), keys.where(F.col("n") > most)
             some = not many.isEmpty()
             limit = max(most, n // 100_000)  # at most 100,000 keys have more: these are broadcast, their rows stay where they are
