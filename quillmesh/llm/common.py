@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,23 +33,39 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], total: int, cou
     return near.select(*cold.columns).union(cold)
 
 
-#: 64-bit words of the bitmap below: 1 MB, whatever the number of keys.
-WORDS = 1 << 17
+#: Bits of the bitmap below, as powers of two: at least, at most (1 and 64 MB), those of a piece that one task makes (1 MB), and how many a key has.
+LEAST_BITS, MOST_BITS, PIECE_BITS, BITS_A_KEY = 23, 29, 23, 16
 
 
-def key_bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of evenly spread 64-bit keys, made by grouped ORs. It only spares moving rows that can't match; a join must follow."""
-    key = F.col(column)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{column}`, 17) & 63 AS int))")
-    out = np.zeros(WORDS, np.int64)
-    for r in keys.groupBy(key.bitwiseAND(WORDS - 1).alias("w")).agg(F.bit_or(bit).alias("b")).collect():
-        out[r.w] = r.b
-    return out.view(np.uint64)
+def key_bitmap(keys: DataFrame, column: str) -> np.ndarray | None:
+    """A bitmap of evenly spread 64-bit keys, made by grouped ORs, larger for more keys. None for more keys than the largest has bits.
+
+    It only spares moving rows that can't match; a join must follow, which does the same without it.
+    """
+    n = keys.count()
+    if n > 1 << MOST_BITS:
+        return None
+    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_A_KEY * n - 1).bit_length()))
+    words = 1 << bits - 6
+    piece = min(words, 1 << PIECE_BITS - 6)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{column}`, {bits - 6}) & 63 AS int))")
+    ors = keys.groupBy(F.col(column).bitwiseAND(words - 1).alias("w")).agg(F.bit_or(bit).alias("b"))
+
+    def fill(group: pa.Table) -> pa.Table:
+        at = group.column("w").to_numpy()
+        part = np.zeros(piece, "<i8")
+        part[at % piece] = group.column("b").to_numpy()
+        return pa.table({"piece": pa.array([at[0] // piece], pa.int64()), "raw": pa.array([part.tobytes()], pa.binary())})
+
+    out = np.zeros(words, np.uint64)
+    for r in ors.groupBy(F.floor(F.col("w") / piece).cast("long").alias("piece")).applyInArrow(fill, "piece long, raw binary").collect():  # 64 pieces at most
+        out[r.piece * piece : (r.piece + 1) * piece] = np.frombuffer(r.raw, "<u8")
+    return out
 
 
 def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    k = keys.view(np.uint64)
-    return (bitmap[(k & np.uint64(WORDS - 1)).astype(np.int64)] >> ((k >> np.uint64(17)) & np.uint64(63))) & np.uint64(1) == 1
+    k, words = keys.view(np.uint64), len(bitmap)
+    return (bitmap[(k & np.uint64(words - 1)).astype(np.int64)] >> ((k >> np.uint64(words.bit_length() - 1)) & np.uint64(63))) & np.uint64(1) == 1
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:

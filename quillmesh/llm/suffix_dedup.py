@@ -180,14 +180,17 @@ def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([hashlib.sha256(x).digest() for x in texts], pa.binary()), pa.array([len(x) for x in texts], pa.int64()), pa.array([pack.compress(x) for x in texts], pa.binary())], names=["doc_id", "sha", "n_bytes", "body"])
 
 
-def _only_rows(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose number may be among those of ``keys``: what follows is a join, of less."""
-    mixed = F.xxhash64("row").alias("mixed")
-    handle = rows.sparkSession.sparkContext.broadcast(key_bitmap(keys.select(mixed), "mixed"))
+def _maybe(rows: DataFrame, keys: DataFrame, *on: str, among: bool = True) -> DataFrame:
+    """The rows whose key may be among those of ``keys``, or, if not ``among``, those whose key surely isn't: what is left for a join is less."""
+    mixed = F.xxhash64(*on).alias("mixed")
+    bitmap = key_bitmap(keys.select(mixed), "mixed")
+    if bitmap is None:
+        return rows if among else rows.where(F.lit(False))
+    handle = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part = batch.filter(pa.array(in_bitmap(handle.value, batch.column("mixed").to_numpy())))
+            part = batch.filter(pa.array(in_bitmap(handle.value, batch.column("mixed").to_numpy()) == among))
             yield part.select(part.schema.names[:-1])
 
     return rows.select("*", mixed).mapInArrow(apply, rows.schema)
@@ -238,7 +241,12 @@ class Corpus:
             tk.trim()
 
         # Copies of a text are no new places: one row of each takes part.
-        spots = self.texts.where(F.col("n_bytes") >= size).select("row", "body").mapInArrow(place, SPOTS).join(self.copies.select("row"), "row", "left_semi").select("anchor", "tag", "row", *SPOT[2:])
+        texts = self.texts.where(F.col("n_bytes") >= size).select("row", "body")
+        more = written(self.texts.select("row").join(self.copies.select("row"), "row", "left_anti"))
+        doubtful = written(_maybe(self.texts.select("row"), more, "row").join(more, "row", "left_anti"))
+        spots = _maybe(texts, more, "row", among=False).mapInArrow(place, SPOTS)
+        if not doubtful.isEmpty():
+            spots = spots.union(_maybe(texts, doubtful, "row").join(doubtful, "row").mapInArrow(place, SPOTS))
         #: For each splitting: row, spots. Windows that stand alone for a key with many places: piece, row, start.
         self.found: list[DataFrame] = []
         self.single: DataFrame | None = None
@@ -251,7 +259,7 @@ class Corpus:
             limit = max(most, n // 100_000)  # at most 100,000 keys have more: these are broadcast, their rows stay where they are
             largest = F.broadcast(many.where(F.col("n") > limit).drop("n"))
             cold = spots.join(largest, ["anchor", "tag"], "left_anti") if some else spots
-            self.found.append(written(cold.join(few, ["anchor", "tag"]).groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots"))))
+            self.found.append(written(_maybe(cold, few, "anchor", "tag").join(few, ["anchor", "tag"]).groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots"))))
             if not some:
                 discard(spots, at)
                 break
@@ -261,11 +269,11 @@ class Corpus:
             if width == 1:  # one window a run: its key says that it repeats
                 self.single = written(left.select(F.xxhash64("anchor", "tag").alias("piece"), "row", F.col("first").cast("long").alias("start"), "times", "step"))
                 break
-            spots = self._with_bodies(left.groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots")))
+            spots = self._with_bodies(written(left.groupBy("row").agg(F.collect_set(F.struct(*SPOT)).alias("spots"))))
 
     def _with_bodies(self, spots: DataFrame) -> DataFrame:
         """row, body, spots: other texts don't move."""
-        return _only_rows(self.texts.select("row", "body"), spots).join(spots, "row").select("row", "body", "spots")
+        return _maybe(self.texts.select("row", "body"), spots, "row").join(spots, "row").select("row", "body", "spots")
 
     def _split(self, width: int):
         """Runs of at most ``width`` windows, aligned at the anchor; the key gains what all windows of a run have in common."""
@@ -349,7 +357,7 @@ def remove_repeats(docs: DataFrame, size: int = 200, most: int = 50_000, with_te
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     # Only texts that lose a part need their bytes again.
-    changed = _only_rows(c.texts.select("row", "doc_id", "n_bytes", "body"), state).join(state, "row").select("doc_id", "n_bytes", "body", "spans").mapInArrow(cut, schema)
+    changed = _maybe(c.texts.select("row", "doc_id", "n_bytes", "body"), state, "row").join(state, "row").select("doc_id", "n_bytes", "body", "spans").mapInArrow(cut, schema)
     rows = c.texts.select("row", "doc_id", "sha", "n_bytes", *(["body"] if with_text else []))
     copied = spread_join(rows, c.copies.where("n > 1").select("sha", "n"), ["sha"], c.total).withColumn("gone", F.col("n_bytes") >= size)
     alone = c.copies.where("n = 1").select("row").join(state.select("row"), "row", "left_anti")

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 from quillmesh.llm import decontam, lm, minhash, packing, pii, rules, suffix_dedup
@@ -504,12 +505,32 @@ def test_suffix_dedup_with_text(spark, docs, corpus):
     assert {i: r["n_removed"] for i, r in got.items()} == {r["doc_id"]: r["n_removed"] for r in rows(suffix_dedup.remove_repeats(docs))}
 
 
-def test_key_bitmap_has_all_keys(spark):
+@pytest.mark.parametrize("most", [8, 0])
+def test_suffix_dedup_where_the_bitmaps_are_full_or_left_out(spark, docs, corpus, monkeypatch, most):
+    """Rows that a bitmap can't tell apart are left to the joins: the result is the same."""
+    from quillmesh.llm import common
+
+    want = sorted(map(tuple, rows(suffix_dedup.remove_repeats(docs))), key=str)
+    monkeypatch.setattr(common, "LEAST_BITS", 7)
+    monkeypatch.setattr(common, "BITS_A_KEY", 1)
+    if not most:
+        monkeypatch.setattr(common, "MOST_BITS", 0)
+    assert sorted(map(tuple, rows(suffix_dedup.remove_repeats(docs))), key=str) == want
+
+
+@pytest.mark.parametrize("bits", [23, 25])
+def test_key_bitmap_has_all_keys(spark, monkeypatch, bits):
+    from quillmesh.llm import common
     from quillmesh.llm.common import in_bitmap, key_bitmap
 
     keys = np.random.default_rng(4).integers(-(2**63), 2**63 - 1, 3000)
-    bitmap = key_bitmap(spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long"), "key")
+    monkeypatch.setattr(common, "LEAST_BITS", bits)
+    held = spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long")
+    bitmap = key_bitmap(held, "key")
+    assert len(bitmap) == 1 << bits - 6
     assert in_bitmap(bitmap, keys[:1000]).all() and in_bitmap(bitmap, keys[1000:]).mean() < 0.01
+    monkeypatch.setattr(common, "MOST_BITS", 9)
+    assert key_bitmap(held, "key") is None
 
 
 def test_oracle_sql(spark, data):
