@@ -124,6 +124,22 @@ def test_language_model_learns_from_rows_outside_the_sample(spark):
     assert mean(m) > mean(first) + 0.3, (mean(m), mean(first))
 
 
+def test_language_model_does_not_depend_on_partitions(spark, monkeypatch):
+    """However rows lie in tasks, and however many rounds add up the tasks' sums, scores are the same."""
+    from quillmesh.llm.queries import TOKENIZER
+
+    rng = np.random.default_rng(8)
+    words = [f"word{k}" for k in range(300)]
+    docs = frame(spark, {i: " ".join(rng.choice(words, 80)) for i in range(120)} | {120: None, 121: ""})
+    learn = bucket("doc_id", 7) != 2
+    one = {r.doc_id: r for r in lm.score(docs.coalesce(1), learn, TOKENIZER).collect()}
+    monkeypatch.setattr(lm, "FAN", 2)
+    six = {r.doc_id: r for r in lm.score(docs.repartition(6), learn, TOKENIZER).collect()}
+    assert one.keys() == six.keys()
+    for i, r in one.items():
+        assert r.n_known == six[i].n_known and np.isclose(r.base_score, six[i].base_score, rtol=1e-12) and np.isclose(r.score, six[i].score, rtol=1e-6)
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["MIT"][1]
     texts = {0: None, 1: "", 2: "word", 3: "plain text of no licence at all", 4: "intro\n" + mit.upper().replace(",", " ;") + "\noutro", 5: "See. Licensed under the Apache License, Version 2.0.", 6: mit.replace("without restriction", "with no limits"), 7: "the software is provided and the license of the work", 8: mit * 2}
