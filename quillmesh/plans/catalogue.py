@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions import classify, jsonpath, text
 from quillmesh.operators import conversation, diversity, executor, graph, judge, memory, registry, repair, sampler, steering, traces
-from quillmesh.plans import adapters
+from quillmesh.plans import adapters, workflow
 from quillmesh.plans.adapters import sql, table
 from quillmesh.plans.runtime import shared_folder, written
 from quillmesh.streaming import coverage
@@ -333,6 +333,21 @@ def multi_step_quota(spark, d):
     return sampler.quota(c, 0.55, c.count())
 
 
+@query(
+    sql(
+        _GRAPH + _walk_sql(100, 1, 5) + """, flags AS (SELECT o_orderkey AS chain_id, row_number() OVER (ORDER BY o_orderkey) <= floor(0.55 * (SELECT count(*) FROM orders)) AS forced FROM orders),
+ t AS (SELECT *, CASE WHEN forced THEN CASE WHEN steps >= 3 AND tools >= 2 AND contains(domains, 'Food') THEN 0 WHEN steps >= 3 AND tools >= 2 THEN 1 WHEN contains(domains, 'Food') THEN 2 ELSE 3 END WHEN contains(domains, 'Food') THEN 0 ELSE 1 END AS tier FROM chains JOIN flags USING (chain_id))
+  SELECT chain_id, forced, tier, attempt, steps, pattern FROM t QUALIFY row_number() OVER (PARTITION BY chain_id ORDER BY tier, attempt) = 1""",
+        "endpoints",
+    )
+)
+def quota_chains(spark, d):
+    """Quota, preferred domain and retries in one run."""
+    e, ids = written(adapters.endpoints(spark, d)), _chain_ids(spark, d)
+    found = workflow.with_quota(ids, e, written(graph.edges(graph.relations(e))), 0.55, ids.count(), domains=["Food"])
+    return found.select("chain_id", "forced", "tier", "attempt", "steps", "pattern")
+
+
 # Judging and repair --------------------------------------------------------
 
 _JUDGED = """, results AS (SELECT conv_id, step, CASE WHEN k % 2 = 0 THEN k::VARCHAR END AS id FROM calls WHERE k % 10 < 9),
