@@ -38,18 +38,20 @@ def build(endpoints: DataFrame, out: str) -> None:
     files.write_diagram(edges, f"{out}/graph_edges")
 
 
-def generate(endpoints: DataFrame, edges: DataFrame, count: int, seed: int = 42, least: int = 1, most: int = 5, attempts: int = 100, domains: list[str] | None = None) -> DataFrame:
-    """chain_id, attempt, tier, path, steps, tools, domains, pattern, forced: one chain for each of ``count`` ids, the first 55 % of many steps.
+def generate(endpoints: DataFrame, edges: DataFrame, count: int, seed: int = 42, least: int = 1, most: int = 5, attempts: int = 8, domains: list[str] | None = None) -> DataFrame:
+    """chain_id, attempt, tier, path, steps, tools, domains, pattern: one chain for each of ``count`` ids, the first 55 % of many steps.
 
-    ``domains`` are preferred: chains that reach them come from a lower tier than those that don't. Chains that miss the first
-    tier are walked again, up to ``attempts`` times.
+    ``domains`` are preferred: chains that reach them come from a lower tier than those that don't.
     """
     ids = endpoints.sparkSession.range(count).withColumnRenamed("id", "chain_id")
-    return with_quota(ids, endpoints, edges, 0.55, count, seed, least, most, attempts, domains)
+    found = written(sampler.described(sampler.walks(ids, endpoints, edges, least, most, attempts, seed), endpoints).join(sampler.quota(ids, 0.55, count), "chain_id"))
+    strict = F.when(F.col("forced"), sampler.violations(3, most, 2, domains)).otherwise(sampler.violations(least, most, 1, domains))
+    loose = F.when(F.col("forced"), sampler.violations(3, most, 2)).otherwise(sampler.violations(least, most))
+    return sampler.relaxed(found, [strict, loose, sampler.violations(1, most, 1, domains), sampler.violations(1, most)])
 
 
 def with_quota(ids: DataFrame, endpoints: DataFrame, edges: DataFrame, share: float, total: int, seed: int = 42, least: int = 1, most: int = 5, attempts: int = 100, domains: list[str] | None = None) -> DataFrame:
-    """As ``generate`` for given ids (numbers): the first floor(share * total) must have three steps and two tools, and each part is retried by its own tiers."""
+    """As ``generate`` for given ids (numbers), walked again up to ``attempts`` times while they miss the first tier, with forced: the first floor(share * total) must have three steps and two tools, and each part is retried by its own tiers."""
     flags = written(sampler.quota(ids, share, total))
     last = [sampler.violations(1, most, 1, domains), sampler.violations(1, most)]
 
