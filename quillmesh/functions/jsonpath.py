@@ -31,12 +31,14 @@ def flatten(df: DataFrame, column: str, *keys: str) -> DataFrame:
     object, gives no rows; what follows a document is ignored. Nulls are left out; booleans are True and False.
     """
     names = list(keys)
-    whole = F.try_parse_json(F.col(column))
-    doc = F.col(column)
+    # A document's own expression may be large: each step is a column of its own, and rows are left out only once they are written, as
+    # Spark would else push the condition down to the source and repeat the whole expression in it for each mention.
+    raw, whole = F.col("raw"), F.col("whole")
     kind = F.substring_index(F.schema_of_variant(whole), "<", 1)
-    plain = F.when(kind == "BOOLEAN", F.initcap(F.trim(doc))).when(~kind.isin("OBJECT", "ARRAY", "VOID"), F.variant_get(whole, "$", "string"))
-    top = df.where(whole.isNotNull()).select(*names, F.array().cast("array<int>").alias("ord"), F.lit("$").alias("path"), F.coalesce(plain, doc).alias("raw"), kind.alias("kind"))
-    now = written(top.where("kind <> 'VOID'"))
+    plain = F.when(F.col("kind") == "BOOLEAN", F.initcap(F.trim(raw))).when(~F.col("kind").isin("OBJECT", "ARRAY", "VOID"), F.variant_get(whole, "$", "string"))
+    top = df.select(*names, F.col(column).alias("raw")).withColumn("whole", F.try_parse_json(raw)).withColumn("kind", kind)
+    now = written(top.select(*names, F.array().cast("array<int>").alias("ord"), F.lit("$").alias("path"), F.coalesce(plain, raw).alias("raw"), "kind"))
+    now = now.where("kind <> 'VOID'")
     leaves = lambda level: level.where(~F.col("kind").isin("OBJECT", "ARRAY")).select(*names, "ord", "path", F.when(F.col("kind") == "BOOLEAN", F.initcap("raw")).otherwise(F.col("raw")).alias("value"))
     out = leaves(now)
     while not (inner := now.where(F.col("kind").isin("OBJECT", "ARRAY"))).isEmpty():

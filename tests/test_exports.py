@@ -116,6 +116,13 @@ def test_flatten_equals_a_recursive_walk(spark):
     assert [tuple(r) for r in flat.orderBy("i", "ord").select("i", "path", "value").collect()] == want
 
 
+def test_flatten_evaluates_a_document_once(spark):
+    times = spark.sparkContext.accumulator(0)
+    doc = F.udf(lambda i: times.add(1) or f'{{"id": {i}}}')
+    docs = spark.range(50).select("id", doc("id").alias("doc"))
+    assert jsonpath.flatten(docs, "doc", "id").count() == 50 == times.value
+
+
 def test_text_of_leaves_and_contents(spark):
     r = spark.createDataFrame([("1.0", None, '{"b": 1, "a": 2}'), ("1.50", "said", "{}"), ("True", None, "plain"), ("v1.0", None, None)], "value string, text string, body string")
     got = r.select(jsonpath.script_text(F.col("value")), jsonpath.content_text(F.col("text"), F.col("body"))).collect()
