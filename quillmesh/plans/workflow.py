@@ -53,14 +53,14 @@ def generate(endpoints: DataFrame, edges: DataFrame, count: int, seed: int = 42,
 def with_quota(ids: DataFrame, endpoints: DataFrame, edges: DataFrame, share: float, total: int, seed: int = 42, least: int = 1, most: int = 5, attempts: int = 100, domains: list[str] | None = None) -> DataFrame:
     """As ``generate`` for given ids (numbers), walked again up to ``attempts`` times while they miss the first tier, with forced: the first floor(share * total) must have three steps and two tools, and each part is retried by its own tiers."""
     flags = written(sampler.quota(ids, share, total))
-    last = [sampler.violations(1, most, 1, domains), sampler.violations(1, most)]
+    last = [sampler.Limits(1, most, 1, domains), sampler.Limits(1, most)]
 
-    def part(forced: bool, first: list[Column]) -> DataFrame:
+    def part(forced: bool, first: list[sampler.Limits]) -> DataFrame:
         chosen = flags.where(F.col("forced") == forced)
         return sampler.retried(chosen, endpoints, edges, first + last, least, most, attempts, seed).withColumn("forced", F.lit(forced))
 
-    many = part(True, [sampler.violations(3, most, 2, domains), sampler.violations(3, most, 2)])
-    free = part(False, [sampler.violations(least, most, 1, domains), sampler.violations(least, most)])
+    many = part(True, [sampler.Limits(3, most, 2, domains), sampler.Limits(3, most, 2)])
+    free = part(False, [sampler.Limits(least, most, 1, domains), sampler.Limits(least, most)])
     return many.unionByName(free)
 
 

@@ -225,3 +225,21 @@ def test_paged_source(spark):
     tools = paged.tool_rows(rows).collect()
     assert len(tools) == 18 and {(t.tool_name, t.category) for t in tools} == {("hotel", "Travel")}
     server.shutdown()
+
+
+def test_walks_in_tasks_equal_walks_by_joins(spark, monkeypatch):
+    verbs = ["search", "get", "create", "update", "delete", "track"]
+    rows = [(f"tool{t}/{v}_{n}", f"tool{t}", f"{v}_{n}", "ABC"[t % 3] if t < 8 else None, "", ["id", f"{n}_id", "q"], ["id"]) for t in range(9) for v in verbs for n in ("cup", "pan")]
+    e = spark.createDataFrame(rows + [("alone/x", "alone", "x", "D", "", [], [])], endpoints(spark).schema)
+    edge = graph.edges(graph.relations(e))
+    ids = spark.createDataFrame([(str(i),) for i in range(400)] + [("a",)], "chain_id string")
+    plain = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    tiers = [sampler.Limits(3, 5, 2, ["A"], ["tool0/get_cup"], ["crud_cycle", "search_and_act"]), sampler.Limits(3, 5, 2), sampler.Limits(2, 9)]
+    for more in ({}, {"start_in": ["B", "D"]}, {"excluded": ["tool1/get_cup", "tool2/search_pan"]}, {"start_in": ["nowhere"]}):
+        got = sampler.described_walks(ids, e, edge, 1, 5, 3, **more), sampler.retried(ids, e, edge, tiers, 1, 5, 12, **more)
+        assert all("MapInArrow" in x._jdf.queryExecution().toString() for x in got)
+        with monkeypatch.context() as m:
+            m.setattr(sampler.walker, "EDGES", 10)
+            want = sampler.described_walks(ids, e, edge, 1, 5, 3, **more), sampler.retried(ids, e, edge, tiers, 1, 5, 12, **more)
+            assert not any("MapInArrow" in x._jdf.queryExecution().toString() for x in want)
+        assert [plain(x) for x in got] == [plain(x) for x in want]
