@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.functions import classify
+from quillmesh.plans.runtime import parts_for, written
 
 
 def tool_pairs(calls: DataFrame) -> DataFrame:
     """first, second, n: how often two calls of a conversation are of these endpoints, in either order; an endpoint pairs with itself if called twice."""
-    n = calls.groupBy("conv_id", "endpoint_id").agg(F.count("*").alias("n"))
+    n = written(calls.groupBy("conv_id", "endpoint_id").agg(F.count("*").alias("n")))  # both sides of the join would else count in one task
+    n = n.repartition(parts_for(n), "conv_id")
     a, b = n.alias("a"), n.alias("b")
     pairs = a.join(b, F.col("a.conv_id") == F.col("b.conv_id")).where("a.endpoint_id <= b.endpoint_id")
     times = F.when(F.col("a.endpoint_id") == F.col("b.endpoint_id"), (F.col("a.n") * (F.col("a.n") - 1) / 2).cast("long")).otherwise(F.col("a.n") * F.col("b.n"))

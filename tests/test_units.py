@@ -245,3 +245,11 @@ def test_walks_in_tasks_equal_walks_by_joins(spark, monkeypatch):
             want = sampler.described_walks(ids, e, edge, 1, 5, 2, **more), sampler.retried(ids, e, edge, tiers, 1, 5, 6, **more)
             assert not any("MapInArrow" in x._jdf.queryExecution().toString() for x in want)
         assert [plain(x) for x in got] == [plain(x) for x in want]
+
+
+def test_traces_are_dealt_by_their_rows(spark, data, monkeypatch):
+    from quillmesh.plans import adapters, runtime
+
+    monkeypatch.setattr(runtime, "TASK_ROWS", 1000)
+    plan = adapters.traces(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and adapters.traces(spark, data).count() > 0
