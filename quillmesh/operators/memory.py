@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from quillmesh.plans.runtime import written
 
+#: Vectors that meet a block of queries at once: tables of scores are of block times this.
+SLICE = 128
+
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 2000, shards: int = 8) -> DataFrame:
     """query_id, vec_id, score, rank: ``queries`` and ``vectors`` have vec_id and embedding; a query never finds itself.
@@ -46,7 +49,7 @@ def _ranked(rows: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             block_of, shard_of, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             key = np.stack([block_of, shard_of, ~asks], 1)
-            cut = [0, *(np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1).tolist(), batch.num_rows]
+            cut = sorted({*range(0, batch.num_rows, SLICE), *(np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1).tolist(), batch.num_rows})
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 if a == b:
                     continue
