@@ -46,10 +46,11 @@ def remembered(results: DataFrame) -> DataFrame:
     return kept.groupBy("conv_id", "step", "key").agg(F.max_by("value", "ord").alias("value"))
 
 
-def grounded_values(parameters: DataFrame, memory: DataFrame) -> DataFrame:
+def grounded_values(parameters: DataFrame, memory: DataFrame, parts: int | None = None) -> DataFrame:
     """``parameters`` (conv_id, step, name) with ``value``: of the same name, else for ids the last id, as last remembered before the step.
 
     An as-of lookup: one window over (conversation, key), in which parameters and what is remembered are merged by step.
+    ``parts``: over how many tasks they are dealt, where Spark's own number would give a task too many rows.
     """
     name = F.lower("name")
     one = lambda rank, key: F.struct(F.lit(rank).alias("rank"), key.alias("key"))
@@ -57,7 +58,9 @@ def grounded_values(parameters: DataFrame, memory: DataFrame) -> DataFrame:
     ask = parameters.select("conv_id", "step", "name", F.inline(keys)).select("conv_id", "key", "step", F.lit(0).alias("kind"), "name", "rank", F.lit(None).cast("string").alias("value"))
     know = memory.select("conv_id", "key", "step", F.lit(1), F.lit(None).cast("string"), F.lit(None).cast("int"), "value")
     before = Window.partitionBy("conv_id", "key").orderBy("step", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    found = ask.union(know).withColumn("value", F.last("value", ignorenulls=True).over(before)).where("kind = 0")
+    both = ask.union(know)
+    both = both.repartition(parts, "conv_id", "key") if parts else both
+    found = both.withColumn("value", F.last("value", ignorenulls=True).over(before)).where("kind = 0")
     return found.groupBy("conv_id", "step", "name").agg(F.min_by("value", F.when(F.col("value").isNotNull(), F.col("rank"))).alias("value"))
 
 

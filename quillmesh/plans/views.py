@@ -10,6 +10,7 @@ from quillmesh.operators import grounding, timeline
 from quillmesh.plans import adapters
 from quillmesh.plans.adapters import sql, table
 from quillmesh.plans.catalogue import query
+from quillmesh.plans.runtime import parts_for
 
 #: Conversations of the calls: a request, messages of two calls each (every second one with a text), a response to nine calls of ten, scores and repairs.
 _TALK = """, pairs_ AS (SELECT *, (step + 1) // 2 AS m, (step - 1) % 2 AS idx FROM calls),
@@ -122,7 +123,7 @@ def grounded_values(spark, d):
     pick = lambda key, n, names: F.element_at(F.array(*map(F.lit, names)), (key % n + 1).cast("int"))
     results = c.select("conv_id", "step", F.lit(0).alias("ord"), F.lit("order").alias("entity"), pick(F.col("k"), 4, ["id", "confirmation_id", "user_id", "name"]).alias("key"), F.col("k").cast("string").alias("value"))
     names = c.select("conv_id", "step", pick(F.col("k"), 5, ["Order_ID", "item_id", "booking_id", "order_name", "size"]).alias("name"))
-    return grounding.grounded_values(names, grounding.remembered(results))
+    return grounding.grounded_values(names, grounding.remembered(results), parts_for(table(spark, d, "events")))
 
 
 @query(sql("SELECT endpoint_id, coalesce(array_to_string(list_filter(required, lambda p: NOT (lower(p) LIKE '%\\_id' ESCAPE '\\' OR lower(p) IN ('id', 'item_id', 'resource_id')))[:3], ','), '') AS visible, coalesce(array_to_string(required[:4], ','), '') AS supplied FROM endpoints", "endpoints"))
