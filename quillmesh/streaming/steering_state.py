@@ -1,7 +1,8 @@
 """Steering as keyed state: counters of tool pairs, domains and patterns that a stream of conversations keeps up to date.
 
 A key is a shard of conversations, so no key holds a large part of them; its counters are a map in the state store, a row a
-label, read and written one by one, whatever their number. A timer, set whenever a shard has counted, sends what
+label, read and written one by one, whatever their number. What conversations count is told by expressions and added up in the tasks that read
+them, so a key gets a row a label and task; a run has at most ``BATCHES`` micro-batches, of as many state tasks as there are keys at most. A timer, set whenever a shard has counted, sends what
 the shard would advise before its next conversation. ``counters`` adds the shards' maps up from the store's checkpoint, in a batch: that
 is the exact state of the whole, and what ``steering`` advises from.
 """
@@ -11,9 +12,9 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -33,17 +34,46 @@ def records(calls: DataFrame, shards: int = 16) -> DataFrame:
     return rows.select(F.pmod(F.xxhash64("conv_id"), F.lit(shards)).cast("int").alias("shard"), "conv_id", "pattern", "categories", "endpoints")
 
 
-def _counted(row) -> Iterator[tuple[tuple[str, str], int]]:
-    yield ("conversations", ""), 1
-    yield ("pattern", row.pattern), 1
-    for c in row.categories:
-        yield ("domain", c), 1
-    n = {e["endpoint_id"]: int(e["n"]) for e in row.endpoints}
-    for a, b in combinations(sorted(n), 2):
-        yield ("pair", f"{a} + {b}"), n[a] * n[b]
-    for a, x in n.items():
-        if x > 1:
-            yield ("pair", f"{a} + {a}"), x * (x - 1) // 2
+def counted(records: DataFrame) -> DataFrame:
+    """shard, kind, label, n: what each conversation counts; a row holds an endpoint's pairs, not those of all."""
+    e = F.array_sort("endpoints")
+    item = lambda kind, label, n: F.struct(F.lit(kind).alias("kind"), label.alias("label"), n.cast("long").alias("n"))
+    plain = F.concat(F.array(item("conversations", F.lit(""), F.lit(1)), item("pattern", F.col("pattern"), F.lit(1))), F.transform("categories", lambda c: item("domain", c, F.lit(1))))
+    x = F.get("e", F.col("i") - 1)
+    itself = F.shiftright(x["n"] * (x["n"] - 1), 1)
+    pairs = F.transform(F.slice("e", F.greatest("i", F.lit(1)), F.size("e")), lambda y: item("pair", F.concat(x["endpoint_id"], F.lit(" + "), y["endpoint_id"]), F.when(x["endpoint_id"] == y["endpoint_id"], itself).otherwise(x["n"] * y["n"])))
+    each = records.select("shard", "pattern", "categories", e.alias("e")).select("*", F.explode(F.sequence(F.lit(0), F.size("e"))).alias("i"))
+    return each.select("shard", F.explode(F.when(F.col("i") == 0, plain).otherwise(pairs)).alias("x")).select("shard", "x.*").where("n > 0")
+
+
+#: Sums that a task holds before it passes them on.
+HELD = 200_000
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """The rows of ``counted``, those of one shard, kind and label added up within a task: a stream's own aggregation would be state."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        more = 0
+
+        def total() -> pa.Table:
+            t = pa.concat_tables(held).group_by(["shard", "kind", "label"]).aggregate([("n", "sum")])
+            return t.select(["shard", "kind", "label", "n_sum"]).rename_columns(["shard", "kind", "label", "n"])
+
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]))
+            more += batch.num_rows
+            if more > HELD:
+                held = [total()]
+                more = held[0].num_rows
+                if 2 * more > HELD:
+                    yield from held[0].to_batches()
+                    held, more = [], 0
+        if held:
+            yield from total().to_batches()
+
+    return rows.mapInArrow(add, "shard int, kind string, label string, n long")
 
 
 class Steering(StatefulProcessor):
@@ -56,9 +86,8 @@ class Steering(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         more: Counter = Counter()
         for frame in rows:
-            for row in frame.itertuples():
-                for what, n in _counted(row):
-                    more[what] += n
+            for kind, label, n in zip(frame["kind"], frame["label"], frame["n"], strict=True):
+                more[kind, label] += int(n)
         for what, n in more.items():
             before = self.counts.getValue(what)[0] if self.counts.containsKey(what) else 0
             self.counts.updateValue(what, (before + n,))
@@ -84,17 +113,25 @@ class Steering(StatefulProcessor):
         pass
 
 
+#: Micro-batches of a run at most: each costs all state tasks a start and a commit, so with one for so many files they would grow with the input.
+BATCHES = 4
+#: State tasks at most, of a new stream; there are no more keys than shards.
+TASKS = 16
+
+
 def steered(spark: SparkSession, path: str, schema, at: str, files_a_batch: int = 1) -> None:
     """Runs the stream over the record files of ``path`` that it hasn't seen; guidance goes to ``at``/guidance, state and progress to ``at``/state.
 
-    A later call goes on where the last one ended. The state store that maps need is set for this stream's own session alone.
+    A batch has ``files_a_batch`` files, or so many more that a run has at most ``BATCHES`` batches. A later call goes on where the last one ended.
+    The state store that maps need is set for this stream's own session alone.
     """
     own = spark.newSession()
+    files_a_batch = max(files_a_batch, -(-len(own.read.schema(schema).parquet(path).inputFiles()) // BATCHES))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", False)  # timers are due with the next data, else batches without any never end
-    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set("spark.sql.shuffle.partitions", min(TASKS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     stream = own.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
-    out = stream.groupBy("shard").transformWithStateInPandas(Steering(), GUIDANCE, "Append", "ProcessingTime")
+    out = summed(counted(stream)).groupBy("shard").transformWithStateInPandas(Steering(), GUIDANCE, "Append", "ProcessingTime")
     out.writeStream.format("parquet").option("path", f"{at}/guidance").option("checkpointLocation", f"{at}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 

@@ -182,6 +182,25 @@ def test_stream_progress_and_state_after_a_restart(spark, tmp_path):
     assert heard.failed == []
 
 
+def test_steering_batches_do_not_grow_with_files(spark, tmp_path):
+    rng, want, rows = random.Random(3), {}, []
+    for i in range(60):
+        called = [f"t/e{rng.randrange(6)}" for _ in range(rng.randrange(1, 9))]
+        rows += [(f"c{i}", e, e[2:], "A") for e in called]
+        for j, a in enumerate(called):
+            for b in called[j + 1 :]:
+                label = f"{min(a, b)} + {max(a, b)}"
+                want[label] = want.get(label, 0) + 1
+    records = steering_state.records(spark.createDataFrame(rows, "conv_id string, endpoint_id string, endpoint string, category string"), 4)
+    path, at = str(tmp_path / "r"), str(tmp_path / "s")
+    for i in range(9):
+        records.where(f"pmod(hash(conv_id), 9) = {i}").coalesce(1).write.mode("append").parquet(path)
+    steering_state.steered(spark, path, records.schema, at)
+    got = {(r.kind, r.label): r.n for r in steering_state.counters(spark, at).collect()}
+    assert got["conversations", ""] == 60 and {x: n for (kind, x), n in got.items() if kind == "pair"} == want
+    assert len([p for p in (tmp_path / "s" / "state" / "commits").iterdir() if p.name.isdigit()]) <= steering_state.BATCHES
+
+
 def test_listener_hears_of_batches(spark, tmp_path):
     heard = progress.Progress()
     spark.streams.addListener(heard)
