@@ -49,7 +49,8 @@ def timeline(messages: DataFrame, calls: DataFrame, shown: DataFrame, edges: Dat
     none = lambda kind="string": F.lit(None).cast(kind)
     text = F.col("content")
     order = Window.partitionBy("conv_id").orderBy("turn", "idx")
-    c = with_steps(grounded(responses(messages, calls), shown), steps).withColumn("before", F.lag("endpoint_id").over(order))
+    # In this order what a step reads twice, for the keys of its calls, is no result of joins.
+    c = with_steps(responses(messages, grounded(calls, shown)), steps).withColumn("before", F.lag("endpoint_id").over(order))
     e = edges.select(F.col("source").alias("before"), F.col("target").alias("endpoint_id"), "edge_type")
     c = c.join(e, ["before", "endpoint_id"], "left")
     started = F.col("before").isNull()

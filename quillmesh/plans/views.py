@@ -10,7 +10,7 @@ from quillmesh.operators import grounding, timeline
 from quillmesh.plans import adapters
 from quillmesh.plans.adapters import sql, table
 from quillmesh.plans.catalogue import query
-from quillmesh.plans.runtime import parts_for
+from quillmesh.plans.runtime import parts_for, written
 
 #: Conversations of the calls: a request, messages of two calls each (every second one with a text), a response to nine calls of ten, scores and repairs.
 _TALK = """, pairs_ AS (SELECT *, (step + 1) // 2 AS m, (step - 1) % 2 AS idx FROM calls),
@@ -41,9 +41,9 @@ _TIMELINE = (
 )
 
 
-def _talk(spark, d):
-    """(messages, calls, values shown by tools, recorded steps, conversations) of the calls."""
-    c = adapters.calls(spark, d).withColumn("m", F.floor((F.col("step") + 1) / 2).cast("long")).withColumn("idx", ((F.col("step") - 1) % 2).cast("int"))
+def _talk(c):
+    """(messages, calls, values shown by tools, recorded steps, scores, conversations) of the calls."""
+    c = c.withColumn("m", F.floor((F.col("step") + 1) / 2).cast("long")).withColumn("idx", ((F.col("step") - 1) % 2).cast("int"))
     request = c.groupBy("conv_id").agg(F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("Take "), F.sum("k").cast("string")).alias("content"))
     said = c.groupBy("conv_id", "m").agg(F.min("k").alias("k")).select("conv_id", 3 * F.col("m") - 2, F.lit("assistant"), F.when(F.col("m") % 2 == 0, F.concat(F.lit("Working on "), F.col("k").cast("string"), F.repeat(F.lit(" and on"), F.lit(15)))))
     tools = c.where(F.col("k") % 10 < 9).select("conv_id", (3 * F.col("m") - 1 + F.col("idx")).alias("turn"), F.lit("tool").alias("role"), F.col("args").alias("content"))
@@ -54,18 +54,19 @@ def _talk(spark, d):
     score = lambda n: F.round(1 + (F.sum("k") % n) / 10, 1)
     figures = c.groupBy("conv_id").agg(score(41).alias("overall"), score(37).alias("correctness"), (F.count("*") % 3).alias("repairs"), F.count("*").alias("num_tool_calls"), F.countDistinct("tool").alias("num_distinct_tools"), F.collect_set("endpoint_id").alias("tools_used"), F.collect_set("category").alias("domains"))
     talks = figures.join(messages.groupBy("conv_id").agg(F.count("*").alias("num_turns")), "conv_id")
-    return messages, calls, shown, steps, talks
+    return messages, calls, shown, steps, figures.select("conv_id", "overall", "correctness", "repairs"), talks
 
 
-def _edges(spark, d):
-    n = adapters.calls(spark, d).select("endpoint_id", "tool", "category").distinct()
+def _edges(c):
+    n = c.select("endpoint_id", "tool", "category").distinct()
     a, b = n.alias("a"), n.alias("b")
     return a.join(b, F.col("a.category") == F.col("b.category")).where("a.endpoint_id <> b.endpoint_id").select(F.col("a.endpoint_id").alias("source"), F.col("b.endpoint_id").alias("target"), F.when(F.col("a.tool") == F.col("b.tool"), "same_tool").otherwise("same_category").alias("edge_type"))
 
 
 def _timeline(spark, d):
-    messages, calls, shown, steps, talks = _talk(spark, d)
-    return timeline.timeline(messages, calls, shown, _edges(spark, d), steps, talks.select("conv_id", "overall", "correctness", "repairs"))
+    c = written(adapters.calls(spark, d))  # its shuffle and sort are made once, not for every relation of the talk
+    messages, calls, shown, steps, scores, _ = _talk(c)
+    return timeline.timeline(messages, calls, shown, F.broadcast(_edges(c)), steps, scores)  # as many edges as pairs of event types
 
 
 @query(sql(_TIMELINE + "SELECT * FROM events_", "calls"))
@@ -80,17 +81,17 @@ def trace_counts(spark, d):
 
 @query(sql(_TALK + "SELECT count(*) AS total_conversations, sum(num_tool_calls)::BIGINT AS total_tool_calls, round(avg(overall) FILTER (overall > 0), 4) AS mean_score, count(*) FILTER (overall < 4.5 OR repairs > 0) AS review_count FROM talks", "calls"))
 def dashboard_metrics(spark, d):
-    return timeline.dashboard_metrics(_talk(spark, d)[-1])
+    return timeline.dashboard_metrics(_talk(adapters.calls(spark, d))[-1])
 
 
 @query(sql(_TALK + "SELECT count(*) AS total, round(100.0 * count(*) FILTER (num_tool_calls >= 3 AND num_distinct_tools >= 2) / count(*), 2) AS multi_step_share, round(avg(overall), 4) AS avg_score, count(*) FILTER (repairs > 0) AS repaired, round(avg(num_turns), 4) AS avg_turns, round(avg(num_tool_calls), 4) AS avg_tool_calls, round(avg(num_distinct_tools), 4) AS avg_distinct_tools FROM talks", "calls"))
 def conversation_summary(spark, d):
-    return timeline.conversation_summary(_talk(spark, d)[-1])
+    return timeline.conversation_summary(_talk(adapters.calls(spark, d))[-1])
 
 
 @query(sql(_TALK + "SELECT conv_id FROM calls JOIN talks USING (conv_id) GROUP BY conv_id HAVING (contains(conv_id, '-1') OR contains(lower(string_agg(endpoint_id || ' ' || category, ' ')), 'produ-1')) AND (bool_or(endpoint_id = 'order_api/book_order') OR bool_or(endpoint_id = 'account_api/create_account'))", "calls"))
 def conversation_search(spark, d):
-    talks = _talk(spark, d)[-1].withColumn("pattern", F.lit("multi_step"))
+    talks = _talk(adapters.calls(spark, d))[-1].withColumn("pattern", F.lit("multi_step"))
     return timeline.search(talks, " -1 ", ["order_api/book_order", "account_api/create_account"])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions import jsonpath, replies
 from quillmesh.operators import candidates, graph, memory, mentions, progress
-from quillmesh.plans import catalogue, exports  # noqa: F401
+from quillmesh.plans import catalogue, exports, views  # noqa: F401
 from quillmesh.sources import committed, quarantine
 from quillmesh.streaming import steering_state
 
@@ -235,6 +235,11 @@ def test_cells_find_what_all_vectors_give(spark, data):
     assert [(r.query_id, r.vec_id) for r in got] == [(1, 2), (1, 6), (5, 7)]
 
 
+def test_the_timeline_makes_its_calls_once(spark, data):
+    files = catalogue.queries()["trace_timeline"](spark, data).inputFiles()
+    assert files and not any(f.endswith("events.parquet") for f in files)
+
+
 def test_profiles_and_lists(spark):
     r = spark.createDataFrame([(" Hybrid-Live ", []), ("live", ["a"]), ("FAST", list("abcdefg")), (None, None)], "p string, x array<string>")
     got = [tuple(x) for x in r.select(replies.is_hybrid(F.col("p")), replies.listed(F.col("x"), 5)).collect()]
