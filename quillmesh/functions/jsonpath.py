@@ -10,17 +10,33 @@ from quillmesh.plans.runtime import written
 CHILD = "array<struct<name string, raw string, kind string>>"
 
 
+def _unsure(raw: Column) -> Column:
+    """Whether a value's text doesn't tell its type: a string may look like an object, an array or a boolean."""
+    return F.substring(raw, 1, 1).isin("{", "[") | raw.isin("true", "false")
+
+
 def _kind(raw: Column, value: Column) -> Column:
     """OBJECT, ARRAY, BOOLEAN or else of a value; its type is asked only where its text could be one of these."""
-    unsure = F.substring(raw, 1, 1).isin("{", "[") | raw.isin("true", "false")
-    return F.when(unsure, F.substring_index(F.schema_of_variant(value), "<", 1)).otherwise("else")
+    return F.when(_unsure(raw), F.substring_index(F.schema_of_variant(value), "<", 1)).otherwise("else")
 
 
-def _children(doc: Column) -> Column:
-    """The members of an object or the elements of an array, in the document's order, nulls left out."""
-    named = F.zip_with(F.map_entries(F.from_json(doc, "map<string,string>")), F.map_entries(F.from_json(doc, "map<string,variant>")), lambda x, y: F.struct(F.concat(F.lit("."), x["key"]).alias("name"), x["value"].alias("raw"), _kind(x["value"], y["value"]).alias("kind")))
-    placed = F.transform(F.zip_with(F.from_json(doc, "array<string>"), F.from_json(doc, "array<variant>"), lambda x, y: F.struct(x.alias("raw"), _kind(x, y).alias("kind"))), lambda x, i: F.struct(F.concat(F.lit("["), i.cast("string"), F.lit("]")).alias("name"), x["raw"].alias("raw"), x["kind"].alias("kind")))
-    return F.when(F.ltrim(doc).startswith("{"), named).otherwise(placed)
+def _opened(level: DataFrame) -> DataFrame:
+    """``level`` with ``children``: the members of an object or the elements of an array of ``raw``, in the document's order, nulls left out.
+
+    Values are read a second time, with their types, only where the text of one of them leaves its type open.
+    """
+    names, doc = level.columns, F.col("raw")
+    is_object = F.ltrim(doc).startswith("{")
+    # The texts are a column of their own, which is evaluated once.
+    read = level.withColumn("members", F.when(is_object, F.map_entries(F.from_json(doc, "map<string,string>")))).withColumn("elements", F.when(~is_object, F.from_json(doc, "array<string>")))
+    member = lambda x, kind: F.struct(F.concat(F.lit("."), x["key"]).alias("name"), x["value"].alias("raw"), kind.alias("kind"))
+    element = lambda raw, kind, i: F.struct(F.concat(F.lit("["), i.cast("string"), F.lit("]")).alias("name"), raw.alias("raw"), kind.alias("kind"))
+    sure = F.lit("else")
+    typed = F.zip_with("members", F.map_entries(F.from_json(doc, "map<string,variant>")), lambda x, y: member(x, _kind(x["value"], y["value"])))
+    named = F.when(F.exists("members", lambda x: _unsure(x["value"])), typed).otherwise(F.transform("members", lambda x: member(x, sure)))
+    both = F.zip_with("elements", F.from_json(doc, "array<variant>"), lambda x, y: F.struct(x.alias("raw"), _kind(x, y).alias("kind")))
+    placed = F.when(F.exists("elements", _unsure), F.transform(both, lambda x, i: element(x["raw"], x["kind"], i))).otherwise(F.transform("elements", lambda x, i: element(x, sure, i)))
+    return read.withColumn("children", F.when(is_object, named).otherwise(placed)).select(*names, "children")
 
 
 def flatten(df: DataFrame, column: str, *keys: str) -> DataFrame:
@@ -36,13 +52,15 @@ def flatten(df: DataFrame, column: str, *keys: str) -> DataFrame:
     raw, whole = F.col("raw"), F.col("whole")
     kind = F.substring_index(F.schema_of_variant(whole), "<", 1)
     plain = F.when(F.col("kind") == "BOOLEAN", F.initcap(F.trim(raw))).when(~F.col("kind").isin("OBJECT", "ARRAY", "VOID"), F.variant_get(whole, "$", "string"))
-    top = df.select(*names, F.col(column).alias("raw")).withColumn("whole", F.try_parse_json(raw)).withColumn("kind", kind)
+    # Documents are few bytes for the work they make, so they are dealt over tasks by their keys, not by splits of what they came from.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = df.select(*names, F.col(column).alias("raw")).repartition(parts, *names).withColumn("whole", F.try_parse_json(raw)).withColumn("kind", kind)
     now = written(top.select(*names, F.array().cast("array<int>").alias("ord"), F.lit("$").alias("path"), F.coalesce(plain, raw).alias("raw"), "kind"))
     now = now.where("kind <> 'VOID'")
     leaves = lambda level: level.where(~F.col("kind").isin("OBJECT", "ARRAY")).select(*names, "ord", "path", F.when(F.col("kind") == "BOOLEAN", F.initcap("raw")).otherwise(F.col("raw")).alias("value"))
     out = leaves(now)
     while not (inner := now.where(F.col("kind").isin("OBJECT", "ARRAY"))).isEmpty():
-        rows = inner.select(*names, "ord", "path", F.posexplode(_children(F.col("raw"))).alias("at", "x")).where("x.raw is not null")
+        rows = _opened(inner).select(*names, "ord", "path", F.posexplode("children").alias("at", "x")).where("x.raw is not null")
         now = written(rows.select(*names, F.array_append("ord", F.col("at")).alias("ord"), F.concat("path", "x.name").alias("path"), F.col("x.raw").alias("raw"), F.col("x.kind").alias("kind")))
         out = out.union(leaves(now))
     return out

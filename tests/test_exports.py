@@ -116,6 +116,18 @@ def test_flatten_equals_a_recursive_walk(spark):
     assert [tuple(r) for r in flat.orderBy("i", "ord").select("i", "path", "value").collect()] == want
 
 
+def test_flatten_deals_documents_over_tasks_and_tells_types_of_unclear_texts(spark, tmp_path):
+    """A single split of documents is opened by all tasks; what only looks like an object or a boolean stays text."""
+    doc = F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit(', "s": "{x", "t": "true", "b": true, "l": ["[", 1, null, {"n": "false"}]}'))
+    spark.range(400).coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d")).select("id", doc.alias("doc"))
+    flat = jsonpath.flatten(docs, "doc", "id")
+    want = [("$.id", "7"), ("$.s", "{x"), ("$.t", "true"), ("$.b", "True"), ("$.l[0]", "["), ("$.l[1]", "1"), ("$.l[3].n", "false")]
+    assert [(r.path, r.value) for r in flat.where("id = 7").orderBy("ord").collect()] == want and flat.count() == 2800
+    firsts = {f.rsplit("/", 2)[1] for f in flat.inputFiles()}
+    assert all(sum(f"/{t}/" in f for f in flat.inputFiles()) == 4 for t in firsts)
+
+
 def test_flatten_evaluates_a_document_once(spark):
     times = spark.sparkContext.accumulator(0)
     doc = F.udf(lambda i: times.add(1) or f'{{"id": {i}}}')
