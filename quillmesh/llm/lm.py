@@ -7,10 +7,10 @@ instead of a softmax over the whole vocabulary, yet the distributions sum to one
 (all of the first), in batches under one causal mask: each id is scored once, with at least
 half a window of what goes before. Between texts stands the end id; ids end with it.
 
-Corpus-wide counts of ids (a table bounded by the vocabulary) are the mixture's starting point. Weights to
-start from are trained by Adam, in one task, on stretches of at most 1,024 ids of ``sample`` training rows chosen by hash; then a pass over all training rows,
-in tasks, sums gradients and expected counts, by which each attention weight makes a step and the mixtures are replaced (``learned_from_all``):
-scores don't depend on how rows lie in tasks. The base
+No weight comes from a sample. A pass over all training rows counts, for each id, the buckets (a hash of the id) of the ids next to it
+and some places on (``pair_counts``); one task splits these counts, a table bounded by the vocabulary, into ``MIX`` parts, which give
+all weights to start from (``from_pairs``). A second pass over all training rows sums expected counts, by which the gates are scaled and
+the mixtures replaced (``learned_from_all``): scores don't depend on how rows lie in tasks. The base
 counts are over all training words, which grow with the corpus: words more frequent than a
 threshold (at most ``frequent`` of them) go to all tasks, the others are joined by hash, once a text and word.
 
@@ -55,17 +55,20 @@ class Model:
 def windows(ids: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(context and targets, valid targets) of texts that begin at ``starts``: rows of WINDOW ids before STRIDE targets.
 
-    Places before a text, and after its last id, hold -1; the id before the first is the end id.
+    Places before a text, and after its last id, hold -1; the id before the first is the end id. As WINDOW is STRIDE, a text is laid out
+    in blocks behind an empty one, and each further block is a window with the block before it.
     """
     length = np.diff(np.append(starts, len(ids)))
-    parts = -(-length // STRIDE)
-    text = np.repeat(np.arange(len(starts)), parts)
-    at = STRIDE * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
-    place = at[:, None] + np.arange(-WINDOW, STRIDE)[None, :]
-    inside = (place >= 0) & (place < length[text][:, None])
-    grid = np.where(inside, ids[np.where(inside, place + starts[text][:, None], 0)], -1)
-    grid[place == -1] = end_id
-    return grid, inside[:, WINDOW:]
+    blocks = 1 - (-length // STRIDE)
+    first = np.cumsum(blocks) - blocks
+    laid = np.full((blocks.sum(), STRIDE), -1)
+    laid.ravel()[np.arange(len(ids)) + np.repeat((first + 1) * STRIDE - starts, length)] = ids
+    laid[first, -1] = end_id
+    own = np.ones(len(laid), bool)
+    own[first] = False
+    own = np.flatnonzero(own)
+    grid = np.hstack([laid[own - 1], laid[own]])
+    return grid, grid[:, WINDOW:] >= 0
 
 
 def lookup(m: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +108,16 @@ def log_probs(m: Model, grid: np.ndarray, look: tuple[np.ndarray, np.ndarray] |
     return np.log(p / (gate @ np.ones(MIX, np.float32)))
 
 
+def _shares(m: Model, gate: np.ndarray, g: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """Each mixture's share in the targets, 0 where there is none; makes ``gate`` its share before the target is known."""
+    valid, ones = ok.astype(np.float32), np.ones(MIX, np.float32)
+    joint = np.take(m.tables, np.maximum(g[:, WINDOW:], 0), axis=0)
+    joint *= gate
+    joint *= (valid / np.maximum(joint @ ones, 1e-30))[:, :, None]
+    gate *= (valid / (gate @ ones))[:, :, None]
+    return joint
+
+
 #: Columns of the gradients by place: those of query and gate, of key and value, and each mixture's share in the id.
 ASKS, HELD, SHARE = slice(0, WIDTH + MIX), slice(WIDTH + MIX, 3 * WIDTH + MIX), slice(3 * WIDTH + MIX, 3 * WIDTH + 2 * MIX)
 
@@ -112,13 +125,8 @@ ASKS, HELD, SHARE = slice(0, WIDTH + MIX), slice(WIDTH + MIX, 3 * WIDTH + MIX),
 def gradients(m: Model, look: tuple[np.ndarray, np.ndarray], g: np.ndarray, ok: np.ndarray) -> tuple[int, dict[str, np.ndarray], np.ndarray]:
     """Of windows: valid targets, gradients of offset and out, and a row for every place of the grid with those of its id in all tables."""
     asks, held, weight, total, state, gate = _attend(m, look, g)
-    target = np.maximum(g[:, WINDOW:], 0)
-    valid = ok.astype(np.float32)
-    ones = np.ones(MIX, np.float32)
-    joint = gate * np.take(m.tables, target, axis=0)
+    joint = _shares(m, gate, g, ok)
     n = max(1, int(ok.sum()))
-    joint *= (valid / np.maximum(joint @ ones, 1e-30))[:, :, None]  # each mixture's share in the target
-    gate *= (valid / (gate @ ones))[:, :, None]
     d_gate = (gate - joint) / np.float32(n)
     d_state = (d_gate.reshape(-1, MIX) @ m.out.T).reshape(state.shape)
     query, key, value, seen = asks[:, :, :WIDTH], held[:, :, :WIDTH], held[:, :, WIDTH:-1], held[:, :, -1]
@@ -210,128 +218,205 @@ def unpacked(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), kind).astype(np.int64), np.cumsum([0, *(len(x) // kind.itemsize for x in parts[:-1])])
 
 
-def fit(rows: DataFrame, id_counts: np.ndarray, sample: int = 1500, end_id: int = 2, stretch: int = 1024) -> Model:
-    """The attention model. ``sample`` bounds the rows that give the weights to start from, ``stretch`` the ids of each; all training rows then move them. ``id_counts`` cover all training rows."""
-    size = len(id_counts)
-    wide = 2 if size <= 1 << 16 else 4
-    n = F.octet_length("ids") / wide
-    mixed = F.xxhash64("doc_id", "ids", F.lit(11))
-    begin = F.pmod(mixed, F.greatest(n - stretch, F.lit(0)).cast("long") + 1)
-    chosen = rows.where("learn").select(mixed.alias("k"), F.substring("ids", (1 + wide * begin).cast("int"), F.lit(wide * stretch)).alias("ids")).orderBy("k", "ids").limit(sample)
+#: Buckets of ids, and how many places on the context's pairs are.
+BUCKETS, APART = 64, (2, 4, 8, 16)
+#: The ids that one row of sums covers.
+SPAN = 128
+#: Tasks whose sums one task adds up; two rounds of it cover a million tasks.
+FAN = 1024
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = sorted(x for batch in batches for x in batch.column("ids").to_pylist())
-        flat, starts = unpacked(pa.array(texts, pa.binary()), size)
-        m = train(np.split(flat, starts[1:]) if texts else [], id_counts, end_id)
-        names = list(vars(m))
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([getattr(m, k).astype("<f4").tobytes() for k in names], pa.binary())], names=["name", "raw"])
 
-    # One task has the sample, which is bounded, and the driver only gets the weights.
-    shapes = {"query": (size, WIDTH), "key": (size, WIDTH), "value": (size, WIDTH), "gate": (size, MIX), "offset": (WINDOW,), "out": (WIDTH, MIX), "tables": (size, MIX)}
-    found = {r.name: np.frombuffer(r.raw, "<f4").reshape(shapes[r.name]).copy() for r in chosen.select("ids").repartition(1).mapInArrow(first, "name string, raw binary").collect()}
-    return learned_from_all(rows, Model(**found) if found else train([], id_counts, end_id), id_counts, end_id)
+def _buckets(size: int) -> np.ndarray:
+    return ((np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)).astype(np.int64)
 
 
-#: The ids that one row of sums covers.
-SPAN = 128
+def _spans(some: np.ndarray, take, size: int) -> Iterator[pa.RecordBatch]:
+    """Of a task's sums, those of the ids ``some`` (sorted), which ``take`` gives by id: a row for each span of ids."""
+    bound = np.searchsorted(some, np.arange(0, size + SPAN, SPAN))
+    task = TaskContext.get().partitionId() // FAN
+    for k, (a, b) in enumerate(zip(bound[:-1], bound[1:], strict=True)):
+        if b > a:
+            yield pa.RecordBatch.from_pylist([{"part": k, "task": task, "ids": (some[a:b] - k * SPAN).astype("<i4").tobytes(), "sums": take(some[a:b]).tobytes()}], _SUMS)
 
 
-def _by_id(at: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids and the sums of their rows."""
-    order = np.argsort(at.astype(np.uint16) if at.max() < 1 << 16 else at, kind="stable")  # 16 bits are sorted by radix
-    ids = at[order]
-    first = np.flatnonzero(np.diff(ids, prepend=-1))
-    return ids[first], np.add.reduceat(d[order], first, axis=0)
+_SUMS = pa.schema([("part", pa.int32()), ("task", pa.int32()), ("ids", pa.binary()), ("sums", pa.binary())])
 
 
-def _once(g: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and rows of the places of windows: where a window goes on from the one before, the rows of their common half are added up."""
-    on = np.zeros(len(g), bool)
-    on[1:] = (g[1:, :WINDOW] == g[:-1, WINDOW:]).all(1)
-    tail = rows[:, WINDOW:]
-    tail[np.flatnonzero(on) - 1] += rows[on, :WINDOW]
-    at = np.concatenate([g[:, WINDOW:].ravel(), g[~on, :WINDOW].ravel()])
-    return np.maximum(at, 0), np.concatenate([tail.reshape(-1, rows.shape[2]), rows[~on, :WINDOW].reshape(-1, rows.shape[2])])
+def _added(found: DataFrame, width: int, kind: str, whole: str) -> DataFrame:
+    """part, raw: the sums (of ``kind``) of all tasks, of ``whole`` kind; a row for each span of ids that has any."""
 
+    def adder(kind: str):
+        def add(group: pa.Table) -> pa.Table:
+            total = np.zeros((SPAN, width), whole)
+            for ids, sums in zip(group.column("ids").to_pylist(), group.column("sums").to_pylist(), strict=True):
+                total[np.frombuffer(ids, "<i4")] += np.frombuffer(sums, kind).reshape(-1, width)
+            return pa.table({"part": group.column("part").slice(0, 1), "task": group.column("task").slice(0, 1), "ids": [np.arange(SPAN, dtype="<i4").tobytes()], "sums": [total.tobytes()]}, _SUMS)
 
-#: Tasks whose sums one task adds up; two rounds of it cover a million tasks.
-FAN = 1024
+        return add
+
+    schema = "part int, task int, ids binary, sums binary"
+    rounds = found.groupBy("part", "task").applyInArrow(adder(kind), schema).groupBy("part").applyInArrow(adder(whole), schema)
+    return rounds.select("part", F.col("sums").alias("raw"))
+
+
+def _table(part: list[int], raw: list[bytes], size: int, width: int, kind: str) -> np.ndarray:
+    out = np.zeros((-(-size // SPAN) * SPAN, width), np.float32)
+    for k, x in zip(part, raw, strict=True):
+        out[k * SPAN : (k + 1) * SPAN] = np.frombuffer(x, kind).reshape(SPAN, width)
+    return out[:size]
+
+
+def pair_counts(rows: DataFrame, size: int, end_id: int = 2, flush: int = 1 << 28) -> DataFrame:
+    """part, raw: of each id of all training rows, how often ids of each bucket come next, come right before, and stand in one of the places ``APART`` after it."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, one = _buckets(size), np.int32(1)
+        held, n = np.zeros((3, size * BUCKETS + 1), np.int32), 0  # the last cell is for pairs across texts
+
+        def out() -> Iterator[pa.RecordBatch]:
+            by_id = held[:, :-1].reshape(3, size, BUCKETS)
+            yield from _spans(np.flatnonzero(by_id.any((0, 2))), lambda ids: np.hstack(by_id[:, ids]), size)
 
-def _step(w: np.ndarray, d: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
-    """``w`` after a step down the mean gradients ``d``, each column by its own scale over all ``n`` occurrences; no weight moves by more than twice ``rate``."""
-    scale = np.sqrt((n * d * d).sum(0) / max(1.0, n.sum()))
-    return w - (rate * np.clip(d / np.maximum(scale, 1e-30), -2, 2)).astype(np.float32)
+        for part in tk.slices(batches, 500):
+            ids, starts = unpacked(part.column("ids"), size)
+            starts = starts[starts < len(ids)]
+            before = np.append(end_id, ids[:-1])
+            before[starts] = end_id
+            code = bucket[ids]
+            np.add.at(held[0], before * BUCKETS + code, one)
+            np.add.at(held[1], ids * BUCKETS + bucket[before], one)
+            for d in APART:
+                at = ids[:-d] * BUCKETS + code[d:]
+                cross = (starts[1:, None] - np.arange(1, d + 1)).ravel()
+                at[cross[(cross >= 0) & (cross < len(at))]] = size * BUCKETS
+                np.add.at(held[2], at, one)
+            n += len(ids)
+            if n > flush:  # cells have 32 bits
+                yield from out()
+                held[:], n = 0, 0
+        tk.trim()
+        if n:
+            yield from out()
 
+    return _added(rows.where("learn").select("ids").mapInArrow(count, "part int, task int, ids binary, sums binary"), 3 * BUCKETS, "<i4", "<i8")
 
-def learned_from_all(rows: DataFrame, start: Model, id_counts: np.ndarray, end_id: int = 2, batch: int = 1024, rate: float = 0.03, prior: float = 1000.0, calm: float = 10.0) -> Model:
+
+def from_pairs(pairs: np.ndarray, id_counts: np.ndarray, rounds: int = 60, sharp: float = 4.0, prior: float = 1000.0) -> Model:
+    """Weights from ``pair_counts``.
+
+    By expectation-maximization the counts of next buckets are split into MIX parts by id, and those of the places on into the same parts: an id's
+    shares of the first are its gate, the logs of its shares of the second its value, of as many dimensions as the state has. Counts of buckets before an
+    id give its share of each mixture. An id that says what the last one says has the less weight in attention.
+    """
+    size, f = len(id_counts), np.float32
+    near, before, far = (pairs[:, k * BUCKETS : (k + 1) * BUCKETS] for k in range(3))
+    far = far / f(len(APART))
+    rng = np.random.default_rng(0)
+    gate, value = (rng.dirichlet(np.ones(MIX), size).astype(f) for _ in range(2))
+    parts = (near.sum(0) + far.sum(0) + 1e-6) * (1 + 0.5 * rng.random((MIX, BUCKETS)))
+    parts = (parts / parts.sum(1, keepdims=True)).astype(f)
+    for _ in range(rounds):
+        x = near / np.maximum(gate @ parts, 1e-12)
+        y = far / np.maximum(value @ parts, 1e-12)
+        new = parts * (gate.T @ x + value.T @ y)
+        gate, value = gate * (x @ parts.T), value * (y @ parts.T)
+        share = (value.sum(0) + 1e-6) / (value.sum() + MIX * 1e-6)
+        gate += gate.sum(0) / max(1.0, gate.sum()) + 1e-6
+        value += 20 / len(APART) * share
+        gate, value = gate / gate.sum(1, keepdims=True), value / value.sum(1, keepdims=True)
+        parts = (new + 1e-6) / (new + 1e-6).sum(1, keepdims=True)
+    # The bucket before, by mixture; and each id's share of the mixtures.
+    left = np.zeros((BUCKETS, MIX))
+    np.add.at(left, _buckets(size), near.sum(1, keepdims=True) * gate)
+    mass = (left.sum(0) + 1e-6) / (left + 1e-6).sum()
+    left = ((left + 1e-6) / (left + 1e-6).sum(0)).astype(f)
+    base = (id_counts + 0.5) / (id_counts + 0.5).sum()
+    expected = (base[:, None] * mass).astype(f)
+    for _ in range(20):
+        expected *= (before / np.maximum(expected @ left.T, 1e-20)) @ left
+        expected /= max(expected.sum(), f(1e-20))
+    tables = (prior * base)[:, None] + expected * float(before.sum())
+    logs = np.log(value / share)
+    logs = np.clip(logs - logs.mean(1, keepdims=True), -5, 5)
+    *_, axes = np.linalg.svd((logs * near.sum(1, keepdims=True)).T @ logs)
+    state = logs @ axes[:WIDTH].T
+    unit = state / np.maximum(np.linalg.norm(state, axis=1, keepdims=True), 1e-6)
+    return Model(*(x.astype(f) for x in (-0.7 * unit, unit, state, np.log(gate), np.zeros(WINDOW), sharp * axes[:WIDTH], tables / tables.sum(0))))
+
+
+def fit(rows: DataFrame, id_counts: np.ndarray, sample: int = 0, end_id: int = 2, stretch: int = 1024) -> Model:
+    """The attention model, of all training rows: ``from_pairs`` and then ``learned_from_all``. ``id_counts`` cover all training rows.
+
+    With a ``sample`` (for comparison; the query has none) the weights to start from are instead those that ``train`` finds on one stretch
+    of at most ``stretch`` ids of each of so many rows.
+    """
+    size = len(id_counts)
+    wide = 2 if size <= 1 << 16 else 4
+    if sample:
+        n = F.octet_length("ids") / wide
+        mixed = F.xxhash64("doc_id", "ids", F.lit(11))
+        begin = F.pmod(mixed, F.greatest(n - stretch, F.lit(0)).cast("long") + 1)
+        chosen = rows.where("learn").select(mixed.alias("k"), F.substring("ids", (1 + wide * begin).cast("int"), F.lit(wide * stretch)).alias("ids")).orderBy("k", "ids").limit(sample).select(F.lit(0).alias("part"), F.col("ids").alias("raw"))
+    else:
+        chosen = pair_counts(rows, size, end_id)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [x for batch in batches for x in zip(batch.column("part").to_pylist(), batch.column("raw").to_pylist(), strict=True)]
+        if not held:
+            return
+        part, raw = zip(*held, strict=True)
+        if sample:
+            flat, starts = unpacked(pa.array(sorted(raw), pa.binary()), size)
+            m = train(np.split(flat, starts[1:]), id_counts, end_id)
+        else:
+            m = from_pairs(_table(part, raw, size, 3 * BUCKETS, "<i8"), id_counts)
+        names = list(vars(m))
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([getattr(m, k).astype("<f4").tobytes() for k in names], pa.binary())], names=["name", "raw"])
+
+    # One task has the counts, which the vocabulary bounds, and the driver only gets the weights.
+    shapes = {"query": (size, WIDTH), "key": (size, WIDTH), "value": (size, WIDTH), "gate": (size, MIX), "offset": (WINDOW,), "out": (WIDTH, MIX), "tables": (size, MIX)}
+    found = {r.name: np.frombuffer(r.raw, "<f4").reshape(shapes[r.name]).copy() for r in chosen.repartition(1).mapInArrow(first, "name string, raw binary").collect()}
+    return learned_from_all(rows, Model(**found) if found else train([], id_counts, end_id), id_counts, end_id)
+
+
+def learned_from_all(rows: DataFrame, start: Model, id_counts: np.ndarray, end_id: int = 2, batch: int = 1024, prior: float = 1000.0, calm: float = 1.0) -> Model:
     """``start`` after a pass over every training row.
 
-    Tasks sum the gradients of all windows by id, and the expected counts of each id in each mixture, all under
-    ``start``: the sums don't depend on how rows lie in tasks, nor on a task that runs twice. Then each weight makes one step down
-    its mean gradient (``calm`` occurrences without one are added to an id's), and the mixtures become the expected counts, with ``prior`` times
-    the unigram distribution added. The sums are as many as the vocabulary has ids, whatever the number of rows.
+    Tasks sum, of all windows, the expected counts of each id in each mixture, and by the id before how much of each mixture was expected with
+    and without the target, all under ``start``: the sums don't depend on how rows lie in tasks, nor on a task that runs twice. Then the
+    gates are scaled by the ratio of the latter (a step of iterative scaling; ``calm`` occurrences without a change are added to an id's),
+    and the mixtures become the expected counts, with ``prior`` times the unigram distribution added. The sums are as many as the vocabulary has ids, whatever the number of rows.
     """
     size, handle = len(id_counts), rows.sparkSession.sparkContext.broadcast(start)
-    width = SHARE.stop
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = handle.value
-        look = lookup(m)
-        sums, whole, seen = np.zeros((size, width)), np.zeros(WINDOW + WIDTH * MIX), 0
+        look, mixture = lookup(m), np.arange(MIX)
+        sums, seen = np.zeros((3, size * MIX)), False
         for part in tk.slices(batches, 500):
             grid, valid = windows(*unpacked(part.column("ids"), size), end_id)
             for i in range(0, len(grid), batch):
-                g = grid[i : i + batch]
-                n, shared, places = gradients(m, look, g, valid[i : i + batch])
-                seen += n
-                whole += n * np.concatenate([shared["offset"], shared["out"].ravel()])
-                at, d = _by_id(*_once(g, places))
-                d[:, : HELD.stop] *= n  # gradients of a batch are means over its targets
-                sums[at] += d
+                g, ok = grid[i : i + batch], valid[i : i + batch]
+                *_, gate = _attend(m, look, g)
+                joint = _shares(m, gate, g, ok).ravel().astype(np.float64)
+                last, target = ((MIX * np.maximum(x, 0)[:, :, None] + mixture).ravel() for x in (g[:, WINDOW - 1 : -1], g[:, WINDOW:]))
+                for total, at, x in zip(sums, (target, last, last), (joint, joint, gate.ravel().astype(np.float64)), strict=True):
+                    np.add.at(total, at, x)
+                seen = True
         tk.trim()
-        if not seen:
-            return
-        some = np.flatnonzero(sums[:, SHARE].any(1))
-        bound = np.searchsorted(some, np.arange(0, size + SPAN, SPAN))
-        out = [(k, (some[a:b] - k * SPAN).astype("<i4").tobytes(), sums[some[a:b]].astype("<f4").tobytes()) for k, (a, b) in enumerate(zip(bound[:-1], bound[1:], strict=True)) if b > a]
-        part, ids, found = zip(*out, (-1, b"", np.append(whole, seen).astype("<f8").tobytes()), strict=True)
-        task = np.full(len(part), TaskContext.get().partitionId() // FAN)
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(task, pa.int32()), pa.array(ids, pa.binary()), pa.array(found, pa.binary())], names=["part", "task", "ids", "sums"])
-
-    def add(group: pa.Table) -> pa.Table:
-        part = group.column("part")[0].as_py()
-        total = np.zeros((SPAN, width)) if part >= 0 else np.zeros(WINDOW + WIDTH * MIX + 1)
-        for ids, sums in zip(group.column("ids").to_pylist(), group.column("sums").to_pylist(), strict=True):
-            if part >= 0:
-                total[np.frombuffer(ids, "<i4")] += np.frombuffer(sums, "<f4").reshape(-1, width)
-            else:
-                total += np.frombuffer(sums, "<f8")
-        every = np.arange(SPAN if part >= 0 else 0, dtype="<i4").tobytes()
-        return pa.table({"part": pa.array([part], pa.int32()), "task": group.column("task").slice(0, 1), "ids": pa.array([every], pa.binary()), "sums": pa.array([total.astype("<f4" if part >= 0 else "<f8").tobytes()], pa.binary())})
+        if seen:
+            by_id = sums.reshape(3, size, MIX)
+            yield from _spans(np.flatnonzero(by_id.any((0, 2))), lambda ids: np.hstack(by_id[:, ids]).astype("<f4"), size)
 
-    schema = "part int, task int, ids binary, sums binary"
-    found = rows.where("learn").select("ids").mapInArrow(learn, schema).groupBy("part", "task").applyInArrow(add, schema).groupBy("part").applyInArrow(add, schema)
-    sums, whole = np.zeros((-(-size // SPAN) * SPAN, width)), None
-    for r in found.select("part", "sums").collect():
-        if r.part < 0:
-            whole = np.frombuffer(r.sums, "<f8")
-        else:
-            sums[r.part * SPAN : (r.part + 1) * SPAN] = np.frombuffer(r.sums, "<f4").reshape(SPAN, width)
-    if whole is None:
+    found = _added(rows.where("learn").select("ids").mapInArrow(learn, "part int, task int, ids binary, sums binary"), 3 * MIX, "<f4", "<f4").collect()
+    if not found:
         return start
-    sums = sums[:size]
-    expected = sums[:, SHARE]
-    times = expected.sum(1, keepdims=True)
-    mean = sums[:, : HELD.stop] / (times + calm)
-    cut = np.cumsum([WIDTH, MIX, WIDTH])
-    w = {k: _step(getattr(start, k), d, times, rate) for k, d in zip(("query", "gate", "key", "value"), np.split(mean, cut, axis=1), strict=True)}
-    one = np.ones((1, 1))
-    for k, d in zip(("offset", "out"), np.split(whole[:-1] / whole[-1], [WINDOW]), strict=True):
-        w[k] = _step(getattr(start, k).reshape(-1, 1), d.reshape(-1, 1), one, rate).reshape(getattr(start, k).shape)
+    expected, after, ahead = np.split(_table([r.part for r in found], [r.raw for r in found], size, 3 * MIX, "<f4").astype(np.float64), 3, axis=1)
+    share = calm * (after.sum(0) + 1e-6) / (after + 1e-6).sum()
+    gate = start.gate + np.log((after + share) / (ahead + share))
     base = (id_counts + 0.5) / (id_counts + 0.5).sum()
     tables = (prior * base)[:, None] + expected
-    return Model(**w, tables=(tables / tables.sum(0)).astype(np.float32))
+    return Model(start.query, start.key, start.value, np.clip(gate, -30, 30).astype(np.float32), start.offset, start.out, (tables / tables.sum(0)).astype(np.float32))
 
 
 def token_counts(rows: DataFrame, size: int) -> DataFrame:

@@ -124,6 +124,44 @@ def test_language_model_learns_from_rows_outside_the_sample(spark):
     assert mean(m) > mean(first) + 0.3, (mean(m), mean(first))
 
 
+def test_pairs_are_counted_over_all_places_of_all_rows(spark, monkeypatch):
+    """The counts that the weights start from, against loops: long texts whole, none across texts, rows outside ``learn`` left out, tasks added up."""
+    rng = np.random.default_rng(12)
+    size, end = 300, 2
+    texts = [np.append(rng.integers(3, size, n), end) for n in (0, 1, 5, 16, 3000, 40)]
+    held = [(i, i != 5, t.astype("<u2").tobytes()) for i, t in enumerate(texts)]
+    monkeypatch.setattr(lm, "FAN", 2)
+    got = lm.pair_counts(spark.createDataFrame(held, "doc_id long, learn boolean, ids binary").repartition(3), size, end, flush=50).collect()
+    got = lm._table([r.part for r in got], [r.raw for r in got], size, 3 * lm.BUCKETS, "<i8")
+    want, bucket = np.zeros((3, size, lm.BUCKETS)), lm._buckets(size)
+    for t in texts[:5]:
+        for i, x in enumerate(t):
+            before = t[i - 1] if i else end
+            want[0, before, bucket[x]] += 1
+            want[1, x, bucket[before]] += 1
+            for d in lm.APART:
+                if i + d < len(t):
+                    want[2, x, bucket[t[i + d]]] += 1
+    assert (got == np.hstack(want)).all()
+
+
+def test_language_model_starts_from_all_rows(spark):
+    """Without a sample the model is as good on a kind of text that few rows have, and the same however rows lie in tasks."""
+    rng = np.random.default_rng(3)
+    size, end = 400, 2
+    follow = np.stack([rng.permutation(np.arange(10, 200)), rng.permutation(np.arange(200, 390))])
+    make = lambda kind: np.array([*follow[kind][(np.arange(60) + rng.integers(190)) % 190], end])
+    texts = [make(int(i % 10 == 1)) for i in range(300)]
+    rows = spark.createDataFrame([(i, True, t.astype("<u2").tobytes()) for i, t in enumerate(texts)], "doc_id long, learn boolean, ids binary").cache()
+    counts = np.bincount(np.concatenate(texts), minlength=size)
+    grid, ok = lm.windows(*lm.unpacked(lm.pa.array([make(1).astype("<u2").tobytes() for _ in range(40)], lm.pa.binary()), size), end)
+    mean = lambda m: np.where(ok, lm.log_probs(m, grid), 0).sum() / ok.sum()
+    m, again = (lm.fit(rows.repartition(n), counts, end_id=end) for n in (1, 5))
+    assert all(np.allclose(getattr(m, k), getattr(again, k), rtol=1e-4, atol=1e-5) for k in vars(m))
+    print(mean(m), mean(lm.fit(rows, counts, sample=5, end_id=end)))
+    assert mean(m) > mean(lm.fit(rows, counts, sample=5, end_id=end)) + 0.3
+
+
 def test_language_model_does_not_depend_on_partitions(spark, monkeypatch):
     """However rows lie in tasks, and however many rounds add up the tasks' sums, scores are the same."""
     from quillmesh.llm.queries import TOKENIZER
