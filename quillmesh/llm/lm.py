@@ -86,11 +86,13 @@ def _attend(m: Model, look: tuple[np.ndarray, np.ndarray], grid: np.ndarray) ->
     """Batched masked attention: (query and gate of the place before each target, keys and values of all places, weights, their sums, state, gate)."""
     asks = np.take(look[0], np.maximum(grid[:, WINDOW - 1 : -1], 0), axis=0)
     held = np.take(look[1], grid[:, :-1], axis=0)
-    score = asks[:, :, :WIDTH] @ held[:, :, :WIDTH].transpose(0, 2, 1)
-    near = _band(score) + m.offset[::-1]
-    np.clip(near, -60, 30, out=near)
-    weight = np.zeros_like(score)
-    np.exp(near, out=_band(weight))
+    weight = asks[:, :, :WIDTH] @ held[:, :, :WIDTH].transpose(0, 2, 1)
+    offset, inside = np.zeros((1, *weight.shape[1:]), np.float32), np.zeros((1, *weight.shape[1:]), np.float32)
+    _band(offset)[:], _band(inside)[:] = m.offset[::-1], 1
+    weight += offset
+    np.clip(weight, -60, 30, out=weight)
+    np.exp(weight, out=weight)
+    weight *= inside
     mixed = weight @ held[:, :, WIDTH:]
     total = mixed[:, :, WIDTH:]
     state = mixed[:, :, :WIDTH] / total
@@ -191,7 +193,7 @@ def encoded(texts: list[str | None], tokenizer: str, end_id: int) -> tuple[np.nd
 def _words(p: tk.Packed) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the words of each text, without the end."""
     s, e = p.runs(tk.WORD)
-    return p.rows(s), p.hashes(s, e, tk.LOWER)
+    return p.rows(s), p.keys(s, e, tk.LOWER)
 
 
 def tokenized(docs: DataFrame, learn: Column, tokenizer: str, end_id: int = 2) -> DataFrame:
@@ -379,6 +381,15 @@ def fit(rows: DataFrame, id_counts: np.ndarray, sample: int = 0, end_id: int = 2
     return learned_from_all(rows, Model(**found) if found else train([], id_counts, end_id), id_counts, end_id)
 
 
+def _add_by_id(total: np.ndarray, at: np.ndarray, x: np.ndarray) -> None:
+    """Adds rows to those of their ids; places without an id hold zeros."""
+    at = np.maximum(at, 0).ravel()
+    order = np.argsort(at.astype(np.uint16) if at.max() < 1 << 16 else at, kind="stable")  # 16 bits are sorted by radix
+    ids = at[order]
+    first = np.flatnonzero(np.diff(ids, prepend=-1))
+    total[ids[first]] += np.add.reduceat(np.take(x.reshape(-1, x.shape[-1]), order, axis=0), first, axis=0)
+
+
 def learned_from_all(rows: DataFrame, start: Model, id_counts: np.ndarray, end_id: int = 2, batch: int = 1024, prior: float = 1000.0, calm: float = 1.0) -> Model:
     """``start`` after a pass over every training row.
 
@@ -391,22 +402,20 @@ def learned_from_all(rows: DataFrame, start: Model, id_counts: np.ndarray, end_i
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = handle.value
-        look, mixture = lookup(m), np.arange(MIX)
-        sums, seen = np.zeros((3, size * MIX)), False
+        look = lookup(m)
+        expected, gates, seen = np.zeros((size, MIX)), np.zeros((size, 2 * MIX)), False
         for part in tk.slices(batches, 500):
             grid, valid = windows(*unpacked(part.column("ids"), size), end_id)
             for i in range(0, len(grid), batch):
                 g, ok = grid[i : i + batch], valid[i : i + batch]
                 *_, gate = _attend(m, look, g)
-                joint = _shares(m, gate, g, ok).ravel().astype(np.float64)
-                last, target = ((MIX * np.maximum(x, 0)[:, :, None] + mixture).ravel() for x in (g[:, WINDOW - 1 : -1], g[:, WINDOW:]))
-                for total, at, x in zip(sums, (target, last, last), (joint, joint, gate.ravel().astype(np.float64)), strict=True):
-                    np.add.at(total, at, x)
+                joint = _shares(m, gate, g, ok)
+                _add_by_id(expected, g[:, WINDOW:], joint)
+                _add_by_id(gates, g[:, WINDOW - 1 : -1], np.concatenate([joint, gate], axis=2))
                 seen = True
         tk.trim()
         if seen:
-            by_id = sums.reshape(3, size, MIX)
-            yield from _spans(np.flatnonzero(by_id.any((0, 2))), lambda ids: np.hstack(by_id[:, ids]).astype("<f4"), size)
+            yield from _spans(np.flatnonzero(expected.any(1) | gates.any(1)), lambda ids: np.hstack([expected[ids], gates[ids]]).astype("<f4"), size)
 
     found = _added(rows.where("learn").select("ids").mapInArrow(learn, "part int, task int, ids binary, sums binary"), 3 * MIX, "<f4", "<f4").collect()
     if not found:
@@ -493,7 +502,7 @@ def score(docs: DataFrame, learn: Column, tokenizer: str, frequent: int = 500_00
                 ids, starts = unpacked(part.column("ids"), size)
                 grid, ok = windows(ids, starts, end_id)
                 text = np.repeat(np.arange(p.n), -(-np.diff(np.append(starts, len(ids))) // STRIDE))
-                lp = np.concatenate([np.where(ok[i : i + 1024], log_probs(m, grid[i : i + 1024], look), 0).sum(1, dtype=np.float64) for i in range(0, len(grid), 1024)])
+                lp = np.concatenate([np.where(ok[i : i + 512], log_probs(m, grid[i : i + 512], look), 0).sum(1, dtype=np.float64) for i in range(0, len(grid), 512)])
                 # Words beyond the frequent ones, once a text, with how often they stand in it.
                 order = np.lexsort((h[rest], row[rest]))
                 r, w = row[rest][order], h[rest][order]

@@ -93,13 +93,13 @@ class Encoder:
         stop = np.append(begin[1:], len(p.buf))
         # The line feed that ends a text in the pack stands for the end id.
         close = np.searchsorted(begin, last)
-        key = p.hashes(begin, stop)
+        key = p.keys(begin, stop)
         key[close] = 0
         _, one, code = np.unique(key, return_index=True, return_inverse=True)
         whole = np.zeros(len(begin), bool)
         whole[np.searchsorted(begin, first[odd])] = True
         plain = np.flatnonzero((key[one] != 0) & ~whole[one])
-        ids, at = self.many([raw[begin[k] : stop[k]] for k in one[plain]]) if len(plain) else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        ids, at = self.many([raw[x:y] for x, y in zip(begin[one[plain]].tolist(), stop[one[plain]].tolist(), strict=True)]) if len(plain) else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
         offset, size = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64)
         offset[plain], size[plain] = at[:-1], np.diff(at)
         held = [ids, np.array([end_id], np.uint32)]

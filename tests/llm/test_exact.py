@@ -451,6 +451,21 @@ def test_hashes_tell_thue_morse_words_apart():
     assert a == c != b
 
 
+def test_keys_tell_words_apart_and_are_the_same_anywhere():
+    rng = np.random.default_rng(5)
+    parts = ["", "a", "a\0", "\0", "b", "abcdefgh", "abcdefgh\0", "abcdefghi", "x" * 511, "x" * 512, "x" * 513, "x" * 512 + "y", "é" * 300]
+    parts += ["".join(rng.choice(list("ab"), n)) for n in range(1, 40) for _ in range(20)]
+    text = packing.tk.packs(packing.pa.array([" ".join(rng.permutation(parts * 3).tolist())]))
+    p = next(text)[2]
+    raw = p.buf.tobytes()[:-1].split(b" ")
+    ends = np.cumsum([len(x) + 1 for x in raw]) - 1
+    for fold in (packing.tk.SAME, packing.tk.LOWER):
+        keys = p.keys(ends - [len(x) for x in raw], ends, fold)
+        assert len(set(zip(raw, keys.tolist(), strict=True))) == len(set(raw)) == len(set(keys.tolist()))
+    one, two = (next(packing.tk.packs(packing.pa.array([x])))[2] for x in ("Some LONGER words", "..some longer WORDS"))
+    assert (one.keys(*one.runs(packing.tk.WORD), packing.tk.LOWER)[1:] == two.keys(*two.runs(packing.tk.WORD), packing.tk.LOWER)[1:]).all()
+
+
 def test_lm_base(spark, docs, corpus):
     learn = bucket("doc_id", 7) != 2
     got = {r["doc_id"]: r for r in rows(lm.score(docs, learn, TOKENIZER, frequent=50))}
