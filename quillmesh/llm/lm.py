@@ -3,9 +3,9 @@
 The model reads the ids of a public byte-level BPE. For every place it attends, by one head with
 learned relative offsets, to the ``WINDOW`` ids before; the attended values and the last id choose
 a mixture of ``MIX`` learned distributions over the ids, so a probability costs a few dozen products
-instead of a softmax over the whole vocabulary, yet the distributions sum to one. Texts are cut into overlapping windows of which only the second half is scored
-(all of the first), in batches under one causal mask: each id is scored once, with at least
-half a window of what goes before. Between texts stands the end id; ids end with it.
+instead of a softmax over the whole vocabulary, yet the distributions sum to one. Texts are laid out one after another and cut into overlapping windows
+(``LONG`` places behind those that the first of them attends to), in batches of ``LANES`` under one causal mask: each id is scored once, with the
+``WINDOW`` ids before it. Between texts stands the end id; ids end with it.
 
 No weight comes from a sample. A pass over all training rows counts, for each id, the buckets (a hash of the id) of the ids next to it
 and some places on (``pair_counts``); one task splits these counts, a table bounded by the vocabulary, into ``MIX`` parts, which give
@@ -103,11 +103,78 @@ def _attend(m: Model, look: tuple[np.ndarray, np.ndarray], grid: np.ndarray) ->
     return asks, held, weight, total, state, gate
 
 
-def log_probs(m: Model, grid: np.ndarray, look: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-    """Natural log probability of each target (rows x STRIDE); those of -1 mean nothing. ``look`` is ``lookup(m)``, made once for many calls."""
-    *_, gate = _attend(m, look or lookup(m), grid)
-    p = np.einsum("bsm,bsm->bs", gate, np.take(m.tables, np.maximum(grid[:, WINDOW:], 0), axis=0))
-    return np.log(p / (gate @ np.ones(MIX, np.float32)))
+def tables_by_id(m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows by id: query, key, value and a 1; gate; probabilities. A last row stands for places without an id (-1), which add nothing to a state or its weight."""
+    last = lambda x, value: np.vstack([x, np.full((1, x.shape[1]), value, np.float32)])
+    held = np.hstack([m.query, m.key, m.value, np.ones((len(m.key), 1), np.float32)])
+    return last(held, 0), last(m.gate, 0), last(m.tables, 1)
+
+
+#: A batch has ``LANES`` windows of ``LONG`` places, which lie side by side: a step back in all of them is a step back by LANES.
+LANES, LONG = 16, 512
+
+
+def laid_out(ids: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, target of each, where the ids' own are) of texts that begin at ``starts``: WINDOW places go before each text, of -1 but for the end id; the target is the next id of the text, or -1."""
+    n, length = len(starts), np.diff(np.append(starts, len(ids)))
+    places, target = np.full((2, len(ids) + WINDOW * n), -1)
+    places[starts + WINDOW * np.arange(1, n + 1) - 1] = end_id
+    own = np.arange(len(ids)) + np.repeat(WINDOW * np.arange(1, n + 1), length)
+    places[own] = ids
+    target[own - 1] = ids
+    return places, target, own - 1
+
+
+def _gates(m: Model, look: tuple[np.ndarray, ...], places: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each block of places: their ids, their targets and (places x MIX) what the ids there and before, WINDOW in all, give each mixture.
+
+    The last block is filled up. An array of a block holds until the next one is asked for.
+    """
+    block, span = LANES * LONG, LONG + WINDOW - 1
+    n = -(-len(places) // block) * block
+    padded = np.full(n + WINDOW - 1, -1)
+    padded[WINDOW - 1 : WINDOW - 1 + len(places)] = places
+    wanted = np.append(target, np.full(n - len(target), -1))
+    offset = np.ascontiguousarray(m.offset[::-1, None])
+    # What no score can exceed needs no clipping.
+    tame = np.linalg.norm(m.query, axis=1).max() * np.linalg.norm(m.key, axis=1).max() + np.abs(m.offset).max() < 30
+    width = look[0].shape[1]
+    rows, weight, mixed, gate = (np.empty(x, np.float32) for x in ((width, span * LANES), (WINDOW, block), (WIDTH + 1, block), (block, MIX)))
+    # Of the places one after another, a view of each one's WINDOW ids, the farthest first.
+    back = np.lib.stride_tricks.as_strided(rows, (width, WINDOW, block), (rows.strides[0], LANES * rows.itemsize, rows.itemsize))
+    for a in range(0, n, block):
+        near = np.lib.stride_tricks.as_strided(padded[a:], (span, LANES), (padded.itemsize, LONG * padded.itemsize)).ravel()
+        rows[:] = np.take(look[0], near, axis=0).T
+        np.einsum("fc,fdc->dc", rows[:WIDTH, (WINDOW - 1) * LANES :], back[WIDTH : 2 * WIDTH], out=weight)
+        if offset.any():
+            weight += offset
+        if not tame:
+            np.clip(weight, -60, 30, out=weight)
+        np.exp(weight, out=weight)
+        np.einsum("dc,fdc->fc", weight, back[2 * WIDTH :], out=mixed)
+        mixed[:-1] /= np.maximum(mixed[-1], 1e-30)
+        at = near[(WINDOW - 1) * LANES :]
+        np.matmul(mixed[:-1].T, m.out, out=gate)
+        gate += np.take(look[1], at, axis=0)
+        np.clip(gate, -30, 30, out=gate)
+        np.exp(gate, out=gate)
+        yield at, wanted[a : a + block].reshape(LANES, LONG).T.ravel(), gate
+
+
+def place_log_probs(m: Model, look: tuple[np.ndarray, ...], places: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log probability of each place's target, 0 or next to it where that is -1."""
+    out, ones = [np.zeros(0, np.float32)], np.ones(MIX, np.float32)
+    for _, to, gate in _gates(m, look, places, target):
+        p = np.einsum("cm,cm->c", gate, np.take(look[2], to, axis=0))
+        out.append(np.log(p / (gate @ ones)).reshape(LONG, LANES).T.ravel())
+    return np.concatenate(out)[: len(places)]
+
+
+def log_probs(m: Model, grid: np.ndarray) -> np.ndarray:
+    """Natural log probability of each target (rows x STRIDE) of ``windows``; those of -1 mean nothing."""
+    target = np.full_like(grid, -1)
+    target[:, :-1] = grid[:, 1:]
+    return place_log_probs(m, tables_by_id(m), grid.ravel(), target.ravel()).reshape(grid.shape)[:, WINDOW - 1 : -1]
 
 
 def _shares(m: Model, gate: np.ndarray, g: np.ndarray, ok: np.ndarray) -> np.ndarray:
@@ -381,16 +448,40 @@ def fit(rows: DataFrame, id_counts: np.ndarray, sample: int = 0, end_id: int = 2
     return learned_from_all(rows, Model(**found) if found else train([], id_counts, end_id), id_counts, end_id)
 
 
-def _add_by_id(total: np.ndarray, at: np.ndarray, x: np.ndarray) -> None:
-    """Adds rows to those of their ids; places without an id hold zeros."""
-    at = np.maximum(at, 0).ravel()
-    order = np.argsort(at.astype(np.uint16) if at.max() < 1 << 16 else at, kind="stable")  # 16 bits are sorted by radix
-    ids = at[order]
-    first = np.flatnonzero(np.diff(ids, prepend=-1))
-    total[ids[first]] += np.add.reduceat(np.take(x.reshape(-1, x.shape[-1]), order, axis=0), first, axis=0)
-
-
-def learned_from_all(rows: DataFrame, start: Model, id_counts: np.ndarray, end_id: int = 2, batch: int = 1024, prior: float = 1000.0, calm: float = 1.0) -> Model:
+class Sums:
+    """Sums by id over places of ``_gates``: the share of each mixture expected with the target, by the target; the same, and that without the target, by the id before."""
+
+    def __init__(self, size: int):
+        # Two sums are added at a time, as the parts of a complex number.
+        self.expected, self.gates = np.zeros((size, MIX // 2), complex), np.zeros((size, MIX), complex)
+        self.pairs = np.empty((MIX // 2, LANES * LONG), complex), np.empty((MIX, LANES * LONG), complex)
+
+    def add(self, look: tuple[np.ndarray, ...], at: np.ndarray, to: np.ndarray, gate: np.ndarray) -> None:
+        """``at`` and ``to``: ids and targets of a block."""
+        some = to >= 0
+        joint = np.take(look[2], to, axis=0)
+        joint *= gate
+        ones = np.ones(MIX, np.float32)
+        joint = joint.T * (some / np.maximum(joint @ ones, 1e-30))
+        own, both = self.pairs
+        own.real, own.imag = joint[::2], joint[1::2]
+        both.real, both.imag = joint, gate.T * (some / (gate @ ones))
+        # Without a target, zeros are added somewhere.
+        for total, ids, x in ((self.gates, at, both), (self.expected, to, own)):
+            for t, y in zip(total.T, x, strict=True):
+                np.add.at(t, ids, y)
+
+    def ids(self) -> np.ndarray:
+        """Those with a sum."""
+        return np.flatnonzero(self.expected.any(1) | self.gates.any(1))
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """Rows of ``ids``: expected by target, by the id before, and without the target."""
+        gates = self.gates[ids]
+        return np.hstack([self.expected[ids].view(float), gates.real, gates.imag])
+
+
+def learned_from_all(rows: DataFrame, start: Model, id_counts: np.ndarray, end_id: int = 2, prior: float = 1000.0, calm: float = 1.0) -> Model:
     """``start`` after a pass over every training row.
 
     Tasks sum, of all windows, the expected counts of each id in each mixture, and by the id before how much of each mixture was expected with
@@ -402,20 +493,13 @@ def learned_from_all(rows: DataFrame, start: Model, id_counts: np.ndarray, end_i
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = handle.value
-        look = lookup(m)
-        expected, gates, seen = np.zeros((size, MIX)), np.zeros((size, 2 * MIX)), False
+        look, sums = tables_by_id(m), Sums(size)
         for part in tk.slices(batches, 500):
-            grid, valid = windows(*unpacked(part.column("ids"), size), end_id)
-            for i in range(0, len(grid), batch):
-                g, ok = grid[i : i + batch], valid[i : i + batch]
-                *_, gate = _attend(m, look, g)
-                joint = _shares(m, gate, g, ok)
-                _add_by_id(expected, g[:, WINDOW:], joint)
-                _add_by_id(gates, g[:, WINDOW - 1 : -1], np.concatenate([joint, gate], axis=2))
-                seen = True
+            places, target, _ = laid_out(*unpacked(part.column("ids"), size), end_id)
+            for at, to, gate in _gates(m, look, places, target):
+                sums.add(look, at, to, gate)
         tk.trim()
-        if seen:
-            yield from _spans(np.flatnonzero(expected.any(1) | gates.any(1)), lambda ids: np.hstack([expected[ids], gates[ids]]).astype("<f4"), size)
+        yield from _spans(sums.ids(), lambda ids: sums.of(ids).astype("<f4"), size)
 
     found = _added(rows.where("learn").select("ids").mapInArrow(learn, "part int, task int, ids binary, sums binary"), 3 * MIX, "<f4", "<f4").collect()
     if not found:
@@ -484,7 +568,7 @@ def score(docs: DataFrame, learn: Column, tokenizer: str, frequent: int = 500_00
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, c, m = handle.value
-        log, look = np.log10(c + 1.0), lookup(m)
+        log, look = np.log10(c + 1.0), tables_by_id(m)
         for batch in tk.slices(batches, 500):
             tk.trim()
             for a, b, p in tk.packs(batch.column("text"), 1 << 19):
@@ -500,15 +584,13 @@ def score(docs: DataFrame, learn: Column, tokenizer: str, frequent: int = 500_00
                 n_known = tk.sums(hit[code], row, p.n) if len(row) else np.zeros(p.n, np.int64)
                 rest = ~hit[code]
                 ids, starts = unpacked(part.column("ids"), size)
-                grid, ok = windows(ids, starts, end_id)
-                text = np.repeat(np.arange(p.n), -(-np.diff(np.append(starts, len(ids))) // STRIDE))
-                lp = np.concatenate([np.where(ok[i : i + 512], log_probs(m, grid[i : i + 512], look), 0).sum(1, dtype=np.float64) for i in range(0, len(grid), 512)])
+                places, target, own = laid_out(ids, starts, end_id)
+                text = np.repeat(np.arange(p.n), np.diff(np.append(starts, len(ids))))
+                lp = place_log_probs(m, look, places, target)[own]
                 # Words beyond the frequent ones, once a text, with how often they stand in it.
-                order = np.lexsort((h[rest], row[rest]))
-                r, w = row[rest][order], h[rest][order]
-                new = np.flatnonzero((np.diff(r, prepend=-1) != 0) | (np.diff(w, prepend=0) != 0) | (np.arange(len(r)) == 0))
-                cut = pa.array(np.concatenate([[0], np.cumsum(np.bincount(r[new], minlength=p.n))]), pa.int32())
-                rare = pa.StructArray.from_arrays([pa.array(w[new]), pa.array(np.diff(np.append(new, len(r))))], names=["word", "times"])
+                own, times = np.unique(row[rest] * len(kinds) + code[rest], return_counts=True)
+                cut = pa.array(np.searchsorted(own, np.arange(p.n + 1) * len(kinds)), pa.int32())
+                rare = pa.StructArray.from_arrays([pa.array(kinds[own % max(1, len(kinds))]), pa.array(times)], names=["word", "times"])
                 lists = pa.ListArray.from_arrays(cut, rare)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n + 1), pa.array(n_known + (end > 0)), pa.array(base + np.log10(end + 1.0)), pa.array(np.bincount(text, lp, p.n) / np.log(10)), lists], names=["doc_id", "n_tokens", "n_known", "known_log", "score", "rare"])
 

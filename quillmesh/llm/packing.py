@@ -51,12 +51,31 @@ SURE = np.zeros(256, bool)
 SURE[[*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xF5)]] = True
 
 
+#: Letters of ASCII, and second bytes of letters after 0xC3.
+LETTER, SECOND = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+SECOND[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
+
+
+def letters(buf: np.ndarray) -> np.ndarray:
+    """The bytes of letters of ASCII and Latin-1."""
+    out = LETTER[buf]
+    two = np.flatnonzero((buf[:-1] == 0xC3) & SECOND[buf[1:]])
+    out[two] = out[two + 1] = True
+    return out
+
+
+#: Parts that a worker keeps the ids of, at most 8 ids each on average: no more are added beyond.
+KNOWN = 300_000
+
+
 class Encoder:
     """Ids of whole texts by a byte-level BPE.
 
     A text falls apart before every space that a non-space follows, and no token spans such a place; the ids of
-    a part depend on it alone. So the distinct parts of a pack of texts are encoded once, in one call with a
-    special token between them, and each text's ids are gathered from theirs.
+    a part depend on it alone. So the distinct parts of a pack of texts are encoded once, not at all where an earlier pack had them, and each text's ids are gathered from
+    theirs. Parts that begin with such a space are encoded as one text, those of a space and letters alone with a simpler
+    pattern, which takes each whole as the full one would; the lengths of the tokens tell whose they are. The other parts have a special token between them.
     """
 
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -67,6 +86,11 @@ class Encoder:
         ranks, self.added = byte_ranks(path)
         self.size = max([*ranks.values(), *self.added.values()], default=-1) + 1
         self.core = tiktoken.Encoding("byte_bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
+        self.plain = tiktoken.Encoding("byte_bpe_words", pat_str=" [^ ]+", mergeable_ranks=ranks, special_tokens={})
+        self.bytes = np.zeros(self.size, np.int64)
+        self.bytes[[*ranks.values()]] = [len(x) for x in ranks]
+        #: Parts met so far, by hash, and where their ids stand in ``ids``; the first stands for none.
+        self.known, self.at, self.size_of, self.ids = np.zeros(1, tk.U), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
         #: What parts are joined by; texts that hold it are encoded whole and alone.
         self.mark, self.mark_id = next(iter(self.added.items()))
 
@@ -79,6 +103,30 @@ class Encoder:
         cut = np.flatnonzero(ids == self.mark_id)
         return np.delete(ids, cut), np.concatenate([[0], cut - np.arange(len(cut)), [len(ids) - len(cut)]])
 
+    def spaced(self, parts: list[bytes], length: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """As ``many``, of parts that each begin with a space before a character that is surely none; ``words``: nothing but letters follows in any."""
+        raw = b"".join(parts)
+        ids = (self.plain if words else self.core).encode_to_numpy(raw.decode("utf-8", "replace"), allowed_special=set(), disallowed_special=()).astype(np.uint32)
+        done = np.cumsum(self.bytes[ids])
+        if len(raw) != (done[-1] if len(done) else 0):  # bytes that are no UTF-8 were replaced
+            return self.many(parts)
+        return ids, np.concatenate([[0], np.searchsorted(done, np.cumsum(length)) + 1])
+
+    def fresh(self, p: tk.Packed, raw: bytes, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of parts of a pack: ids, where each part's begin, and how many they are."""
+        offset, size, held, total = np.zeros(len(low), np.int64), np.zeros(len(low), np.int64), [np.zeros(0, np.uint32)], 0
+        other = np.cumsum(~letters(p.buf), dtype=np.int32)
+        # 0: parts that don't begin with a space that parts, 1: other ones, 2: a space and letters.
+        kind = ((p.buf[low] == 32) & SURE[p.buf[low + 1]]) * (1 + (other[high - 1] == other[low]))
+        for k in range(3):
+            if len(mine := np.flatnonzero(kind == k)):
+                parts = [raw[x:y] for x, y in zip(low[mine].tolist(), high[mine].tolist(), strict=True)]
+                ids, at = self.spaced(parts, high[mine] - low[mine], k == 2) if k else self.many(parts)
+                offset[mine], size[mine] = at[:-1] + total, np.diff(at)
+                held.append(ids)
+                total += len(ids)
+        return np.concatenate(held), offset, size
+
     def pack(self, p: tk.Packed, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts of a pack, each with the end id, one after another, and where each begins (one more than texts)."""
         first, last = p.off[:-1], p.off[1:] - 1
@@ -95,22 +143,32 @@ class Encoder:
         close = np.searchsorted(begin, last)
         key = p.keys(begin, stop)
         key[close] = 0
-        _, one, code = np.unique(key, return_index=True, return_inverse=True)
+        kinds, one, code = np.unique(key, return_index=True, return_inverse=True)
         whole = np.zeros(len(begin), bool)
         whole[np.searchsorted(begin, first[odd])] = True
-        plain = np.flatnonzero((key[one] != 0) & ~whole[one])
-        ids, at = self.many([raw[x:y] for x, y in zip(begin[one[plain]].tolist(), stop[one[plain]].tolist(), strict=True)]) if len(plain) else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
-        offset, size = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64)
-        offset[plain], size[plain] = at[:-1], np.diff(at)
-        held = [ids, np.array([end_id], np.uint32)]
-        ended = np.flatnonzero(key[one] == 0)
-        offset[ended], size[ended] = len(ids), 1
-        total = len(ids) + 1
+        plain = (kinds != 0) & ~whole[one]
+        # Parts that a pack before had are known.
+        k = np.minimum(np.searchsorted(self.known, kinds), len(self.known) - 1)
+        met = plain & (self.known[k] == kinds)
+        offset, size = np.where(met, self.at[k], 0), np.where(met, self.size_of[k], 0)
+        total = len(self.ids)
+        new = np.flatnonzero(plain & ~met)
+        ids, at, n = self.fresh(p, raw, begin[one[new]], stop[one[new]])
+        offset[new], size[new] = at + total, n
+        held = [self.ids, ids, np.array([end_id], np.uint32)]
+        total += len(ids)
+        ended = np.flatnonzero(kinds == 0)
+        offset[ended], size[ended] = total, 1
+        total += 1
         for k in np.flatnonzero(whole[one]):
             own = self(raw[begin[one[k]] : stop[one[k]]].decode("utf-8", "replace"))
             offset[k], size[k] = total, len(own)
             held.append(own)
             total += len(own)
+        if len(self.known) < KNOWN and total < 8 * KNOWN:
+            where = np.searchsorted(self.known, kinds[new])
+            self.known, self.at, self.size_of = (np.insert(x, where, y) for x, y in ((self.known, kinds[new]), (self.at, offset[new]), (self.size_of, n)))
+            self.ids = np.concatenate(held[:2])
         n = size[code]
         done = np.cumsum(n)
         where = np.repeat(offset[code] - done + n, n) + np.arange(done[-1] if len(done) else 0)

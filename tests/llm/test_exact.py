@@ -514,6 +514,54 @@ def test_lm_windows_score_each_token_once_and_sum_to_one():
     assert np.allclose(lm.log_probs(m, later)[:, :6], lm.log_probs(m, changed)[:, :6])  # causal
 
 
+def test_lm_places_in_batches_of_windows_by_a_plain_reading(monkeypatch):
+    """Log probabilities and sums where windows, batches and texts begin and end, one target at a time; weights that need clipping and that don't."""
+    rng = np.random.default_rng(7)
+    size, lengths = 40, [1, 70, 2, 16, 17, 333, 1]
+    m = lm.train([rng.integers(0, size, 200)], np.ones(size), 2, steps=3)
+    monkeypatch.setattr(lm, "LANES", 3)
+    monkeypatch.setattr(lm, "LONG", 20)
+    ids, starts = rng.integers(0, size, sum(lengths)), np.cumsum([0, *lengths[:-1]])
+    for scale in (1, 40):
+        m.query *= scale
+        look, sums, want, at = lm.tables_by_id(m), lm.Sums(size), [], np.zeros((size, 3 * lm.MIX))
+        places, target, own = lm.laid_out(ids, starts, 2)
+        for x in lm._gates(m, look, places, target):
+            sums.add(look, *x)
+        for a, n in zip(starts, lengths, strict=True):
+            text = [2, *ids[a : a + n].tolist()]
+            for t in range(1, len(text)):
+                seen = range(max(0, t - lm.WINDOW), t)
+                s = np.exp(np.clip([float(m.query[text[t - 1]] @ m.key[text[j]] + m.offset[t - 1 - j]) for j in seen], -60, 30))
+                g = np.exp(np.clip(m.gate[text[t - 1]] + (s / s.sum()) @ m.value[[text[j] for j in seen]] @ m.out, -30, 30))
+                p = g * m.tables[text[t]]
+                want.append(np.log(p.sum() / g.sum()))
+                at[text[t], : lm.MIX] += p / p.sum()
+                at[text[t - 1], lm.MIX :] += np.concatenate([p / p.sum(), g / g.sum()])
+        assert np.allclose(lm.place_log_probs(m, look, places, target)[own], want, rtol=1e-3, atol=1e-3)
+        assert np.allclose(sums.of(np.arange(size)), at, rtol=1e-3, atol=1e-3) and (sums.ids() == np.flatnonzero(at.any(1))).all()
+
+
+def test_parts_of_texts_are_encoded_once_in_a_worker(monkeypatch):
+    """Each pack's ids are those of its whole texts, with parts from earlier packs, words, marks and spaces of all kinds; parts met before are not encoded again."""
+    rng = np.random.default_rng(9)
+    some = [" ", "  ", "\n", "\t", "a", "b", "Z", "é", "ß", "×", "÷", "'s", "'ll", " 's", "1", ".", ",", "日", "<|endoftext|>", "\u00a0", "\u2003", "\r", "ª", "Ã", "\x85", " x", " é", "\x00", "$"]
+    enc = packing.Encoder(TOKENIZER)
+    for known in (40, 300_000):
+        monkeypatch.setattr(packing, "KNOWN", known)
+        for _ in range(20):
+            held = ["".join(rng.choice(some, rng.integers(0, 40))) for _ in range(20)]
+            p = next(packing.tk.packs(packing.pa.array(held)))[2]
+            ids, at = enc.pack(p, 2)
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [[*enc.core.encode(t, allowed_special="all"), 2] for t in held]
+        assert known > 40 or len(enc.ids) <= 8 * 40
+    p = next(packing.tk.packs(packing.pa.array(["some words, and others", "some words"])))[2]
+    first = enc.pack(p, 2)
+    enc.core = enc.plain = None
+    again = enc.pack(p, 2)
+    assert all((x == y).all() for x, y in zip(first, again, strict=True))
+
+
 def test_suffix_dedup_with_text(spark, docs, corpus):
     got = {r["doc_id"]: r for r in rows(suffix_dedup.remove_repeats(docs, with_text=True))}
     assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] and len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in got.values())
