@@ -117,3 +117,10 @@ def test_constraint_violations_walk_the_whole_graph(spark, folder, walks, chains
     for edges in (walker.EDGES, 10):  # in the tasks, and by joins
         monkeypatch.setattr(walker, "EDGES", edges)
         assert {r.reason: r.chains for r in catalogue.queries()["constraint_violations"](spark, folder).collect()} == want
+
+
+def test_offline_conversations_walk_the_whole_graph(spark, folder, walks, chains):
+    calls = {}
+    for r in catalogue.queries()["offline_conversations"](spark, folder).where("role = 'assistant' and endpoint_id is not null").orderBy("conv_id", "turn").collect():
+        calls.setdefault(r.conv_id, []).append(r.endpoint_id)
+    assert calls == {chain: walks.path(chain, 1) for chain in chains}
