@@ -124,3 +124,23 @@ def test_offline_conversations_walk_the_whole_graph(spark, folder, walks, chains
     for r in catalogue.queries()["offline_conversations"](spark, folder).where("role = 'assistant' and endpoint_id is not null").orderBy("conv_id", "turn").collect():
         calls.setdefault(r.conv_id, []).append(r.endpoint_id)
     assert calls == {chain: walks.path(chain, 1) for chain in chains}
+
+
+def first_of_lowest_tier(walks, chains, attempts, tier):
+    """chain: (tier, attempt, described) of the attempt with the lowest tier, then the lowest number; none where no attempt has a tier."""
+    out = {}
+    for chain in chains:
+        found = [(t, i, x) for i in range(1, attempts + 1) if (t := tier(x := walks.described(chain, i))) is not None]
+        if found:
+            out[chain] = min(found, key=lambda f: f[:2])
+    return out
+
+
+def test_relaxed_chains_walk_the_whole_graph(spark, folder, walks, chains):
+    def tier(x):
+        return (0 if "Travel" in x[3] else 1) if x[1] >= 3 and x[2] >= 2 else 2 if "Travel" in x[3] else 3
+
+    want = {(chain, t, i, x[1], x[4]) for chain, (t, i, x) in first_of_lowest_tier(walks, chains, 100, tier).items()}
+    columns = "chain_id", "tier", "attempt", "steps", "pattern"
+    assert {tuple(r[c] for c in columns) for r in in_sql(folder, "relaxed_chains")} == want
+    assert {tuple(r[c] for c in columns) for r in catalogue.queries()["relaxed_chains"](spark, folder).collect()} == want
