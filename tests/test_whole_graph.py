@@ -144,3 +144,11 @@ def test_relaxed_chains_walk_the_whole_graph(spark, folder, walks, chains):
     columns = "chain_id", "tier", "attempt", "steps", "pattern"
     assert {tuple(r[c] for c in columns) for r in in_sql(folder, "relaxed_chains")} == want
     assert {tuple(r[c] for c in columns) for r in catalogue.queries()["relaxed_chains"](spark, folder).collect()} == want
+
+
+def test_sample_chains_walk_the_whole_graph(spark, folder, walks, chains):
+    found = first_of_lowest_tier(walks, chains, 50, lambda x: 0 if x[1] >= 2 and x[2] >= 2 else None)
+    want = {(chain, i, " > ".join(x[0]), x[1], x[2], ",".join(x[3]), x[4]) for chain, (_, i, x) in found.items()}
+    columns = "chain_id", "attempt", "path", "steps", "tools", "domains", "pattern"
+    assert {tuple(r[c] for c in columns) for r in in_sql(folder, "sample_chains")} == want
+    assert {tuple(r[c] for c in columns) for r in catalogue.queries()["sample_chains"](spark, folder).collect()} == want
