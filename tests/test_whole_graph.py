@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 from quillmesh.operators import graph, walker
@@ -152,3 +153,18 @@ def test_sample_chains_walk_the_whole_graph(spark, folder, walks, chains):
     columns = "chain_id", "attempt", "path", "steps", "tools", "domains", "pattern"
     assert {tuple(r[c] for c in columns) for r in in_sql(folder, "sample_chains")} == want
     assert {tuple(r[c] for c in columns) for r in catalogue.queries()["sample_chains"](spark, folder).collect()} == want
+
+
+def test_rows_of_neighbours_are_looked_at_in_blocks(plain, walks, monkeypatch):
+    """Few places at a time, whatever the width of the table of neighbours, with the paths of plain walks."""
+    ids, wide = walks.ids, max(map(len, walks.near.values()))
+    near, weight, at = np.full((len(ids), wide), -1, np.int32), np.zeros((len(ids), wide)), {v: i for i, v in enumerate(ids)}
+    for a, b in walks.near.items():
+        near[at[a], : len(b)], weight[at[a], : len(b)] = [at[t] for t, _ in b], [w for _, w in b]
+    g = walker.Graph(ids, np.arange(len(ids)), near, weight, None, None, [], None)
+    seen, moved = [], walker._moved
+    monkeypatch.setattr(walker, "_moved", lambda g, path, rows, *rest: seen.append(len(rows)) or moved(g, path, rows, *rest))
+    monkeypatch.setattr(walker, "CELLS", 5 * wide)
+    path = walker.walk(g, walker.Keys([f"42:{i}".encode() for i in range(300)]), np.arange(300), 1, 1, 5)
+    assert max(seen) == 5
+    assert [[ids[i] for i in row if i >= 0] for row in path.tolist()] == [walks.path(i, 1) for i in range(300)]
