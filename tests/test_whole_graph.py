@@ -168,3 +168,12 @@ def test_rows_of_neighbours_are_looked_at_in_blocks(plain, walks, monkeypatch):
     path = walker.walk(g, walker.Keys([f"42:{i}".encode() for i in range(300)]), np.arange(300), 1, 1, 5)
     assert max(seen) == 5
     assert [[ids[i] for i in row if i >= 0] for row in path.tolist()] == [walks.path(i, 1) for i in range(300)]
+
+
+def test_a_category_of_a_thousand_endpoints_is_sent_to_the_tasks(spark):
+    ids = spark.range(1010).selectExpr("format_string('é%04d', id) AS endpoint_id", "concat('t', id % 9) AS tool_name", "'get_x' AS endpoint_name", "'A' AS category")
+    edge = ids.select("endpoint_id").alias("a").crossJoin(ids.select("endpoint_id").alias("b")).where("a.endpoint_id <> b.endpoint_id").selectExpr("a.endpoint_id AS source", "b.endpoint_id AS target", "0.25D AS w")
+    g = walker.small_graph(ids, edge)
+    assert g.ids[3] == "é0003" and g.near.shape == (1010, 1009) and g.near[3, :5].tolist() == [0, 1, 2, 4, 5] and (g.weight == 0.25).all()
+    few = edge.where("source < 'é0003'")
+    assert walker.small_graph(ids, few) and not walker.small_graph(ids.where("endpoint_id <> 'é0007'"), few) and not walker.small_graph(ids.where("endpoint_id > 'é0001'"), few)
